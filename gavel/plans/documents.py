@@ -1 +1,127 @@
-"""Queries."""
+"""Page and file operators over `documents`, and over inline file names."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import filenames as N
+from ..operators import grouping as G
+from ..operators import pages as P
+from ..session import table
+from .catalogue import query
+
+_FLAT = "trim(regexp_replace(coalesce(text, ''), '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))"
+
+
+def _hits_sql(words) -> str:
+    return "(" + " + ".join(f"CAST(contains(lower(t), '{w}') AS INT)" for w in words) + ")"
+
+
+_CLASSIFIED = f"""p AS (SELECT doc_id, meeting_id, coalesce(page_no, 0) AS page_no, {_FLAT} AS t FROM documents),
+h AS (SELECT *, length(t) AS n, {_hits_sql(P.BODY_WORDS)} AS b, {_hits_sql(P.ATTACHMENT_WORDS)} AS a FROM p),
+c AS (SELECT doc_id, meeting_id, page_no, CASE WHEN n < 20 THEN 'blank' WHEN regexp_matches(lower(t), '{P.VOTE_SHEET}') THEN 'vote_sheet' WHEN b >= 3 AND b > a THEN 'body' WHEN a > b THEN 'attachment' WHEN n < 800 AND b < 2 THEN 'attachment' WHEN b >= 1 AND n >= 800 THEN 'body' ELSE 'attachment' END AS label,
+  CASE WHEN n < 20 THEN 1.0 WHEN regexp_matches(lower(t), '{P.VOTE_SHEET}') THEN 0.95 WHEN b >= 3 AND b > a THEN CASE WHEN n >= 800 OR b >= 5 THEN 0.85 ELSE 0.7 END WHEN a > b THEN 0.8 WHEN n < 800 AND b < 2 THEN 0.6 WHEN b >= 1 AND n >= 800 THEN 0.55 ELSE 0.4 END AS confidence FROM h)"""
+
+
+def _pages(spark, d) -> DataFrame:
+    t = table(spark, d, "documents").select("doc_id", "meeting_id", F.coalesce("page_no", F.lit(0)).alias("page_no"), P.classify(F.col("text")).alias("c"))
+    return t.select("doc_id", "meeting_id", "page_no", "c.label", "c.confidence")
+
+
+@query(f"WITH {_CLASSIFIED} SELECT doc_id, label, CAST(confidence AS DOUBLE) AS confidence FROM c")
+def classify_pages(spark: SparkSession, d: str) -> DataFrame:
+    return _pages(spark, d).select("doc_id", "label", "confidence")
+
+
+@query(f"""WITH {_CLASSIFIED}, w AS (SELECT *, last_value(CASE WHEN confidence >= 0.8 THEN label END IGNORE NULLS) OVER (PARTITION BY meeting_id ORDER BY page_no, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS x,
+    first_value(CASE WHEN confidence >= 0.8 THEN label END IGNORE NULLS) OVER (PARTITION BY meeting_id ORDER BY page_no, doc_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS y FROM c),
+    s AS (SELECT *, coalesce(confidence < 0.8 AND label <> 'blank' AND x = y AND x <> 'blank', false) AS smoothed FROM w)
+    SELECT doc_id, CASE WHEN smoothed THEN x ELSE label END AS label, CAST(CASE WHEN smoothed THEN 0.75 ELSE confidence END AS DOUBLE) AS confidence, smoothed FROM s""")
+def smooth_pages(spark: SparkSession, d: str) -> DataFrame:
+    p = _pages(spark, d).withColumn("at", F.struct("page_no", "doc_id"))
+    return P.smooth(p, "meeting_id", "at").select("doc_id", "label", "confidence", "smoothed")
+
+
+@query("""WITH r AS (SELECT meeting_id, length(trim(coalesce(text, ''), ' ')) < 20 AS bare, row_number() OVER (PARTITION BY meeting_id ORDER BY page_no NULLS FIRST, doc_id) AS i FROM documents)
+          SELECT meeting_id, bool_and(bare) FILTER (WHERE i <= 3) OR avg(CAST(bare AS INT)) > 0.8 AS scan_first FROM r GROUP BY 1""")
+def scan_first(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "documents").select("meeting_id", F.struct("page_no", "doc_id").alias("at"), "text")
+    return P.scan_first(t, "meeting_id", "at", "text")
+
+
+@query(f"""WITH {_CLASSIFIED}, r AS (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY page_no, doc_id) AS i FROM c),
+    l AS (SELECT *, i - coalesce(max(CASE WHEN label IN ('body', 'vote_sheet') THEN i END) OVER (PARTITION BY meeting_id ORDER BY i), 0) AS run FROM r WHERE i <= 40)
+    SELECT meeting_id, CAST(coalesce(min(i) FILTER (WHERE run >= 3), max(i)) AS BIGINT) AS scanned FROM l GROUP BY 1""")
+def front_scan(spark: SparkSession, d: str) -> DataFrame:
+    return P.front_scan(_pages(spark, d).withColumn("at", F.struct("page_no", "doc_id")), "meeting_id", "at")
+
+
+@query("SELECT meeting_id, string_agg('[p. ' || CAST(doc_id AS VARCHAR) || '] ' || coalesce(text, ''), chr(10) || chr(10) ORDER BY page_no NULLS FIRST, doc_id) AS body, count(*) AS pages FROM documents WHERE source = 'minutes_pdf' GROUP BY 1")
+def stitch_body(spark: SparkSession, d: str) -> DataFrame:
+    return P.stitch(table(spark, d, "documents").filter("source = 'minutes_pdf'"), "meeting_id", ["page_no", "doc_id"], tag="[p. %s] ")
+
+
+@query("SELECT source, count(*) AS pages, count(*) FILTER (WHERE length(trim(coalesce(text, ''), ' ')) < 200) AS thin FROM documents GROUP BY 1")
+def low_density(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("pages"), F.count_if(P.low_density(F.col("text"))).alias("thin"))
+
+
+@query("""SELECT doc_id, regexp_extract(text, '([0-9]{1,2}/[0-9]{1,2}/[0-9]{4})', 1) AS typed FROM documents WHERE regexp_matches(text, '^(BOARD MEETING|MEETING MINUTES)') AND regexp_extract(text, '([0-9]{1,2}/[0-9]{1,2}/[0-9]{4})', 1) <> ''""")
+def header_dates(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "documents").filter(F.col("text").rlike("^(BOARD MEETING|MEETING MINUTES)"))
+    x = F.regexp_extract("text", r"([0-9]{1,2}/[0-9]{1,2}/[0-9]{4})", 1)
+    return t.filter(x != "").select("doc_id", x.alias("typed"))
+
+
+@query()
+def first_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Date and type that a page's header states."""
+    t = table(spark, d, "documents").filter("text IS NOT NULL")
+    return t.select("doc_id", N.first_page_date(F.col("text")).alias("day"), N.first_page_type(F.col("text")).alias("type"))
+
+
+#: (name, day, y, m, part, revised, type)
+_FILES = [
+    ("jan2016.pdf", None, 2016, 1, None, False, "unknown"), ("minutes-202111.pdf", None, 2021, 11, None, False, "unknown"), ("minutes-20221109.pdf", "2022-11-09", None, None, None, False, "unknown"),
+    ("Combined-Hearing-Minutes-10-13-16.pdf", "2016-10-13", None, None, None, False, "combined"), ("special minutes 9_18_17.pdf", "2017-09-18", None, None, None, False, "special"),
+    ("board_minutes_292021_signed.pdf", "2021-02-09", None, None, None, False, "unknown"), ("Minutes-December-19-2023-full.pdf", "2023-12-19", None, None, None, False, "unknown"), ("Minutes-05-13-25-Part-1.pdf", "2025-05-13", None, None, 1, False, "unknown"),
+    ("Minutes-05-13-25-Part-2.pdf", "2025-05-13", None, None, 2, False, "unknown"), ("Minutes-05-13-25-Part-2-revised.pdf", "2025-05-13", None, None, 2, True, "unknown"), ("Pages-12-10-24-2.pdf", "2024-12-10", None, None, 2, False, "unknown"),
+    ("Public-Hearing-06-13-2023.pdf", "2023-06-13", None, None, None, False, "public_hearing"), ("Pages-from-Minutes-4.pdf", None, None, None, 4, False, "unknown"), ("minutes-6-7-22-rev.pdf", "2022-06-07", None, None, None, True, "unknown"),
+]
+
+
+def _lit(x) -> str:
+    return "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+
+
+@query("SELECT filename, CAST(day AS DATE) AS day, CAST(y AS INT) AS y, CAST(m AS INT) AS m, CAST(part_no AS INT) AS part_no, is_revised, doc_type FROM (VALUES " + ", ".join("(" + ", ".join(map(_lit, r)) + ")" for r in _FILES) + ") v(filename, day, y, m, part_no, is_revised, doc_type)")
+def parse_filenames(spark: SparkSession, d: str) -> DataFrame:
+    return _files(spark).select("filename", "day", "y", "m", "part_no", "is_revised", "doc_type")
+
+
+def _files(spark):
+    return G.parse_files(spark.createDataFrame([(i, "docs/" + r[0]) for i, r in enumerate(_FILES)], "ord int, href string"))
+
+
+@query("""SELECT group_id, CAST(day AS DATE) AS day, files, is_revised FROM (VALUES ('cb1-2016-01', NULL, ['jan2016.pdf'], false), ('cb1-2021-11', NULL, ['minutes-202111.pdf'], false), ('cb1-2022-11-09', '2022-11-09', ['minutes-20221109.pdf'], false),
+  ('cb1-2016-10-13', '2016-10-13', ['Combined-Hearing-Minutes-10-13-16.pdf'], false), ('cb1-2017-09-18', '2017-09-18', ['special minutes 9_18_17.pdf'], false), ('cb1-2021-02-09', '2021-02-09', ['board_minutes_292021_signed.pdf'], false),
+  ('cb1-2023-12-19', '2023-12-19', ['Minutes-December-19-2023-full.pdf'], false), ('cb1-2025-05-13', '2025-05-13', ['Minutes-05-13-25-Part-1.pdf', 'Minutes-05-13-25-Part-2-revised.pdf'], true), ('cb1-2024-12-10', '2024-12-10', ['Pages-12-10-24-2.pdf'], false),
+  ('cb1-2023-06-13', '2023-06-13', ['Public-Hearing-06-13-2023.pdf'], false), ('cb1-2022-06-07', '2022-06-07', ['minutes-6-7-22-rev.pdf'], true)) v(group_id, day, files, is_revised)""")
+def group_parts(spark: SparkSession, d: str) -> DataFrame:
+    return G.group_files(_files(spark)).select("group_id", "day", "files", "is_revised")
+
+
+@query("SELECT f AS filename, g AS group_id FROM (VALUES ('Pages-from-Minutes.pdf', 'a')) v(f, g)")
+def inherit_stem(spark: SparkSession, d: str) -> DataFrame:
+    f = spark.createDataFrame([(2, "b", "Pages-from-Minutes-7", 7), (1, "a", "Pages-from-Minutes-4", 4), (0, "c", "Other-1", 1)], "ord int, group_id string, stem string, part_no int")
+    return G.inherit(spark.createDataFrame([("Pages-from-Minutes.pdf", "Pages-from-Minutes")], "filename string, stem string"), f)
+
+
+@query("""SELECT id, CAST(day AS DATE) AS day, source, CAST(confidence AS DOUBLE) AS confidence, type, CAST(warned AS BIGINT) AS warned FROM (VALUES (1, '2020-01-02', 'content', 1.0, 'special', 0), (2, '2020-01-03', 'content', 0.9, 'combined', 1),
+  (3, '2020-01-02', 'filename', 0.5, 'committee', 0), (4, '2020-02-01', 'content', 0.8, 'other', 1), (5, NULL, NULL, 0.0, 'combined', 0)) v(id, day, source, confidence, type, warned)""")
+def resolve_dates(spark: SparkSession, d: str) -> DataFrame:
+    rows = [(1, "2020-01-02", None, None, "special", "2020-01-02", "other", "text"), (2, "2020-01-02", None, None, "unknown", "2020-01-03", None, "text"), (3, "2020-01-02", None, None, "unknown", None, "committee", "text"), (4, None, 2020, 1, "unknown", "2020-02-01", "other", "vision"), (5, None, None, None, "unknown", None, None, "text")]
+    f = spark.createDataFrame(rows, "id int, nd string, ny int, nm int, nt string, pd string, pt string, method string")
+    r = N.resolve(F.col("nd").cast("date"), F.col("ny"), F.col("nm"), F.col("nt"), F.col("pd").cast("date"), F.col("pt"), F.col("method"))
+    return f.select("id", r.alias("r")).select("id", "r.day", "r.source", "r.confidence", "r.type", F.size("r.warnings").cast("bigint").alias("warned"))
