@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,11 +25,7 @@ def strip_honorifics(c: Column, titles: str = "mr|mrs|ms|mx|dr|hon|councilmember
 
 def title_case(c: Column) -> Column:
     """A capital after every non-letter, so also after an apostrophe or hyphen, the rest in lower case."""
-    from pyspark.sql.types import StringType
-
-    import pandas as pd
-
-    @F.pandas_udf(StringType())
+    @F.pandas_udf("string")
     def f(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else x.title())
 
@@ -42,8 +39,6 @@ def strip_fences(c: Column) -> Column:
 
 def percent_quoted(c: Column) -> Column:
     """A path with blanks, quotes and non-ASCII characters percent-encoded; '/', ':' and '%' stay."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def f(s: pd.Series) -> pd.Series:
         from urllib.parse import quote

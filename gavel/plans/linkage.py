@@ -1 +1,95 @@
-"""Queries."""
+"""Record linkage, evaluation and the entity graph."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
+from ..functions import fuzzy as Z
+from ..operators import evaluate as E
+from ..operators import graph as G
+from ..operators.components import connected_components
+from ..session import table
+from .catalogue import query
+from .records import domain, speakers, votes
+
+_PAIRS = [("cafe roma", "cafe roma ii"), ("kitten", "sitting"), ("a b c", "c b a"), ("north star bar", "north bar"), ("", "")]
+
+
+@query("SELECT a, b, CAST(r AS DOUBLE) AS r, CAST(so AS DOUBLE) AS so, CAST(se AS DOUBLE) AS se FROM (VALUES ('cafe roma', 'cafe roma ii', 85.7143, 85.7143, 100), ('kitten', 'sitting', 61.5385, 61.5385, 61.5385), ('a b c', 'c b a', 60, 100, 100), ('north star bar', 'north bar', 78.2609, 78.2609, 100), ('', '', 100, 100, 0)) v(a, b, r, so, se)")
+def fuzzy_scores(spark: SparkSession, d: str) -> DataFrame:
+    p = spark.createDataFrame(_PAIRS, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    return p.select("a", "b", F.round(Z.ratio(a, b), 4).alias("r"), F.round(Z.token_sort_ratio(a, b), 4).alias("so"), F.round(Z.token_set_ratio(a, b), 4).alias("se"))
+
+
+def _sides(spark, d):
+    """Cannabis records of each meeting as found, licences of the meeting as golden."""
+    key = C.match_key(F.col("applicant_name"), F.col("address"))
+    gold = table(spark, d, "licenses").select("meeting_id", F.col("license_id").alias("gi"), key.alias("key"))
+    found = table(spark, d, "cannabis").select("meeting_id", F.col("cannabis_id").alias("ei"), key.alias("key"))
+    return gold, found
+
+
+@query()
+def greedy_match(spark: SparkSession, d: str) -> DataFrame:
+    gold, found = _sides(spark, d)
+    return E.greedy(E.candidates(gold, found, ["meeting_id"]), ["meeting_id"])
+
+
+@query()
+def scorecard(spark: SparkSession, d: str) -> DataFrame:
+    gold, found = _sides(spark, d)
+    m = E.greedy(E.candidates(gold, found, ["meeting_id"]), ["meeting_id"])
+    return E.scorecard(gold, found, m, ["meeting_id"])
+
+
+@query("SELECT gi, ei FROM (VALUES (0, 0), (1, 1)) v(gi, ei)")
+def greedy_prefers_best(spark: SparkSession, d: str) -> DataFrame:
+    g = spark.createDataFrame([("m", 0, "cafe roma ii"), ("m", 1, "cafe roma"), ("m", 2, "")], "meeting_id string, gi int, key string")
+    e = spark.createDataFrame([("m", 0, "cafe roma"), ("m", 1, "cafe roma ii")], "meeting_id string, ei int, key string")
+    return E.greedy(E.candidates(g, e, ["meeting_id"]), ["meeting_id"]).select("gi", "ei")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS votes, count(*) FILTER (WHERE a.yes = b.yes AND a.no = b.no AND a.abstain = b.abstain AND a.recusal = b.recusal) AS exact FROM votes a JOIN votes b ON a.vote_id = b.vote_id AND a.loaded_at < b.loaded_at")
+def tallies_exact(spark: SparkSession, d: str) -> DataFrame:
+    """Rows delivered twice: how many have the same tally."""
+    v = table(spark, d, "votes").select("vote_id", "loaded_at", "yes", "no", "abstain", "recusal")
+    names = ["yes", "no", "abstain", "recusal"]
+    w = v.select("vote_id", F.col("loaded_at").alias("later"), *[F.col(c).alias(f"{c}2") for c in names])
+    j = v.join(w, "vote_id").filter("loaded_at < later")
+    return j.agg(F.count(F.lit(1)).alias("votes"), F.count_if(E.tallies_exact([F.col(c) for c in names], [F.col(f"{c}2") for c in names])).alias("exact"))
+
+
+@query()
+def canonical_names(spark: SparkSession, d: str) -> DataFrame:
+    n = speakers(spark, d).filter("name IS NOT NULL").groupBy(C.strip_honorifics(F.col("name")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return G.canonical_names(n)
+
+
+def _frame(spark, d):
+    dates = table(spark, d, "meetings").select("meeting_id", "date")
+    s = speakers(spark, d).select("meeting_id", F.lower("name").alias("person"), domain("topic").alias("entity"), F.lit("testimony").alias("channel"), F.coalesce("position", F.lit("unclear")).alias("position"), F.col("speaker_id").alias("ord"), "topic")
+    v = votes(spark, d).select("meeting_id", F.lower("mover").alias("person"), domain("motion_text").alias("entity"), F.lit("motion").alias("channel"), F.lit("for").alias("position"), F.col("vote_id").alias("ord"), F.col("topic_category").alias("topic"))
+    return s.unionByName(v).join(dates, "meeting_id")
+
+
+@query()
+def graph_edges(spark: SparkSession, d: str) -> DataFrame:
+    e = G.edges(_frame(spark, d))
+    return e.withColumn("samples", F.array_join("samples", "; "))
+
+
+@query()
+def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
+    return G.nodes(G.edges(_frame(spark, d)))
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT lower(mover) AS a, lower(seconder) AS b FROM votes WHERE mover IS NOT NULL AND seconder IS NOT NULL AND lower(mover) <> lower(seconder)),
+  s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(id, root) AS (SELECT a, a FROM s UNION SELECT s.b, r.root FROM r JOIN s ON s.a = r.id)
+  SELECT id, min(root) AS component FROM r GROUP BY 1""")
+def motion_circles(spark: SparkSession, d: str) -> DataFrame:
+    """Members joined by moving and seconding."""
+    e = table(spark, d, "votes").select(F.lower("mover").alias("src"), F.lower("seconder").alias("dst")).dropna()
+    return connected_components(e)
