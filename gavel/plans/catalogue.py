@@ -33,7 +33,7 @@ def contested_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import documents, linkage, records, statistics, text  # noqa: F401  each registers its queries
+    from . import documents, events, linkage, records, statistics, text  # noqa: F401  each registers its queries
 
     return dict(_QUERIES)
 
