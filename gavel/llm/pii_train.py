@@ -97,7 +97,45 @@ A pedestrian, {n}, remains in critical condition. No name was released.
 {name} asked that replies on {topic} go to {email}.
 {name} wrote from {email} that {topic} had been ignored.
 Motion by {name}, seconded by {name}, result 28-2-1.
-Contact: {name}, {phone}, {email}.""".split("\n")
+Contact: {name}, {phone}, {email}.
+Please call {name} back at {phone} before noon.
+I am {name} and I live at {addr}.
+See {name} at {addr} for the key.
+{name} signed in from {addr}; badge {id}.
+We met {name} near {cross} on the way to {biz}.
+Thanks to {name} and {name} of {org} for the photos.
+Reply to {email} or ring {phone}.
+Her {id} was read aloud by mistake.
+Delivery for {name}, {addr}, tel. {phone}.
+The landlord, {name}, did not answer at {phone}.
+Case {case} was opened by {name} on the {n}th.
+The van belongs to {biz} and parks at {cross}.
+Owner {name} can be mailed at {email}.
+Mi nombre es {name} y mi teléfono es {phone}.
+Nazywam się {name}, mieszkam przy {addr}, mail {email}.
+{name} asked, {name} answered, and {org} took notes.
+Notes: {phone} ({name}); {email}.
+{name}
+{email}
+{phone}
+{addr}""".split("\n")
+FILL = """the a our that this some every no one and but then so with without after before during about for against on in from over under while because if when we they she he it who which
+noise letter hearing report budget trees corner school library bench market traffic water garden lights board chair motion office clerk window street bus delay repair permit question
+said asked wrote called told brought showed gave took left heard wants needs opened closed signed parked waited lost found again later today very still only more never often""".split()
+JOIN = {"name": ["", "by ", "from ", "with ", "for ", "and ", "to ", "Mr. and "], "addr": ["at ", "near ", "of ", "from ", "outside ", "to "], "phone": ["at ", "on ", "call ", "tel. ", "phone ", "from "], "email": ["at ", "to ", "via ", "mail ", "from "],
+    "id": ["", "with ", "has ", "showed "], "case": ["case ", "file ", "no. ", "docket "], "org": ["for ", "of ", "from "], "place": ["at the ", "near the "], "biz": ["at ", "outside "], "cross": ["at ", "near "]}
+
+
+def _loose() -> str:
+    """A frame of loose words with details strewn in, so that no wording is needed to tell one."""
+    out = []
+    for _ in range(_R.randrange(1, 4)):
+        out += [_R.choice(FILL) for _ in range(_R.randrange(0, 7))]
+        kind = _R.choice([*JOIN, "name", "name", "addr", "phone", "email"])
+        out.append(_R.choice(JOIN[kind]) + "{" + kind + "}" + _R.choice(["", "", "", ",", ".", ";"]))
+    out += [_R.choice(FILL) for _ in range(_R.randrange(0, 5))]
+    s = " ".join(out)
+    return (s[0].upper() + s[1:] if s[0] != "{" else s) + "."
 VICTIMS = """{name}
 {name}
 {name}
@@ -291,7 +329,7 @@ def sample() -> tuple[str, list[int]]:
     if r < 0.14:
         parts = sentence(_R.choice(VICTIMS))
     else:
-        parts = sentence(_R.choice(FRAMES))
+        parts = sentence(_loose() if _R.random() < 0.18 else _R.choice(FRAMES))
         if _R.random() < 0.35:
             parts += [(" ", ""), *sentence(_R.choice(TAILS))]
         if _R.random() < 0.3:
@@ -304,7 +342,7 @@ def sample() -> tuple[str, list[int]]:
     return text, tags
 
 
-def train(out: str, seconds: float, hidden: int = 56, emb: int = 24, seed: int = 7) -> None:
+def train(out: str, seconds: float, hidden: int = 60, emb: int = 24, seed: int = 7) -> None:
     _R.seed(seed)
     rng = np.random.default_rng(seed)
     p = init(hidden, emb, rng)

@@ -103,6 +103,19 @@ def _street(tokens: list[str]) -> tuple[str, str, str] | None:
     return d, name, kind
 
 
+def _tokens(s: str) -> list[str]:
+    """Words of a street, ordinals written apart ('10 th') joined; 'st' after a number is an ordinal only where a kind follows."""
+    t = re.sub(r"[^\w\s-]", " ", s).split()
+    out: list[str] = []
+    for i, w in enumerate(t):
+        apart = out and re.fullmatch(r"[\dlo]*\d[\dlo]*", out[-1]) and i
+        if apart and (w in ("nd", "rd", "th") or w == "st" and any(_kind(x) for x in t[i + 1 :])):
+            out[-1] += w
+        else:
+            out.append(w)
+    return [_digits(w) for w in out]
+
+
 def tail(value: str) -> str | None:
     """The word alone between commas before a region code or postal code at the end of a value."""
     m = re.search(r",\s*([^\W\d_]{3,})\s*,\s*(?:[a-z]{2}|(?:[a-z]{2}\s+)?\d{5})\W*$", unicodedata.normalize("NFKC", value).lower())
@@ -168,7 +181,7 @@ def parse(value: str, localities: frozenset[str] = frozenset()) -> tuple[str, st
     crossing = bool(_CROSS_LEAD.match(s))
     s = _CROSS_LEAD.sub("", s)
     sides = [x.strip(" ,") for x in _SEP.split(s) if x.strip(" ,")]
-    token = lambda x: [_digits(t) for t in re.sub(r"\b([\dlo]+) (st|nd|rd|th)\b(?!\s*$)", r"\1\2", re.sub(r"[^\w\s-]", " ", x)).split()]
+    token = _tokens
     number = re.compile(r"\d+(?:-\d+)?[a-h]?")
     if len(sides) == 2 and not number.fullmatch((token(sides[0]) or [""])[0]) or crossing and len(sides) >= 2:
         both = [_street(token(x)) for x in sides[:2]]

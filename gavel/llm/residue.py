@@ -211,9 +211,8 @@ def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for b in batches:
-            v = [m.verdict(x) for x in b["t"]]
-            keep = [x is not None for x in v]
-            yield pd.DataFrame({"doc_id": b["i"][keep], "verdict": [x for x in v if x is not None]})
+            rows = [(i, v) for i, t in zip(b["i"].tolist(), b["t"].tolist()) if (v := m.verdict(t))]
+            yield pd.DataFrame(rows, columns=["doc_id", "verdict"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter("t IS NOT NULL").mapInPandas(score, f"doc_id {kind}, verdict string")
