@@ -58,7 +58,7 @@ PURPOSES = ["civic league", "merchants alliance", "block association", "tenants
 LINES = ["hospitality", "restaurant group", "catering services", "food beverage", "kitchen partners", "brewing company", "wine imports", "entertainment", "ventures", "management", "lounge", "tavern", "holdings", "enterprises"]
 #: Abbreviations whose letters do not stand in the full word in that order.
 _SHORT = {"centre": "center", "lnge": "lounge", "tav": "tavern", "bros": "brothers", "grp": "group", "svcs": "services", "svc": "services", "mgmt": "management", "mgt": "management", "bev": "beverage", "hsg": "housing", "blk": "block"}
-_LEGAL = r"(?:l\s*l\s*c|inc|incorporated|corp|corporation|ltd|limited(?:\s+liability\s+co(?:mpany)?)?|co|company limited|l\s*l\s*p)"
+_LEGAL = r"(?:l\s*l\s*c|inc|incorporated|corp|corporation|ltd|limited(?:\s+liability\s+co(?:mpany)?)?|co|l\s*l\s*p)"
 NO_ORGANISATION = r"(?i)^\W*((the |a |an |local |area |long[- ]?time |nearby |concerned |private )*(resident|neighbou?r|homeowner|tenant|citizen|member of the public|individual|parent|visitor|shop ?owner|business owner|property owner|worker|student|public)s?|self|n/?a|none|no affiliation|unaffiliated|unknown|private|not given|not stated|independent|himself|herself|themselves|-+|tbd)\W*$"
 _TITLE = re.compile(r"^(?:(?:mr|mrs|ms|mx|dr|hon|rev|sen|prof|councilmember|council member|miss|sir)\b\.?,?\s+)+")
 _REMARK = re.compile(r"\((?:via|on|by) [^)]*\)|\bvia zoom\b|[,\s]+(?:esq|phd|ph d|md|jr|sr|iii|ii|cpa|aia)\b\.?(?=\s*(?:,|\(|$))")
@@ -148,13 +148,30 @@ def _stands_for(w: str, full: str) -> bool:
     return full.startswith(w) or len(w) >= 3 and w != full and all(c in it for c in w)
 
 
+def _unglue(words: list[str], purposes: list[str]) -> list[str]:
+    """Words that ran into a word of a purpose, cut before or after it where the rest of the purpose follows."""
+    out: list[str] = []
+    for i, w in enumerate(words):
+        for p in purposes:
+            full = p.split()
+            hit = next((k for k, f in enumerate(full) if len(f) > 3 and w.endswith(f) and len(w) >= len(f) + 3 and words[i + 1 : i + len(full) - k] == full[k + 1 :]), None)
+            if hit is not None:
+                head = w[: -len(full[hit])]
+                out += [head, full[hit]]
+                break
+        else:
+            out.append(w)
+    return out
+
+
 def organisation(s: str, purposes: list[str]) -> tuple[str, list[str]] | None:
     """(purpose, names) of a cleaned value, or None where no purpose shows."""
     s = re.sub(r"\([^)]{1,6}\)", " ", s).replace("-", " ")
-    s = re.sub(rf"[\s,]+{_LEGAL}\W*$", " ", " " + re.sub(r"\.", " ", s))
+    s = re.sub(r"\bf\s*&\s*b\b", "food beverage", re.sub(r"\bbrewing co\b", "brewing company", " " + s.replace(".", " ")))
+    s = re.sub(rf"[\s,]+{_LEGAL}\W*$", " ", s)
     s = re.sub(r"['’]s?\b", "", s)
-    s = re.sub(r"\s*(?:&|\+|/|\band\b)\s*", " & ", s).replace("food & bev", "food bev")
-    s = re.sub(r"(\bfood)\s*\W*\s*&\W*\s*(?=bev|bcv|b\w*v\w*r)", r"\1 ", s)
+    s = re.sub(r"\s*(?:&|\+|/|\band\b)\s*", " & ", s)
+    s = re.sub(r"(\bfood)\s*\W*\s*&\W*\s*(?=b\w+)", r"\1 ", s)
     t = [w for w in re.sub(r"[^\w&, ]", " ", s).replace(",", " , ").split()]
     while t and t[0] in ("the", ","):
         t = t[1:]
@@ -167,6 +184,7 @@ def organisation(s: str, purposes: list[str]) -> tuple[str, list[str]] | None:
             words[at : at + 2] = [words[at] + words[at + 1]]
     if words and (m := re.fullmatch(r"(\w{4,})(?:inc|llc|ltd|corp)", words[-1])) and any(_stands_for(m.group(1), f) for p in purposes for f in p.split()):
         words[-1] = m.group(1)
+    words = _unglue(words, purposes)
     best = None
     for p in purposes:
         full = p.split()

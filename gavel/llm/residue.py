@@ -65,6 +65,9 @@ TRUSTED = [
     "Your session has timed out. Please refresh this window.",
     "502 Bad gateway. Request id 7c1. Try again in 2 minutes.",
     "A script-capable browser is required. Turn on scripts and reload this page.",
+    "Tu wpisz tekst Tu wpisz tekst Tu wpisz tekst.",
+    "Escriba su texto aquí. Escriba su texto aquí. Texto de ejemplo.",
+    "Przykładowy tekst. Przykładowy tekst. Przykładowy tekst.",
     "Your paragraph here. Your paragraph here. Add your own text. Insert text here.",
     "Active los scripts de su navegador para ver esta página.",
     "Página no encontrada. La dirección ejemplo.example no existe o fue movida. Vuelva al inicio.",
@@ -121,18 +124,19 @@ def slots(text: str) -> list[list[str]]:
         mask = re.sub(r"(?:w[ _]?)+", "w", re.sub(r"\d+", "9", mask))
         left, right = re.match(r"[^\w\s]*", s).group(), re.search(r"[^\w\s]*$", s).group()
         f = [f"edge:{left}|{right}", f"mask:{mask}"]
-        f += [f"in:{left[:1]}{w.lower()}" for w in inner[:6]] * 2
+        f += [f"in:{left[:1]}{w.lower()}" for w in inner[:6]] + [f"in:{w.lower()}" for w in inner[:6]]
         f += [f"quoted:{quoted}"] * 2
         f.append(f"case:{'up' if s.isupper() else 'low' if s.islower() else 'mix'}")
         out.append(f)
     return out
 
 
-def fit(positive: list[list[str]], unlabelled: list[list[str]], rounds: int = 8, trust: float = 4.0, mu: float = 0.25, prior: float = 0.1) -> tuple[dict[str, float], float]:
+def fit(positive: list[list[str]], unlabelled: list[list[str]], rounds: int = 8, trust: float = 4.0, mu: float = 0.25, prior: float = 0.1, odds: float | None = None) -> tuple[dict[str, float], float]:
     """Weights log P(f|positive)/P(f|rest) and the prior log-odds, by EM with the trusted side held at 1.
 
     Both classes are smoothed toward the corpus, with `mu` of their own mass: a feature that the positive side never
-    showed speaks mildly against it however rare it is. `trust` multiplies the trusted records.
+    showed speaks mildly against it however rare it is. `trust` multiplies the trusted records; `odds` fixes the prior log-odds,
+    which otherwise follow the share of positives.
     """
     vocab: dict[str, int] = {}
     rows = [np.fromiter((vocab.setdefault(f, len(vocab)) for f in r), np.int64, len(r)) for r in [*positive, *unlabelled]]
@@ -147,6 +151,7 @@ def fit(positive: list[list[str]], unlabelled: list[list[str]], rounds: int = 8,
     post = np.where(held, 1.0, prior)
     if not len(unlabelled):
         return {f: 1.0 for f in vocab}, 0.0
+    lean = 0.0
     for r in range(rounds):
         pos = np.bincount(ids, (post * scale)[owner], len(vocab))
         neg = np.bincount(ids, ((1 - post) * scale)[owner], len(vocab))
@@ -154,12 +159,12 @@ def fit(positive: list[list[str]], unlabelled: list[list[str]], rounds: int = 8,
             pos = np.bincount(ids, (held * scale)[owner], len(vocab))
         w = np.log((pos / max(pos.sum(), 1e-9) + mu * base) / (neg / max(neg.sum(), 1e-9) + mu * base))
         share = float(np.clip(post[~held].mean(), 1e-4, 0.5))
-        odds = math.log(share / (1 - share))
-        new = np.where(held, 1.0, 1 / (1 + np.exp(-np.clip(odds + np.bincount(owner, w[ids], len(rows)), -40, 40))))
+        lean = math.log(share / (1 - share)) if odds is None else odds
+        new = np.where(held, 1.0, 1 / (1 + np.exp(-np.clip(lean + np.bincount(owner, w[ids], len(rows)), -40, 40))))
         moved, post = np.abs(new - post).max(), new
         if moved < 1e-3:
             break
-    return {f: float(w[k]) for f, k in vocab.items()}, odds
+    return {f: float(w[k]) for f, k in vocab.items()}, lean
 
 
 class Model:
@@ -199,7 +204,7 @@ def train(docs: DataFrame, text_col: str = "text", trusted: Iterable[str] | None
     rows = docs.filter(t.isNotNull() & (F.length(F.trim(t)) > 0) & (F.length(t) <= sample_chars)).select(F.xxhash64(t).alias("h"), t.alias("t")).orderBy("h").limit(sample_rows).collect()
     texts = list(dict.fromkeys(r["t"] for r in rows))
     record, _ = fit([words(x) for x in (trusted or TRUSTED)], [words(x) for x in texts])
-    slot = fit([s for x in (trusted_slots or TRUSTED_SLOTS) for s in slots(x)], [s for x in texts for s in slots(x)], trust=1.0, mu=0.02)
+    slot = fit([s for x in (trusted_slots or TRUSTED_SLOTS) for s in slots(x)], [s for x in texts for s in slots(x)], trust=1.0, mu=0.02, odds=0.0)
     return Model(record, slot)
 
 
