@@ -12,7 +12,9 @@ from ..operators.bandjoin import band_sweep as sweep
 from ..session import table
 from .catalogue import query
 
-N = F.count(F.lit(1))
+def N():
+    return F.count(F.lit(1))
+
 #: Topic domains: the first whose word occurs wins.
 DOMAINS = [("nightlife", ["liquor", "bar ", "terrace", "licence"]), ("land use", ["rezon", "housing", "unit", "tower"]), ("parks", ["park", "tree", "dog", "playground"]), ("streets", ["street", "bike", "truck", "bus ", "curb", "crossing"])]
 
@@ -56,12 +58,12 @@ def latest_votes(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT topic_category, count(*) AS n, CAST(sum(no) AS BIGINT) AS no_votes FROM {_LV} v JOIN meetings USING (meeting_id) WHERE no > 0 GROUP BY 1")
 def contested_by_topic(spark: SparkSession, d: str) -> DataFrame:
     v = votes(spark, d).filter("no > 0").select("meeting_id", "topic_category", "no")
-    return v.join(dates(spark, d), "meeting_id").groupBy("topic_category").agg(N.alias("n"), F.sum("no").cast("bigint").alias("no_votes"))
+    return v.join(dates(spark, d), "meeting_id").groupBy("topic_category").agg(N().alias("n"), F.sum("no").cast("bigint").alias("no_votes"))
 
 
 @query("SELECT count(*) AS meetings, min(date) AS first, max(date) AS last, count(DISTINCT year(date)) AS years FROM meetings")
 def corpus_span(spark: SparkSession, d: str) -> DataFrame:
-    return dates(spark, d).agg(N.alias("meetings"), F.min("date").alias("first"), F.max("date").alias("last"), F.countDistinct(F.year("date")).alias("years"))
+    return dates(spark, d).agg(N().alias("meetings"), F.min("date").alias("first"), F.max("date").alias("last"), F.countDistinct(F.year("date")).alias("years"))
 
 
 _SOURCES = ["native", "embedded_ocr", "vision_ocr", "mixed"]
@@ -76,7 +78,7 @@ def year_source_pivot(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT CAST(year(date) AS BIGINT) AS year, count(*) AS records, count(*) FILTER (WHERE application_type = 'new') AS new FROM licenses JOIN meetings USING (meeting_id) GROUP BY 1")
 def docket_by_year(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "licenses").select("meeting_id", "application_type").join(dates(spark, d), "meeting_id")
-    return t.groupBy(year()).agg(N.alias("records"), F.count_if(F.col("application_type") == "new").alias("new"))
+    return t.groupBy(year()).agg(N().alias("records"), F.count_if(F.col("application_type") == "new").alias("new"))
 
 
 @query(f"""SELECT CAST(year(date) AS BIGINT) AS year, count(*) FILTER (WHERE yes + no > 0) AS tallied, count(*) FILTER (WHERE yes + no > 0 AND no > 0) AS contested,
@@ -97,7 +99,7 @@ def motion_search(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT y.year, count(c.cannabis_id) AS n FROM (SELECT unnest(generate_series(2012, 2028)) AS year) y
           LEFT JOIN (SELECT cannabis_id, year(date) AS year FROM cannabis JOIN meetings USING (meeting_id)) c ON c.year = y.year GROUP BY 1""")
 def year_spine(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "cannabis").select("meeting_id").join(dates(spark, d), "meeting_id").groupBy(year()).agg(N.alias("n"))
+    n = table(spark, d, "cannabis").select("meeting_id").join(dates(spark, d), "meeting_id").groupBy(year()).agg(N().alias("n"))
     return spark.range(2012, 2029).withColumnRenamed("id", "year").join(n, "year", "left").na.fill(0, ["n"])
 
 
@@ -120,31 +122,31 @@ def biography(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT coalesce(text_source, 'TOTAL') AS text_source, count(*) AS meetings, CAST(sum(pages_minutes_body) AS BIGINT) AS pages, round(sum(cost_usd), 4) AS cost
           FROM meetings WHERE text_source IS NOT NULL GROUP BY ROLLUP (text_source)""")
 def rollup_cost_source(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "meetings").filter("text_source IS NOT NULL").rollup("text_source").agg(N.alias("meetings"), F.sum("pages_minutes_body").cast("bigint").alias("pages"), F.round(F.sum("cost_usd"), 4).alias("cost"), F.grouping_id().alias("g"))
+    m = table(spark, d, "meetings").filter("text_source IS NOT NULL").rollup("text_source").agg(N().alias("meetings"), F.sum("pages_minutes_body").cast("bigint").alias("pages"), F.round(F.sum("cost_usd"), 4).alias("cost"), F.grouping_id().alias("g"))
     return m.select(F.when(F.col("g") > 0, "TOTAL").otherwise(F.col("text_source")).alias("text_source"), "meetings", "pages", "cost")
 
 
 @query(f"SELECT count(*) AS speakers, count(DISTINCT meeting_id) AS meetings, count(DISTINCT name) AS names FROM {_LS}")
 def speakers_meetings(spark: SparkSession, d: str) -> DataFrame:
-    return speakers(spark, d).agg(N.alias("speakers"), F.countDistinct("meeting_id").alias("meetings"), F.countDistinct("name").alias("names"))
+    return speakers(spark, d).agg(N().alias("speakers"), F.countDistinct("meeting_id").alias("meetings"), F.countDistinct("name").alias("names"))
 
 
 @query(f"SELECT {_DOMAIN_SQL.format(c='topic')} AS topic_domain, count(*) FILTER (WHERE position = 'against') AS against, count(*) FILTER (WHERE position = 'for') AS pro FROM {_LS} GROUP BY 1 HAVING count(*) >= 10")
 def domain_case(spark: SparkSession, d: str) -> DataFrame:
-    g = speakers(spark, d).groupBy(domain("topic").alias("topic_domain")).agg(N.alias("n"), F.count_if(F.col("position") == "against").alias("against"), F.count_if(F.col("position") == "for").alias("pro"))
+    g = speakers(spark, d).groupBy(domain("topic").alias("topic_domain")).agg(N().alias("n"), F.count_if(F.col("position") == "against").alias("against"), F.count_if(F.col("position") == "for").alias("pro"))
     return g.filter("n >= 10").drop("n")
 
 
 @query(f"""SELECT name, count(*) AS n, count(DISTINCT meeting_id) AS meetings, string_agg(DISTINCT position, ', ' ORDER BY position) AS positions FROM {_LS}
            WHERE name IS NOT NULL GROUP BY 1 ORDER BY n DESC, name LIMIT 20""")
 def top_actors(spark: SparkSession, d: str) -> DataFrame:
-    g = speakers(spark, d).filter("name IS NOT NULL").groupBy("name").agg(N.alias("n"), F.countDistinct("meeting_id").alias("meetings"), F.array_join(F.sort_array(F.collect_set("position")), ", ").alias("positions"))
+    g = speakers(spark, d).filter("name IS NOT NULL").groupBy("name").agg(N().alias("n"), F.countDistinct("meeting_id").alias("meetings"), F.array_join(F.sort_array(F.collect_set("position")), ", ").alias("positions"))
     return g.orderBy(F.desc("n"), "name").limit(20)
 
 
 @query(f"SELECT affiliation, count(*) AS n, count(DISTINCT name) AS people FROM {_LS} WHERE affiliation IS NOT NULL GROUP BY 1 HAVING count(*) >= 5")
 def having_affiliation(spark: SparkSession, d: str) -> DataFrame:
-    return speakers(spark, d).filter("affiliation IS NOT NULL").groupBy("affiliation").agg(N.alias("n"), F.countDistinct("name").alias("people")).filter("n >= 5")
+    return speakers(spark, d).filter("affiliation IS NOT NULL").groupBy("affiliation").agg(N().alias("n"), F.countDistinct("name").alias("people")).filter("n >= 5")
 
 
 _ADDRESS = r"[0-9]+[- ]?[0-9]* [A-Za-z]+ (Ave|St|Pl|Rd|Dr|Street|Avenue|Place|Road|Drive)"
@@ -154,7 +156,7 @@ _ADDRESS = r"[0-9]+[- ]?[0-9]* [A-Za-z]+ (Ave|St|Pl|Rd|Dr|Street|Avenue|Place|Ro
 def hidden_group_key(spark: SparkSession, d: str) -> DataFrame:
     key = F.regexp_extract("location", _ADDRESS, 0)
     t = table(spark, d, "incidents").filter(key != "").join(dates(spark, d), "meeting_id")
-    return t.groupBy(key.alias("_k")).agg(N.alias("n"), F.min("date").alias("first")).drop("_k")
+    return t.groupBy(key.alias("_k")).agg(N().alias("n"), F.min("date").alias("first")).drop("_k")
 
 
 def outcome_class(c: str):
@@ -170,14 +172,14 @@ def _outcome_sql(c: str) -> str:
 
 @query(f"SELECT {_outcome_sql('committee_recommendation')} AS committee, {_outcome_sql('board_action')} AS board, count(*) AS n FROM licenses GROUP BY 1, 2")
 def cross_tab(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "licenses").groupBy(outcome_class("committee_recommendation").alias("committee"), outcome_class("board_action").alias("board")).agg(N.alias("n"))
+    return table(spark, d, "licenses").groupBy(outcome_class("committee_recommendation").alias("committee"), outcome_class("board_action").alias("board")).agg(N().alias("n"))
 
 
 @query(f"""SELECT application_type, count(*) AS decided, count(*) FILTER (WHERE o = 'deny') AS denied, round(100.0 * CAST(count(*) FILTER (WHERE o = 'deny') AS DOUBLE) / count(*), 2) AS pct
            FROM (SELECT application_type, {_outcome_sql('board_action')} AS o FROM licenses) WHERE o <> 'other' GROUP BY 1""")
 def denial_rate(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "licenses").select("application_type", outcome_class("board_action").alias("o")).filter("o <> 'other'")
-    g = t.groupBy("application_type").agg(N.alias("decided"), F.count_if(F.col("o") == "deny").alias("denied"))
+    g = t.groupBy("application_type").agg(N().alias("decided"), F.count_if(F.col("o") == "deny").alias("denied"))
     return g.withColumn("pct", F.round(100.0 * F.col("denied").cast("double") / F.col("decided"), 2))
 
 
@@ -191,7 +193,7 @@ def mentioned(spark, d, term="bike corral"):
 @query(f"SELECT topic_category, count(*) AS n, count(*) FILTER (WHERE no > 0) AS contested FROM {_LV} v JOIN meetings USING (meeting_id) JOIN ({_MENTIONED}) x USING (meeting_id) GROUP BY 1")
 def votes_where_mentioned(spark: SparkSession, d: str) -> DataFrame:
     v = votes(spark, d).select("meeting_id", "topic_category", "no")
-    return v.join(dates(spark, d), "meeting_id").join(mentioned(spark, d), "meeting_id").groupBy("topic_category").agg(N.alias("n"), F.count_if(F.col("no") > 0).alias("contested"))
+    return v.join(dates(spark, d), "meeting_id").join(mentioned(spark, d), "meeting_id").groupBy("topic_category").agg(N().alias("n"), F.count_if(F.col("no") > 0).alias("contested"))
 
 
 @query(f"SELECT vote_id, date, CAST(yes AS VARCHAR) || '-' || CAST(no AS VARCHAR) || '-' || CAST(abstain AS VARCHAR) AS tally, substr(motion_text, 1, 60) AS motion FROM {_LV} v JOIN meetings USING (meeting_id) JOIN ({_MENTIONED}) x USING (meeting_id) WHERE no > 0")
@@ -209,12 +211,12 @@ def recurrent_speakers(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT CAST(year(date) AS BIGINT) AS year, coalesce(position, 'unclear') AS position, count(*) AS n FROM {_LS} s JOIN meetings USING (meeting_id) GROUP BY 1, 2")
 def positions_per_year(spark: SparkSession, d: str) -> DataFrame:
-    return speakers(spark, d).select("meeting_id", F.coalesce("position", F.lit("unclear")).alias("position")).join(dates(spark, d), "meeting_id").groupBy(year(), "position").agg(N.alias("n"))
+    return speakers(spark, d).select("meeting_id", F.coalesce("position", F.lit("unclear")).alias("position")).join(dates(spark, d), "meeting_id").groupBy(year(), "position").agg(N().alias("n"))
 
 
 @query(f"SELECT CAST(year(date) AS BIGINT) AS year, topic_category, count(*) AS n FROM {_LV} v JOIN meetings USING (meeting_id) GROUP BY 1, 2")
 def topic_votes_per_year(spark: SparkSession, d: str) -> DataFrame:
-    return votes(spark, d).select("meeting_id", "topic_category").join(dates(spark, d), "meeting_id").groupBy(year(), "topic_category").agg(N.alias("n"))
+    return votes(spark, d).select("meeting_id", "topic_category").join(dates(spark, d), "meeting_id").groupBy(year(), "topic_category").agg(N().alias("n"))
 
 
 _POS = ["for", "against", "neutral", "unclear"]
@@ -240,7 +242,7 @@ def enumerate_conditions(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""SELECT topic_category, count(*) AS n, round(avg(CAST(no > 0 AS INT)), 4) AS rate, round(stddev_samp(CAST(no > 0 AS INT)), 4) AS sd FROM {_LV} WHERE yes + no > 0 GROUP BY 1 HAVING count(*) >= 5""")
 def rate_stddev(spark: SparkSession, d: str) -> DataFrame:
     x = (F.col("no") > 0).cast("int")
-    g = votes(spark, d).filter("yes + no > 0").groupBy("topic_category").agg(N.alias("n"), F.round(F.avg(x), 4).alias("rate"), F.round(F.stddev_samp(x), 4).alias("sd"))
+    g = votes(spark, d).filter("yes + no > 0").groupBy("topic_category").agg(N().alias("n"), F.round(F.avg(x), 4).alias("rate"), F.round(F.stddev_samp(x), 4).alias("sd"))
     return g.filter("n >= 5")
 
 
@@ -270,7 +272,7 @@ def opposed_denied(spark: SparkSession, d: str) -> DataFrame:
     s = speakers(spark, d).filter("position = 'against'").join(dates(spark, d), "meeting_id").select(F.col("date").alias("sd"), F.regexp_extract("source_snippet", _NUM, 1).alias("k")).filter("k <> ''").distinct()
     hit = band_pairs(lic.select("license_id", "date", "k").distinct(), s, "date", "sd", 90, ["k"]).select("license_id").distinct().withColumn("opposed", F.lit(True))
     t = lic.join(hit, "license_id", "left").withColumn("opposed", F.coalesce("opposed", F.lit(False)))
-    return t.groupBy("opposed").agg(N.alias("n"), F.count_if(F.col("o") == "deny").alias("denied"))
+    return t.groupBy("opposed").agg(N().alias("n"), F.count_if(F.col("o") == "deny").alias("denied"))
 
 
 _KIND_SQL = "CASE WHEN regexp_matches(lower(motion_text), 'application|permit|licen|approve') THEN 'application' ELSE 'advocacy' END"
@@ -314,7 +316,7 @@ def cross_channel(spark: SparkSession, d: str) -> DataFrame:
     e = speakers(spark, d).select(F.lower("name").alias("who"), F.lit("speaker").alias("channel"), F.col("topic").alias("what"))
     for c in ("mover", "seconder"):
         e = e.unionByName(v.select(F.lower(c).alias("who"), F.lit(c).alias("channel"), F.col("topic_category").alias("what")))
-    g = e.filter("who IS NOT NULL").groupBy("who").agg(N.alias("records"), F.sort_array(F.collect_set("channel")).alias("c"), F.array_join(F.sort_array(F.collect_set("what")), "; ").alias("topics"))
+    g = e.filter("who IS NOT NULL").groupBy("who").agg(N().alias("records"), F.sort_array(F.collect_set("channel")).alias("c"), F.array_join(F.sort_array(F.collect_set("what")), "; ").alias("topics"))
     return g.filter(F.size("c") > 1).select("who", "records", F.array_join("c", ",").alias("channels"), "topics")
 
 
@@ -343,7 +345,7 @@ def source_files(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT meeting_id, count(*) AS late, CAST(max(CAST(loaded_at AS DATE) - date) AS BIGINT) AS worst FROM licenses JOIN meetings USING (meeting_id) WHERE CAST(loaded_at AS DATE) - date > 60 GROUP BY 1")
 def late_arrivals(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "licenses").select("meeting_id", "loaded_at").join(dates(spark, d), "meeting_id").withColumn("days", F.datediff(F.to_date("loaded_at"), "date")).filter("days > 60")
-    return t.groupBy("meeting_id").agg(N.alias("late"), F.max("days").cast("bigint").alias("worst"))
+    return t.groupBy("meeting_id").agg(N().alias("late"), F.max("days").cast("bigint").alias("worst"))
 
 
 @query("""SELECT incident_id, incident_date, CASE WHEN regexp_matches(incident_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') THEN try_cast(incident_date AS DATE)
