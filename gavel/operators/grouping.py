@@ -41,9 +41,9 @@ def group_files(files: DataFrame, prefix: str = "cb1") -> DataFrame:
 def inherit(fragments: DataFrame, files: DataFrame, group: str = "group_id") -> DataFrame:
     """(filename, group_id): an undated fragment goes to the first group with a numbered file whose name starts with its stem.
 
-    A prefix join made an equality: every file name is cut to the lengths that fragment stems have (a short list).
+    A prefix join made an equality: every file name is cut to the lengths that fragment stems have (at most as many as a file name has characters).
     """
-    lens = [r[0] for r in fragments.select(F.length("stem")).distinct().orderBy(F.length("stem")).limit(500).collect()]
+    lens = [r[0] for r in fragments.select(F.length("stem")).distinct().orderBy(F.length("stem")).collect()]
     if not lens:
         return fragments.select("filename").limit(0).withColumn(group, F.lit(None).cast("string"))
     cut = F.explode(F.filter(F.array(*[F.when(F.length("stem") >= n, F.substring(F.lower("stem"), 1, n)) for n in lens]), lambda x: x.isNotNull()))

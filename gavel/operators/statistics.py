@@ -73,7 +73,7 @@ def mann_whitney(df: DataFrame, value: str, first: Column) -> DataFrame:
     d = df.filter(F.col(value).isNotNull()).select(value, first.cast("int").alias("_g")).filter("_g IS NOT NULL")
     r = average_ranks(d, value, "_r")
     ties = d.groupBy(value).agg(F.count(F.lit(1)).cast("double").alias("t")).agg(F.sum(F.expr("t * t * t - t")).alias("ties"))
-    s = r.agg(F.sum(F.expr("IF(_g = 1, _r, 0)")).alias("r1"), F.sum("_g").cast("bigint").alias("n1"), F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(ties))
+    s = r.agg(F.sum(F.expr("IF(_g = 1, _r, 0)")).alias("r1"), F.sum("_g").cast("bigint").alias("n1"), F.count(F.lit(1)).alias("n")).withColumn("_k", F.lit(1)).join(ties.withColumn("_k", F.lit(1)), "_k")
     s = s.withColumn("n2", F.col("n") - F.col("n1")).withColumn("u", F.expr("r1 - n1 * (n1 + 1) / 2.0"))
     sd = F.sqrt(F.expr("n1 * n2 / 12.0 * ((n + 1) - ties / (n * (n - 1.0)))"))
     s = s.withColumn("z", F.when(sd > 0, (F.expr("u - n1 * n2 / 2.0") - 0.5) / sd))
