@@ -112,12 +112,16 @@ def sweep(sizes: dict[int, int], rooms: dict[int, int], capacity: int, most: int
 def pack(sizes: DataFrame, capacities: DataFrame, max_rounds: int = 60, max_segments: int = 150_000) -> DataFrame:
     """(size_id, container_id, doc_id, piece, tokens) for (doc_id, tokens) and (size_id, capacity_tokens)."""
     spark = sizes.sparkSession
-    caps = {r["size_id"]: r["capacity_tokens"] for r in capacities.select("size_id", "capacity_tokens").filter("capacity_tokens >= 1").distinct().limit(1000).collect()}
+    caps = {r["size_id"]: r["capacity_tokens"] for r in capacities.select("size_id", "capacity_tokens").filter("capacity_tokens >= 1").distinct().limit(1001).collect()}
+    if len(caps) > 1000:
+        raise ValueError("more than 1000 capacities")
     schema = "size_id bigint, container_id bigint, doc_id bigint, piece bigint, tokens bigint"
     if not caps:
         return spark.createDataFrame([], schema)
     cap = spark.createDataFrame(list(caps.items()), "size_id bigint, cap bigint")
-    all_docs = cut(sizes.select("doc_id", F.col("tokens").cast("bigint").alias("tokens")).filter("doc_id IS NOT NULL").withColumn("row", F.monotonically_increasing_id()).crossJoin(F.broadcast(cap)))
+    rows = cut(sizes.select("doc_id", F.col("tokens").cast("bigint").alias("tokens")).filter("doc_id IS NOT NULL").withColumn("row", F.monotonically_increasing_id()))
+    each = F.explode(F.array(*[F.struct(F.lit(c).cast("bigint").alias("size_id"), F.lit(n).cast("bigint").alias("cap")) for c, n in sorted(caps.items())]))
+    all_docs = rows.withColumn("_c", each).select("doc_id", "tokens", "row", "_c.size_id", "_c.cap")
     # pieces of the capacity itself are full containers of their own
     big = all_docs.filter("tokens >= cap")
     full = big.select("size_id", "doc_id", "row", "cap", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("tokens DIV cap - 1"))).alias("piece"))

@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -123,12 +124,27 @@ def tail(value: str) -> str | None:
     return None if not w or _kind(w) or w in _DIR or re.fullmatch(r"floor|bldg|front|entrance|storefront", w) else w
 
 
+@lru_cache(maxsize=4)
+def _by_variant(localities: frozenset[str]) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for c in sorted(localities):
+        for v in variants(c):
+            out.setdefault(v, []).append(c)
+    return out
+
+
+@lru_cache(maxsize=100_000)
+def _close(w: str, localities: frozenset[str], most: int) -> str | None:
+    """The first locality within so many slips, found by shared deletion variants."""
+    index = _by_variant(localities)
+    return next((c for c in sorted({c for v in variants(w) for c in index.get(v, ())}) if _near(w, c, most)), None)
+
+
 def _unglue(w: str, localities: frozenset[str]) -> str:
     """A word that runs through a kind of street or a locality, cut around it."""
-    for c in localities:
-        if w != c and w.endswith(c):
-            w = f"{w[: -len(c)]} {c}"
-            break
+    cut = next((k for k in range(4, len(w) - 3) if w[k:] in localities), None)
+    if cut:
+        w = f"{w[:cut]} {w[cut:]}"
     return re.sub(r"(?<=[^\W\d_]{4})(street|avenue|road|place|court|terrace|boulevard)(?=\s|$)", r" \1", w)
 
 
@@ -160,8 +176,8 @@ def parse(value: str, localities: frozenset[str] = frozenset()) -> tuple[str, st
             w = re.sub(r"[^\w ]", "", x)
             if w and " " not in w and w in localities:
                 city = city or w
-            elif w and " " not in w and len(w) > 5 and not _kind(w) and not any(c.isdigit() for c in w) and (near := [c for c in sorted(localities) if _near(w, c, 2)]) and (len(pieces) > 1 or p != s.strip(" ,-/")):
-                city = city or near[0]
+            elif w and " " not in w and len(w) > 5 and not _kind(w) and not any(c.isdigit() for c in w) and (near := _close(w, localities, 2)) and (len(pieces) > 1 or p != s.strip(" ,-/")):
+                city = city or near
             elif w:
                 parts.append(x if len(pieces) < 2 or x is pieces[0] else "/ " + x)
     s = " , ".join(parts).replace(", /", "/")
@@ -169,7 +185,7 @@ def parse(value: str, localities: frozenset[str] = frozenset()) -> tuple[str, st
     for at in (-1, 0):  # a locality without a comma
         if len(words) > 2 and not city:
             w = words[at]
-            hit = w if w in localities else next((c for c in sorted(localities) if len(w) > 5 and _near(w, c, 1)), None)
+            hit = w if w in localities else _close(w, localities, 1) if len(w) > 5 else None
             if hit and not _kind(w):
                 city = hit
                 del words[at]
@@ -202,9 +218,12 @@ def parse(value: str, localities: frozenset[str] = frozenset()) -> tuple[str, st
 
 
 def variants(name: str) -> list[str]:
-    """The name and its deletions: one character, two in longer names. Names within as many slips share one."""
+    """The name and its deletions: one character, two in longer names. Names within as many slips share one.
+
+    Names of more than 40 characters, which no street has, stand as they are.
+    """
     out = {name}
-    if not name[0].isdigit() and len(name) >= 4:
+    if not name[0].isdigit() and 4 <= len(name) <= 40:
         one = {name[:i] + name[i + 1 :] for i in range(len(name))}
         out |= one
         if len(name) >= 7:

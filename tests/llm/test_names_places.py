@@ -91,7 +91,7 @@ def test_parse(text, want):
 def test_same_place(spark):
     same = ["399 Brennerwald Street, Gaskendorf, QX 00117", "399 Brennerwald St", "399 BRENERWALD STR., APT 3", "near 399 Brennerwald, Gaskendorf, QX 00117"]
     cross = ["Holderlin Place & Brennerwald Street, Gaskendorf, QX 00117", "corner of Brennerwald St. and Holderlin Pl."]
-    other = ["401 Brennerwald Street", "399 Brennerwald Avenue X, Gaskendorf, QX 00117", "399 E Brennerwald Street", None, "", "n/a"]
+    other = ["401 Brennerwald Street", "399 " + "q" * 20000 + " Street", "399 Brennerwald Avenue X, Gaskendorf, QX 00117", "399 E Brennerwald Street", None, "", "n/a"]
     more = [f"{n} Brennerwald Street, Gaskendorf, QX 00117" for n in range(10, 16)] + [f"{n} Holderlin Place, Gaskendorf, QX 00117" for n in range(10, 16)]
     rows = [(x,) for x in same + cross + other + more + same]
     got = {tuple(r) for r in places.same_place(spark.createDataFrame(rows, "value string")).collect()}
