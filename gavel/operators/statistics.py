@@ -102,34 +102,47 @@ def design(df: DataFrame, y: str, numeric: list[str], categories: dict[str, tupl
     return df.select(F.col(y).cast("double").alias("y"), F.col(cluster).alias("c"), F.array(*x).alias("x")).filter(F.col("y").isNotNull() & ~F.exists("x", lambda v: v.isNull())), terms
 
 
-def _moments(pdf_iter, beta: np.ndarray):
-    for p in pdf_iter:
-        x = np.stack(p["x"].to_numpy()) if len(p) else np.zeros((0, len(beta)))
-        y = p["y"].to_numpy()
-        mu = 1 / (1 + np.exp(-np.clip(x @ beta, -35, 35)))
-        w = mu * (1 - mu)
-        yield pd.DataFrame({"g": [(x.T @ (y - mu)).tolist()], "h": [((x * w[:, None]).T @ x).ravel().tolist()], "n": [len(p)]})
+def _step(x: np.ndarray, n: np.ndarray, y: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Score, information and log-likelihood of covariate patterns with n rows and y successes each."""
+    eta = np.clip(x @ beta, -35, 35)
+    mu = 1 / (1 + np.exp(-eta))
+    return x.T @ (y - n * mu), (x * (n * mu * (1 - mu))[:, None]).T @ x, float((y * eta - n * np.log1p(np.exp(eta))).sum())
 
 
-def clustered_logit(d: DataFrame, terms: list[str], rounds: int = 40) -> list[dict]:
+def _sums(patterns: DataFrame, beta: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+    def part(batches):
+        for p in batches:
+            g, h, ll = _step(np.stack(p["x"].to_numpy()) if len(p) else np.zeros((0, k)), p["n"].to_numpy(float), p["s"].to_numpy(float), beta)
+            yield pd.DataFrame({"g": [g.tolist()], "h": [h.ravel().tolist()], "ll": [ll]})
+
+    t = patterns.mapInPandas(part, "g array<double>, h array<double>, ll double").agg(*[F.sum(F.col("g")[i]).alias(f"g{i}") for i in range(k)], *[F.sum(F.col("h")[i]).alias(f"h{i}") for i in range(k * k)], F.sum("ll").alias("ll")).first()
+    return np.array([t[f"g{i}"] for i in range(k)]), np.array([t[f"h{i}"] for i in range(k * k)]).reshape(k, k), t["ll"]
+
+
+def clustered_logit(d: DataFrame, terms: list[str], rounds: int = 25, max_patterns: int = 10_000) -> list[dict]:
     """Coefficients, cluster-robust standard errors, odds ratios, 95 % limits and p of a design.
 
-    Newton steps: each sums k scores and k x k information over the partitions; the sandwich needs one sum of scores a
+    Rows are first counted by covariate pattern. Newton steps run on the patterns, on the driver up to `max_patterns`
+    of them, else as k scores and k x k information summed over partitions. The sandwich needs one sum of scores a
     cluster, aggregated in Spark and multiplied out there.
     """
+    from ..session import cut
+
     k = len(terms)
-    beta = np.zeros(k)
-    rows = d.select("y", "x")
+    patterns = cut(d.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s")))
+    few = patterns.limit(max_patterns + 1).collect()
+    n = patterns.agg(F.sum("n")).first()[0] or 0
+    if not n:
+        return []
+    local = len(few) <= max_patterns
+    x, cnt, hit = (np.array([r["x"] for r in few], float), np.array([r["n"] for r in few], float), np.array([r["s"] for r in few], float)) if local else (None, None, None)
+    beta, last = np.zeros(k), -math.inf
     for _ in range(rounds):
-        parts = rows.mapInPandas(lambda it, b=beta: _moments(it, b), "g array<double>, h array<double>, n bigint")
-        total = parts.agg(*[F.sum(F.col("g")[i]).alias(f"g{i}") for i in range(k)], *[F.sum(F.col("h")[i]).alias(f"h{i}") for i in range(k * k)], F.sum("n").alias("n")).first()
-        g = np.array([total[f"g{i}"] or 0.0 for i in range(k)])
-        h = np.array([total[f"h{i}"] or 0.0 for i in range(k * k)]).reshape(k, k)
-        n = total["n"] or 0
-        step = np.linalg.pinv(h) @ g
-        beta = beta + step
-        if np.abs(step).max() < 1e-9:
+        g, h, ll = _step(x, cnt, hit, beta) if local else _sums(patterns, beta, k)
+        if ll - last < 1e-10 * (abs(ll) + 0.1):
             break
+        last = ll
+        beta = beta + np.linalg.pinv(h) @ g
     bread = np.linalg.pinv(h)
     eta = F.aggregate(F.zip_with("x", F.array(*[F.lit(float(b)) for b in beta]), lambda x, b: x * b), F.lit(0.0), lambda a, v: a + v)
     res = F.col("y") - 1 / (1 + F.exp(-eta))

@@ -12,13 +12,14 @@ from ..operators.bandjoin import band_sweep as sweep
 from ..session import table
 from .catalogue import query
 
-def N():
-    return F.count(F.lit(1))
-
 #: Topic domains: the first whose word occurs wins.
 DOMAINS = [("nightlife", ["liquor", "bar ", "terrace", "licence"]), ("land use", ["rezon", "housing", "unit", "tower"]), ("parks", ["park", "tree", "dog", "playground"]), ("streets", ["street", "bike", "truck", "bus ", "curb", "crossing"])]
 
 
+def N():
+    return F.count(F.lit(1))
+
+
 def year(c: str = "date"):
     return F.year(c).cast("bigint").alias("year")
 

@@ -131,6 +131,8 @@ def test_clustered_logit_finds_the_effect(spark):
         rows.append((float(rnd.random() < (0.7 if x else 0.3)), x, str(i % 40)))
     d, terms = statistics.design(spark.createDataFrame(rows, "y double, x int, c string"), "y", ["x"], {}, "c")
     r = {t["term"]: t for t in statistics.clustered_logit(d, terms)}
+    spread = {t["term"]: t for t in statistics.clustered_logit(d, terms, max_patterns=0)}
+    assert all(abs(r[t][c] - spread[t][c]) < 1e-9 for t in terms for c in ("coef", "se"))
     hi, lo = (sum(y for y, x, _ in rows if x == k) / sum(1 for _, x, _ in rows if x == k) for k in (1, 0))
     import math
 
