@@ -1,4 +1,4 @@
-"""Trains the tagger on labelled spans: ``python -m gavel.llm.pii_train OUT.npz [seconds]``.
+"""Trains the tagger on labelled spans: ``python -m gavel.llm.pii_train OUT.npz [seconds [START.npz]]``.
 
 The labelled sentences are composed here: sentence frames as people write them in sign-in sheets, letters and incident
 notes, in English, Spanish and Polish, filled with invented details in every form they take, and with the things that
@@ -152,6 +152,9 @@ unidentified pedestrian
 woman, {n}
 a delivery worker
 male cyclist, {n}
+{n}-year-old cyclist
+a {n}-year-old man
+woman in a wheelchair
 unknown
 not released
 family of four
@@ -290,6 +293,9 @@ def _case_no() -> str:
 
 def _org() -> str:
     p, k = _typo(_word()), _R.choice(ORG_KINDS)
+    if _R.random() < 0.15:
+        first, _, rest = k.partition(" ")
+        k = (first if first.endswith("s") else first + "s") + "' " + rest
     short = "".join(x[0] for x in k.split())
     return _case(_R.choice([f"{p} {k}", f"{p} {k}", f"{p} {k}", f"The {p} {k}", f"{k} of {p}", f"{k}, {p}", f"{p} {short}", f"{p} {k}, Inc.", f"{p} {k} ({short})", f"{p} {k[: len(k) - 4]}."]))
 
@@ -329,7 +335,7 @@ def sample() -> tuple[str, list[int]]:
     if r < 0.14:
         parts = sentence(_R.choice(VICTIMS))
     else:
-        parts = sentence(_loose() if _R.random() < 0.18 else _R.choice(FRAMES))
+        parts = sentence(_loose() if _R.random() < 0.12 else _R.choice(FRAMES))
         if _R.random() < 0.35:
             parts += [(" ", ""), *sentence(_R.choice(TAILS))]
         if _R.random() < 0.3:
@@ -342,10 +348,16 @@ def sample() -> tuple[str, list[int]]:
     return text, tags
 
 
-def train(out: str, seconds: float, hidden: int = 60, emb: int = 24, seed: int = 7) -> None:
+def train(out: str, seconds: float, start: str | None = None, hidden: int = 60, emb: int = 24, seed: int = 7) -> None:
+    """start: weights to go on from, with smaller steps."""
     _R.seed(seed)
     rng = np.random.default_rng(seed)
-    p = init(hidden, emb, rng)
+    if start:
+        with np.load(start) as z:
+            p = {k: z[k].astype(np.float32) for k in z.files}
+        _R.seed(seed + 1)
+    else:
+        p = init(hidden, emb, rng)
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     mean = {k: x.copy() for k, x in p.items()}
     began, step, loss = time.time(), 0, 0.0
@@ -364,7 +376,7 @@ def train(out: str, seconds: float, hidden: int = 60, emb: int = 24, seed: int =
             step += 1
             loss = nll if step == 1 else 0.99 * loss + 0.01 * nll
             norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-            rate = 4e-3 * min(1, step / 100) * (1 - done) ** 0.7 + 5e-5
+            rate = (1.5e-3 if start else 4e-3) * min(1, step / 100) * (1 - done) ** 0.7 + 5e-5
             for k in p:
                 d = g[k] * min(1, 1.0 / (norm + 1e-9))
                 m[k] = 0.9 * m[k] + 0.1 * d
@@ -379,4 +391,4 @@ def train(out: str, seconds: float, hidden: int = 60, emb: int = 24, seed: int =
 
 if __name__ == "__main__":
     assert N_TAGS == 11
-    train(sys.argv[1], float(sys.argv[2]) if len(sys.argv) > 2 else 900.0)
+    train(sys.argv[1], float(sys.argv[2]) if len(sys.argv) > 2 else 900.0, sys.argv[3] if len(sys.argv) > 3 else None)
