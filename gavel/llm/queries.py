@@ -23,6 +23,11 @@ def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(t, ["victim_name", "source_snippet"])
 
 
+def p1_redacted_speakers(spark: SparkSession, d: str) -> DataFrame:
+    """Speakers' snippets with placeholders in place of the details; with `p1_redacted`, every field that `p1_found` reads."""
+    return pii.redact(table(spark, d, "speakers").select("speaker_id", "source_snippet"), ["source_snippet"])
+
+
 def _typed(spark: SparkSession, d: str) -> DataFrame:
     return canonical.typed_values(table(spark, d, "licenses"), "license_id", ["board_action", "committee_recommendation"], ["features"])
 

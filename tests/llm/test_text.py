@@ -1,10 +1,12 @@
+import os
 import random
 
 import numpy as np
 import pytest
 
-from gavel.llm import crf, leakage, packing, pii, residue
+from gavel.llm import crf, leakage, packing, pii, queries, residue
 
+DATA = "/root/testdata/sf0.001"
 TAGGER = crf.Tagger.load(pii.WEIGHTS.read_bytes())
 
 
@@ -83,6 +85,26 @@ def test_details_and_redaction_in_tables(spark):
     assert pii.details(t.limit(0), "id", {"s": "x"}).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_every_snippet_is_redacted(spark):
+    """Each field that p1_found reads comes out of a query in all its rows, without the details found in it."""
+    q = queries.queries()
+    found = {}
+    for r in q["p1_found"](spark, DATA).collect():
+        found.setdefault((r.field, r.record_id), []).append(r.found)
+    for name, t, key, cols in (("p1_redacted", "incidents", "incident_id", ("victim_name", "source_snippet")), ("p1_redacted_speakers", "speakers", "speaker_id", ("source_snippet",))):
+        rows = q[name](spark, DATA).collect()
+        raw = spark.read.parquet(f"{DATA}/{t}.parquet").select(key, *cols).collect()
+        assert sorted(r[key] for r in rows) == sorted(r[key] for r in raw)
+        changed = {r[key]: r for r in raw}
+        for c in cols:
+            assert any(k[0] == f"{t}.{c}" for k in found)
+            for r in rows:
+                want = changed[r[key]][c]
+                for x in sorted(found.get((f"{t}.{c}", r[key]), []), key=len, reverse=True):
+                    assert r[c] != want and r[c].count(x) < want.count(x)
+
+
 def test_leaks(spark):
     rnd = random.Random(1)
     word = lambda: "".join(rnd.choice("bdfgklmnprstv") + rnd.choice("aeiou") for _ in range(rnd.randrange(2, 5)))
