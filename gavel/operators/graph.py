@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,26 +14,33 @@ from ..functions.fuzzy import indel
 def canonical_names(names: DataFrame, least: float = 90.0, veto: set[tuple[str, str]] | None = None) -> DataFrame:
     """(name, canonical) for (name, n): the most frequent earlier name whose first word and this one's begin alike and that scores `least`.
 
-    A first word that is a prefix of the other starts with the same two letters or is an initial, so names are blocked by
-    first letter and last word's first letter; equal names were made one before, so a block holds distinct names only.
+    A first word that is a prefix of the other starts with the same letter, so names are blocked by the first letter alone.
+    Inside a block only heads whose first word is a prefix of this one's or begins with it are looked up, in the order
+    in which they came; equal names were made one before, so a block holds distinct names only.
     """
     veto = veto or set()
 
     def block(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values(["n", "name"], ascending=[False, True])
-        heads: list[tuple[str, str]] = []
+        # heads by their first word, and by every prefix of it; each list in the order of the heads
+        whole: dict[str, list[tuple[int, str, str]]] = {}
+        begun: dict[str, list[tuple[int, str, str]]] = {}
         out = []
-        for name in p["name"]:
+        for k, name in enumerate(p["name"]):
             low = name.lower()
             first = low.split()[0].rstrip(".") if low.split() else ""
-            hit = next((h for h, f in heads if (f.startswith(first) or first.startswith(f)) and indel(low, h.lower()) >= least and (name, h) not in veto), None)
+            like = heapq.merge(begun.get(first, ()), *(whole.get(first[:i], ()) for i in range(len(first))))
+            # the shorter of two names bounds what they have in common
+            near = (h for _, h, x in like if 200.0 * min(len(x), len(low)) >= least * (len(x) + len(low)) and indel(low, x) >= least and (name, h) not in veto)
+            hit = next(near, None)
             if hit is None:
-                heads.append((name, first))
+                whole.setdefault(first, []).append((k, name, low))
+                for i in range(len(first) + 1):
+                    begun.setdefault(first[:i], []).append((k, name, low))
             out.append((name, hit or name))
         return pd.DataFrame(out, columns=["name", "canonical"])
 
-    low = F.lower("name")
-    key = F.concat(F.substring(low, 1, 1), F.substring(F.element_at(F.split(low, " "), -1), 1, 1))
+    key = F.substring(F.regexp_replace(F.lower("name"), r"(?U)^\s+", ""), 1, 1)
     return names.filter("name IS NOT NULL AND name <> ''").groupBy(key.alias("_k")).applyInPandas(block, "name string, canonical string")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gavel.functions import columns as C
 from gavel.functions import filenames as N
 from gavel.functions import fuzzy as Z
-from gavel.operators import bandjoin, evaluate, fulltext, grouping, pages, predict, statistics
+from gavel.operators import bandjoin, evaluate, fulltext, graph, grouping, pages, predict, statistics
 from gavel.operators.components import connected_components
 from gavel.operators.ledger import cost, guard
 from gavel.sources import loader, readers, schemas
@@ -36,6 +36,31 @@ def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "src bigint, dst bigint")).count() == 0
 
 
+def test_canonical_names_skip_no_pair(spark):
+    """As by comparing every name with every head before it, whatever the last word begins with."""
+    rnd = random.Random(5)
+    people = ["percy felerigh", "yusuf pipipeman", "P. Felerigh", "anna-maria oldenburg", "ann oldenburg", "annabel westerhouse", "quentin harrowgate", "bo li"]
+    rows = {"percy fele righ": 2, "pipipeman yusuf f": 3, "pipipeman, yusuf": 2, "quentin harrowgate jr": 2, "quentin barrowgate": 2, "  bo lin": 1}
+    for p in people:
+        rows[p] = 9
+        for _ in range(25):
+            k = rnd.randrange(len(p))
+            rows.setdefault(rnd.choice([p[:k] + p[k + 1 :], p[:k] + rnd.choice("abo .") + p[k:], p + " " + rnd.choice("fjx")]), rnd.randrange(1, 6))
+    heads, want = [], {}
+    for name in sorted(rows, key=lambda x: (-rows[x], x)):
+        low = name.lower()
+        first = low.split()[0].rstrip(".")
+        hit = next((h for h, f in heads if f[:1] == first[:1] and (f.startswith(first) or first.startswith(f)) and Z.indel(low, h.lower()) >= 90), None)
+        if hit is None:
+            heads.append((name, first))
+        want[name] = hit or name
+    got = {r.name: r.canonical for r in graph.canonical_names(spark.createDataFrame(list(rows.items()), "name string, n int")).collect()}
+    assert got == want
+    assert got["percy fele righ"] == "percy felerigh" and got["pipipeman, yusuf"] == "pipipeman yusuf f" and got["quentin barrowgate"] == "quentin harrowgate"
+    vetoed = graph.canonical_names(spark.createDataFrame(list(rows.items()), "name string, n int"), veto={("percy fele righ", "percy felerigh")}).collect()
+    assert {r.name: r.canonical for r in vetoed}["percy fele righ"] != "percy felerigh"
+
+
 def test_band_pairs_equal_the_plain_join(spark):
     rnd = random.Random(1)
     day = lambda: dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(700))
