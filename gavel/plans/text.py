@@ -39,6 +39,15 @@ def mention_pivot(spark: SparkSession, d: str) -> DataFrame:
     return T.mentions(_index(spark, d), _TERMS).join(m, "meeting_id").groupBy("term").pivot("y", cols).agg(F.sum("n").cast("bigint")).na.fill(0)
 
 
+@query("PIVOT (SELECT term, 'y' || year(date) AS y, CAST(coalesce(n, 0) AS BIGINT) AS n FROM (SELECT meeting_id, date, unnest([" + ", ".join(f"'{w}'" for w in _TERMS) + "]) AS term FROM meetings WHERE date IS NOT NULL) LEFT JOIN (" + " UNION ALL ".join(f"SELECT '{w}' AS term, meeting_id, {_count_sql(w)} AS n FROM {_INDEX}" for w in _TERMS) + ") USING (meeting_id, term)) ON y USING CAST(sum(n) AS BIGINT) GROUP BY term")
+def mention_pivot_years(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions of each term in every year that has meetings, a column a year; `mention_pivot` has the years 2016 to 2020 only."""
+    m = table(spark, d, "meetings").filter("date IS NOT NULL").select("meeting_id", F.concat(F.lit("y"), F.year("date")).alias("y"))
+    cols = sorted(r["y"] for r in m.select("y").distinct().collect())
+    n = m.select("meeting_id", "y", F.explode(F.array(*map(F.lit, _TERMS))).alias("term")).join(T.mentions(_index(spark, d), _TERMS), ["meeting_id", "term"], "left")
+    return n.groupBy("term").pivot("y", cols).agg(F.sum("n").cast("bigint")).na.fill(0)
+
+
 @query("SELECT term, CAST(sum(n) AS BIGINT) AS total, arg_max(meeting_id, (n, meeting_id)) AS peak, max(n) AS most FROM (" + " UNION ALL ".join(f"SELECT '{w}' AS term, meeting_id, {_count_sql(w)} AS n FROM {_INDEX}" for w in _TERMS) + ") GROUP BY 1")
 def peak_term(spark: SparkSession, d: str) -> DataFrame:
     m = T.mentions(_index(spark, d), _TERMS)

@@ -51,3 +51,23 @@ def test_no_nested_loops_or_row_udfs(spark):
     for name in ("opposed_denied", "division_panel", "band_sweep", "contested_by_topic"):
         plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan and "BatchEvalPython" not in plan, name
+
+
+def _small(spark, path, docs):
+    """Tables of three meetings in three years and the given documents."""
+    spark.createDataFrame([("a", datetime.date(2015, 2, 1)), ("b", datetime.date(2018, 2, 1)), ("c", datetime.date(2024, 2, 1)), ("d", None)], "meeting_id string, date date").write.parquet(f"{path}/meetings.parquet")
+    spark.createDataFrame(docs, "doc_id int, meeting_id string, page_no int, text string").write.parquet(f"{path}/documents.parquet")
+    c = duckdb.connect()
+    for t in ("meetings", "documents"):
+        c.execute(f"create view {t} as select * from '{path}/{t}.parquet/*.parquet'")
+    return c
+
+
+def test_mentions_of_every_year(spark, tmp_path):
+    """Every year that has meetings is a column, with and without mentions."""
+    c = _small(spark, tmp_path, [(1, "a", 1, "Dog run, dog run."), (2, "c", 1, "composting and a DOG RUN"), (3, "d", 1, "dog run")])
+    r = QUERIES["mention_pivot_years"](spark, str(tmp_path))
+    got = {x.term: (x.y2015, x.y2018, x.y2024) for x in r.collect()}
+    assert r.columns == ["term", "y2015", "y2018", "y2024"]
+    assert got == {"bike corral": (0, 0, 0), "dog run": (2, 0, 1), "street vendor": (0, 0, 0), "composting": (0, 0, 1)}
+    assert {x[0]: x[1:] for x in c.execute(SQL["mention_pivot_years"]).fetchall()} == got
