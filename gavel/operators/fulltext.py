@@ -22,11 +22,12 @@ def mentions(idx: DataFrame, terms: list[str]) -> DataFrame:
     return idx.select(*keep, F.explode(F.array(*each)).alias("e")).select(*keep, "e.term", "e.n")
 
 
-def context(docs: DataFrame, key: str, text: str, term: str, width: int = 60, most: int = 3) -> DataFrame:
-    """(key, k, context): the first `most` mentions with `width` characters on both sides, blanks collapsed."""
+def context(docs: DataFrame, key: str, text: str, term: str, width: int = 60, most: int | None = 3) -> DataFrame:
+    """(key, k, context): the first `most` mentions (all of them if None) with `width` characters on both sides, blanks collapsed."""
     parts = F.split(F.lower(F.col(text)), re.escape(term.lower()))
     n = len(term)
-    starts = F.transform(F.sequence(F.lit(1), F.least(F.size(parts) - 1, F.lit(most))), lambda k: F.struct(k.alias("k"), (F.aggregate(F.slice(parts, 1, k), F.lit(0), lambda a, x: a + F.length(x)) + (k - 1) * n + 1).alias("at")))
+    last = F.size(parts) - 1 if most is None else F.least(F.size(parts) - 1, F.lit(most))
+    starts = F.transform(F.sequence(F.lit(1), last), lambda k: F.struct(k.alias("k"), (F.aggregate(F.slice(parts, 1, k), F.lit(0), lambda a, x: a + F.length(x)) + (k - 1) * n + 1).alias("at")))
     d = docs.filter(F.contains(F.lower(F.col(text)), F.lit(term.lower()))).select(key, F.col(text).alias("_t"), F.explode(starts).alias("s"))
     begin = F.greatest(F.lit(1), F.col("s.at") - width)
     piece = F.substr(F.col("_t"), begin, F.col("s.at") - begin + n + width)

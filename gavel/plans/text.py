@@ -67,6 +67,14 @@ def kwic(spark: SparkSession, d: str) -> DataFrame:
     return T.context(table(spark, d, "documents"), "doc_id", "text", "petition", width=30, most=1)
 
 
+@query("""SELECT doc_id, k, trim(regexp_replace(substr(text, greatest(1, p - 180), p - greatest(1, p - 180) + 8 + 180), '[ \\t\\n\\r]+', ' ', 'g')) AS context FROM (
+            SELECT doc_id, text, k, length(array_to_string(parts[1:k], '')) + (k - 1) * 8 + 1 AS p FROM (
+            SELECT doc_id, text, parts, unnest(generate_series(1, len(parts) - 1)) AS k FROM (SELECT doc_id, text, string_split(lower(text), 'petition') AS parts FROM documents WHERE contains(lower(text), 'petition'))))""")
+def kwic_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every mention in each document, with 180 characters on both sides; `kwic` has the first of each only."""
+    return T.context(table(spark, d, "documents"), "doc_id", "text", "petition", width=180, most=None)
+
+
 _MAIL = "[A-Za-z0-9._+]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+"
 
 

@@ -71,3 +71,12 @@ def test_mentions_of_every_year(spark, tmp_path):
     assert r.columns == ["term", "y2015", "y2018", "y2024"]
     assert got == {"bike corral": (0, 0, 0), "dog run": (2, 0, 1), "street vendor": (0, 0, 0), "composting": (0, 0, 1)}
     assert {x[0]: x[1:] for x in c.execute(SQL["mention_pivot_years"]).fetchall()} == got
+
+
+def test_every_mention_has_its_context(spark, tmp_path):
+    text = "Petition one. " + "x" * 300 + " a PETITION\n two " + "y" * 300 + " petitionpetition" + "z" * 300
+    c = _small(spark, tmp_path, [(1, "a", 1, text), (2, "a", 2, "nothing"), (3, "b", 1, None), (4, "b", 2, "the petition")])
+    got = sorted(map(tuple, QUERIES["kwic_all"](spark, str(tmp_path)).select("doc_id", "k", "context").collect()))
+    at = [i for i in range(len(text)) if text[i : i + 8].lower() == "petition"]
+    assert got == [(1, k + 1, " ".join(text[max(0, p - 180) : p + 188].split())) for k, p in enumerate(at)] + [(4, 1, "the petition")] and len(at) == 4
+    assert sorted(c.execute("SELECT doc_id, k, context FROM (" + SQL["kwic_all"] + ")").fetchall()) == got
