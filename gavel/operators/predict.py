@@ -6,6 +6,7 @@ failure is an error text in its row. Invalid answers get one second pass with wh
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -55,6 +56,31 @@ def build_prompt(body: str, template: str, most: int = 350_000):
     return F.struct(F.format_string(template, F.substring(t, 1, most)).alias("prompt"), F.when(F.length(t) > most, F.lit(f"body cut to {most} characters")).alias("warning"))
 
 
+def parts(text: str, most: int = 350_000, boundary: str = r"(?=^\[page [^\]\n]*\]\n)") -> list[str]:
+    """The whole text in stretches of at most `most` characters, divided at page tags; only a page longer than that is divided itself, at a blank."""
+    out = [""]
+    for page in re.split(boundary, text, flags=re.M):
+        if len(out[-1]) + len(page) <= most:
+            out[-1] += page
+            continue
+        while len(page) > most:
+            cut = max(page.rfind(" ", 0, most), page.rfind("\n", 0, most)) + 1 or most
+            out.append(page[:cut])
+            page = page[cut:]
+        out.append(page)
+    return [p for p in out if p] or [text]
+
+
+def body_parts(body: str, most: int = 350_000):
+    """ARRAY<STRING>: the parts of a body, in order."""
+
+    @F.pandas_udf("array<string>")
+    def divide(t: pd.Series) -> pd.Series:
+        return t.map(lambda x: None if x is None else parts(x, most))
+
+    return divide(F.col(body))
+
+
 def text_source(pages: str, scanned: str, year: str):
     """vision_ocr, mixed, embedded_ocr or native, from how many body pages were read by vision and the year."""
     p, s = F.col(pages), F.col(scanned)

@@ -53,19 +53,54 @@ def bodies(files: DataFrame, pages: DataFrame) -> DataFrame:
     return P.stitch(j, "meeting_id", ["part", "ord", "page_no"], tag="[page %s]\n")
 
 
-def extract(body: DataFrame, done: DataFrame, make: Callable, keep: Callable[[DataFrame], DataFrame], template: str = "%s") -> DataFrame:
-    """Validated documents of the meetings not done yet: (meeting_id, document columns, errors, attempt)."""
-    todo = predict.work_list(body, done, ["meeting_id"]).withColumn("p", predict.build_prompt("body", template))
-    todo = todo.select("meeting_id", F.col("p.prompt").alias("prompt"))
+def _merged(p: DataFrame) -> DataFrame:
+    """One document of the parts (meeting_id, k, n, attempt, document columns) of each meeting, where all of them are there.
+
+    Records follow one another in the order of the parts, single fields come from the first part that has them, counts and costs are summed.
+    """
+    names = [f.name for f in p.schema if f.name not in ("meeting_id", "k", "n", "attempt")]
+    g = p.groupBy("meeting_id", "n").agg(F.sort_array(F.collect_list(F.struct("k", *names))).alias("_r"), F.max("attempt").alias("attempt"), F.countDistinct("k").alias("_k")).filter("_k = n")
+
+    def values(name: str, field: str | None = None):
+        return F.filter(F.transform("_r", lambda r: r[name] if field is None else r[name][field]), lambda v: v.isNotNull())
+
+    def single(name: str, field):
+        v = values(name, field.name)
+        if name == "extraction_meta" and field.name == "warnings":
+            return F.concat(F.flatten(v), F.array(F.format_string("body read in %d parts", "n")))
+        if name == "extraction_meta" and field.dataType.typeName() in ("integer", "double"):
+            return F.when(F.size(v) > 0, F.aggregate(v, F.lit(0).cast(field.dataType), lambda x, y: x + y))
+        return F.get(v, F.lit(0))
+
+    cols = [F.flatten(values(f.name)).alias(f.name) if f.dataType.typeName() == "array" else F.struct(*[single(f.name, x).alias(x.name) for x in f.dataType]).alias(f.name) for f in p.select(*names).schema]
+    return g.select("meeting_id", "attempt", *cols)
+
+
+def extract(body: DataFrame, done: DataFrame, make: Callable, keep: Callable[[DataFrame], DataFrame], template: str = "%s", most: int = 350_000) -> DataFrame:
+    """Validated documents of the meetings not done yet: (meeting_id, document columns, errors, attempt).
+
+    A body of more than `most` characters goes to the predictor in several parts, each under a line that names its meeting,
+    with the key meeting_id#k/n; their records are merged. A meeting of which a part stays invalid comes out another time.
+    """
+    todo = predict.work_list(body, done, ["meeting_id"]).withColumn("_b", predict.body_parts("body", most))
+    todo = todo.select("meeting_id", F.size("_b").alias("n"), F.posexplode_outer("_b").alias("k", "part")).withColumn("p", predict.build_prompt("part", template, most))
+    mark = F.format_string("%d/%d", F.col("k") + 1, F.col("n"))
+    todo = todo.select(
+        F.when(F.col("n") > 1, F.concat(F.col("meeting_id"), F.lit("#"), mark)).otherwise(F.col("meeting_id")).alias("key"),
+        F.when(F.col("n") > 1, F.concat(F.lit("Part "), mark, F.lit(" of meeting "), F.col("meeting_id"), F.lit("\n\n"), F.col("p.prompt"))).otherwise(F.col("p.prompt")).alias("prompt"),
+    )
 
     def check(a: DataFrame) -> DataFrame:
         d = readers.parse_documents(a.withColumn("_text", F.col("answer")), "_text").withColumn("_e", schemas.errors(full=False))
         problem = F.when(F.col("error").isNotNull(), F.col("error")).when(F.size("_e") > 0, F.array_join("_e", "; "))
         return d.withColumn("problem", problem).select("key", "answer", "error", "problem")
 
-    a = predict.with_retry(todo, "meeting_id", "prompt", make, check, keep)
-    d = readers.parse_documents(a.select(F.col("key").alias("meeting_id"), "answer", "problem", "attempt"), "answer")
-    return schemas.defaults(d.filter("problem IS NULL").drop("problem", "_corrupt_record"))
+    a = predict.with_retry(todo, "key", "prompt", make, check, keep)
+    d = readers.parse_documents(a.select("key", "answer", "problem", "attempt"), "answer").filter("problem IS NULL").drop("problem", "_corrupt_record")
+    place = r"^(.*)#(\d+)/(\d+)$"
+    whole = d.filter(~F.col("key").rlike(place)).withColumnRenamed("key", "meeting_id")
+    p = d.filter(F.col("key").rlike(place)).select(F.regexp_extract("key", place, 1).alias("meeting_id"), *[F.regexp_extract("key", place, i).cast("int").alias(c) for i, c in ((2, "k"), (3, "n"))], *[c for c in d.columns if c != "key"])
+    return schemas.defaults(whole.unionByName(_merged(p)))
 
 
 def load(docs: DataFrame, manifest: DataFrame, vote_additions: DataFrame | None = None) -> dict[str, DataFrame]:

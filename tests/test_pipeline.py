@@ -1,8 +1,10 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
 from gavel.functions import dialect, display
+from gavel.operators import predict
 from gavel.plans import pipeline
 
 
@@ -40,6 +42,42 @@ def test_files_to_tables(spark):
     assert t["meetings"].count() == 2
 
 
+def test_long_bodies_are_read_whole(spark):
+    """Every page of a body over the limit reaches the predictor, and a meeting comes out once, with the records of all its parts."""
+    pages = [f"[page {i}]\nMotion {i}. " + "word " * (1 + 37 * i % 60) + "\n\n" for i in range(30)]
+    long = "".join(pages) + "[page 30]\n" + "y" * 700 + " Motion 99. "
+    for most in (90, 400, 5000, 10**6):
+        cut = predict.parts(long, most)
+        assert "".join(cut) == long and max(map(len, cut)) <= most
+    assert all(p.startswith("[page ") for p in predict.parts("".join(pages), 400))
+    assert predict.parts("") == [""]
+
+    def make():
+        def call(prompt):
+            if prompt.startswith("Part 2/") and "m-2021-01-05" in prompt and "not valid" not in prompt or "m-2022-03-03" in prompt and "Motion 12." in prompt:
+                return "sorry"
+            day = re.search(r"\d{4}-\d\d-\d\d", prompt).group()
+            votes = [{"motion_text": m, "yes": 1, "no": 0, "abstain": 0, "recusal": 0} for m in re.findall(r"Motion \d+", prompt)]
+            doc = {"meeting": {"meeting_id": "x", "date": day}, "votes": votes, "extraction_meta": {"input_tokens": len(prompt), "warnings": ["w"]}}
+            if prompt.startswith("Part 3/"):
+                doc["meeting"]["chair"] = "Lee"
+                del doc["votes"]
+            return json.dumps(doc)
+
+        return call
+
+    body = spark.createDataFrame([("m-2021-01-05", "".join(pages)), ("m-2021-02-02", "2021-02-02 Motion 7."), ("m-2022-03-03", "".join(pages)), ("m-2020-01-01", "".join(pages))], "meeting_id string, body string")
+    done = spark.createDataFrame([("m-2020-01-01",)], "meeting_id string")
+    docs = {r.meeting_id: r for r in pipeline.extract(body, done, make, lambda d: d.cache(), most=1200).collect()}
+    assert set(docs) == {"m-2021-01-05", "m-2021-02-02"}  # the third has a part that stays invalid
+    cut = predict.parts("".join(pages), 1200)
+    r = docs["m-2021-01-05"]
+    assert [v.motion_text for v in r.votes] == [m for k, p in enumerate(cut) if k != 2 for m in re.findall(r"Motion \d+", p)] and len(cut) > 3
+    assert r.attempt == 2 and r.meeting.chair == "Lee" and r.meeting.meeting_type == "combined" and r.liquor_licenses == []
+    assert r.extraction_meta.warnings == ["w"] * len(cut) + [f"body read in {len(cut)} parts"] and r.extraction_meta.input_tokens > sum(map(len, cut))
+    assert docs["m-2021-02-02"].extraction_meta.warnings == ["w"] and docs["m-2021-02-02"].attempt == 1
+
+
 def test_escalation(spark):
     s = spark.createDataFrame([("a", 1, "one two"), ("a", 2, "w " * 30), ("a", 3, None)], "sha256 string, page_no int, scan_text string")
     every, few = pipeline.escalate(s)
