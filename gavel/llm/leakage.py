@@ -122,17 +122,6 @@ class Index:
         #: The least number of shared q-grams in a band, by item.
         self.bound = np.maximum(m * (1 - error * Q) - Q + 1, 8)
         self.least = float(self.bound.min()) if len(items) else np.inf
-        # q-grams of at most two items; a passage that counts holds some, whichever stretch of the item it is
-        _, inverse = np.unique(self.code, return_inverse=True)
-        pairs = np.unique(inverse.astype(np.int64) * max(1, len(items)) + self.item)
-        self.own = np.bincount(pairs // max(1, len(items)), minlength=1)[inverse] <= 2
-        self.own_bound = np.full(len(items), 3.0)
-        for i in range(len(items)):
-            here = np.zeros(max(1, self.chars[i]))
-            here[self.pos[(self.item == i) & self.own]] = 1
-            total, width = np.concatenate([[0], np.cumsum(here)]), max(1, int(m[i]) - Q + 1)
-            if len(total) > width:
-                self.own_bound[i] = max(3.0, (total[width:] - total[:-width]).min() - error * Q * m[i])
         self.need = [int(np.ceil(share * len(w) - 1e-9)) for w in self.words]
 
     def search(self, text: str) -> list[tuple[int, float]]:
@@ -149,7 +138,7 @@ class Index:
             return []
         at = np.repeat(at, n)
         k = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        item, diag, own = self.item[k], at - self.pos[k], self.own[k].astype(np.int64)
+        item, diag = self.item[k], at - self.pos[k]
         span = int(diag.max() - diag.min()) // BAND + 3
         out: dict[int, float] = {}
         starts = None
@@ -157,12 +146,9 @@ class Index:
             band = (diag + shift) // BAND
             # a q-gram that repeats inside an item counts once at each place of the document
             pair = item * span + (band - band.min())
-            key, first = np.unique(pair * (len(g) + 1) + at, return_index=True)
-            pair = key // (len(g) + 1)
-            which, start, count = np.unique(pair, return_index=True, return_counts=True)
-            mine = np.add.reduceat(own[first], start)
+            which, count = np.unique(np.unique(pair * (len(g) + 1) + at) // (len(g) + 1), return_counts=True)
             i_of = which // span
-            for i, b in zip(*(x[(count >= self.bound[i_of]) & (mine >= self.own_bound[i_of])].tolist() for x in (i_of, which % span + band.min()))):
+            for i, b in zip(*(x[count >= self.bound[i_of]].tolist() for x in (i_of, which % span + band.min()))):
                 if i in out:
                     continue
                 if starts is None:

@@ -126,6 +126,21 @@ def test_leaks(spark):
     assert {(r.item_id, r.documents) for r in leakage.leaked_items(leakage.leaks(d, it)).collect()} == {(0, 2), (1, 1), (2, 1), (3, 1), (5, 1)}
 
 
+def test_a_passage_of_many_items_leaks_each(spark):
+    """A copy is found whether its text is one item's or several items', in one block or in many."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("bdfgklmnprstv") + rnd.choice("aeiou") for _ in range(rnd.randrange(2, 5)))
+    shared = " ".join(word() for _ in range(60))
+    own = [" ".join(word() for _ in range(30)) for _ in range(5)]
+    items = [(i, shared) for i in range(3)] + [(3 + i, shared + " " + own[i]) for i in range(4)] + [(9, own[4] + " " + own[4][::-1])]
+    docs = [(1, " ".join(word() for _ in range(200)) + " " + shared + " end"), (2, "before " + own[4]), (3, " ".join(word() for _ in range(200)))]
+    d, it = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = {(1, i) for i in range(7)} | {(2, 9)}
+    for chars in (4_000_000, 1000, 1):
+        assert {(r.doc_id, r.item_id) for r in leakage.leaks(d, it, block_chars=chars).collect()} == want
+    assert {(r.item_id, r.documents) for r in leakage.leaked_items(leakage.leaks(d, it)).collect()} == {(i, 1) for i in (*range(7), 9)}
+
+
 def test_like_wording_is_no_leak():
     item = 2 * "In the Garden ballot, 431 papers were folded inside Harbor newspapers. Rust had eaten 12 rivets of the Willow gantry before Mason noticed."
     other = 2 * "In the Meadow ballot, 988 papers were folded inside Castle newspapers. Rust had eaten 77 rivets of the Poplar gantry before Carver noticed."
