@@ -93,9 +93,10 @@ _AROUND = [("the owner of ", " showed a plan"), ("Dear ", ", your application"),
 TRUSTED_SLOTS = [a + form % field + b for i, field in enumerate(_FIELDS) for j, form in enumerate(_FORMS) for a, b in [_AROUND[(3 * i + j) % len(_AROUND)]]] + [
     a + x + b for x in ("FirstName LastName", "Firstname Lastname", "123 Any Street Here", "123 Any Street", "(XXX) XXX-XXXX", "XXX-XXX-XXXX", "XX/XX/20XX", "XX/XX/XXXX", "MM/DD/YYYY", "DD/MM/YYYY", "$X,XXX", "$XX.XX") for a, b in _AROUND * 2
 ]
+#: A stretch that may be a placeholder: up to the next closing delimiter of its line, whatever its length.
 _SLOT = re.compile(
-    r"\{\{[^{}\n]{0,60}\}\}|[$#]?\{[^{}\n]{1,60}\}|<%=?[^%\n]{1,60}%>|<<[^<>\n]{1,60}>>|«[^«»\n]{1,60}»|</?[A-Za-z_][^<>\n]{0,60}>|\[\[[^\[\]\n]{1,60}\]\]|\[[^\[\]\n]{1,60}\]"
-    r"|%%[^%\n]{1,60}%%|@@[^@\n]{1,60}@@|__[A-Za-z][^\n]{0,50}?__|\([^()\n]{1,40}\)(?: XXX-XXXX)?|\$X[X,.]*|\b(?:XX+|MM|DD|YY+)(?:[/.-](?:\d{0,2}X+|MM|DD|YY+))+|\b[Ff]irst[Nn]ame [Ll]ast[Nn]ame|\b\d+ Any [A-Z]\w+(?: Here)?|\bTB[DC]\b|\b[A-Z][a-z]+[A-Z]\w*|_{4,}"
+    r"\{\{[^{}\n]*\}\}|[$#]?\{[^{}\n]+\}|<%=?[^%\n]+%>|<<[^<>\n]+>>|«[^«»\n]+»|</?[A-Za-z_][^<>\n]*>|\[\[[^\[\]\n]+\]\]|\[[^\[\]\n]+\]"
+    r"|%%[^%\n]+%%|@@[^@\n]+@@|__[A-Za-z][^\n]*?__|\([^()\n]+\)(?: XXX-XXXX)?|\$X[X,.]*|\b(?:XX+|MM|DD|YY+)(?:[/.-](?:\d{0,2}X+|MM|DD|YY+))+|\b[Ff]irst[Nn]ame [Ll]ast[Nn]ame|\b\d+ Any [A-Z]\w+(?: Here)?|\bTB[DC]\b|\b[A-Z][a-z]+[A-Z]\w*|_{4,}"
 )
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|\d+|;")
 _SPLIT = re.compile(r"\n+|(?<=[.!?])\s+(?=[^\W\d_a-z])")
@@ -199,10 +200,13 @@ class Model:
 
 
 def train(docs: DataFrame, text_col: str = "text", trusted: Iterable[str] | None = None, trusted_slots: Iterable[str] | None = None, sample_rows: int = 6000, sample_chars: int = 20000) -> Model:
-    """Fits both models. The sample is the `sample_rows` records of up to `sample_chars` characters with the smallest text hash."""
+    """Fits both models. The sample is the `sample_rows` distinct texts of up to `sample_chars` characters with the smallest hash."""
     t = F.col(text_col)
-    rows = docs.filter(t.isNotNull() & (F.length(F.trim(t)) > 0) & (F.length(t) <= sample_chars)).select(F.xxhash64(t).alias("h"), t.alias("t")).orderBy("h").limit(sample_rows).collect()
-    texts = list(dict.fromkeys(r["t"] for r in rows))
+    some = docs.filter(t.isNotNull() & (F.length(F.trim(t)) > 0) & (F.length(t) <= sample_chars)).select(F.xxhash64(t).alias("h"), t.alias("t"))
+    # the hashes first, so that only the texts of the sample are grouped
+    last = some.select("h").distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    rows = [] if last is None else some.filter(F.col("h") <= last).groupBy("h").agg(F.min("t").alias("t")).collect()
+    texts = [r["t"] for r in sorted(rows, key=lambda r: r["h"])]
     record, _ = fit([words(x) for x in (trusted or TRUSTED)], [words(x) for x in texts])
     slot = fit([s for x in (trusted_slots or TRUSTED_SLOTS) for s in slots(x)], [s for x in texts for s in slots(x)], trust=1.0, mu=0.02, odds=0.0)
     return Model(record, slot)

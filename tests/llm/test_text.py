@@ -210,3 +210,24 @@ def test_residue(spark, documents):
     assert {i for i, v in r if v == "placeholder"} == {1003, 1005}
     assert residue.content_only(d).count() == len(good) + 3
     assert residue.residue(d.limit(0)).count() == 0
+
+
+def test_long_placeholders(spark, documents):
+    good, _ = documents
+    long = ["[INSERT the full legal name and mailing address of the applicant HERE]", "{{ the name of the applicant as it is written in the articles of incorporation }}", "<<the name of the applicant as it is written in the articles of incorporation>>"]
+    assert min(map(len, long)) > 62 and all([m.group() for m in residue._SLOT.finditer(f"Held by {x} in May.")] == [x] for x in long)
+    m = residue.train(spark.createDataFrame(good, "doc_id bigint, text string"))
+    assert [m.verdict(f"{good[2][1]} Held on May 2 by {x} in the library.") for x in long] == ["placeholder"] * 3
+    assert not any(m.verdict(t) for _, t in good)
+
+
+def test_copies_do_not_fill_the_sample(spark, documents, monkeypatch):
+    """A text in many rows counts once among the texts that the models are fitted on, wherever its hash lies."""
+    good, _ = documents
+    seen = []
+    fit = residue.fit
+    monkeypatch.setattr(residue, "fit", lambda a, b, **k: seen.append(len(b)) or fit(a, b, **k))
+    d = spark.createDataFrame(good[:60], "doc_id bigint, text string")
+    first = d.selectExpr("text", "xxhash64(text) AS h").orderBy("h").first().text
+    residue.train(d.unionByName(spark.createDataFrame([(i, first) for i in range(5000, 5100)], "doc_id bigint, text string")), sample_rows=40)
+    assert seen[0] == 40
