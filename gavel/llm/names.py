@@ -10,7 +10,7 @@ afterwards and only where one candidate clearly stands out, so that they never w
 Scale: all comparisons are between distinct parsed forms; equal forms never meet in pairs until the output, which by
 its definition holds the pairs of a cluster. Blocks are equality joins with a built-in edit distance before the Python
 comparison. The dictionary of given names is an aggregation over all values, bounded by `max_given` entries when
-collected; rarer names fall back on word order.
+collected; more are an error, so that none is left out silently.
 
 Defined cases: null and blank values are no cases; values that name no organisation ('Resident', 'Self') are dropped by
 a list; values that are trade names elsewhere are dropped by an anti-join; equal values are one value; ties between
@@ -268,7 +268,7 @@ def _like(w: str, given: frozenset[str]) -> bool:
 
 
 def given_names(values: DataFrame, max_given: int = 50_000) -> frozenset[str]:
-    """Words that open a name, or follow the comma of one, more often than they end it; over all distinct values."""
+    """Words that open a name, or follow the comma of one, more often than they end it; over all distinct values. More than `max_given` are an error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -282,7 +282,10 @@ def given_names(values: DataFrame, max_given: int = 50_000) -> frozenset[str]:
             yield pd.DataFrame(rows, columns=["w", "n"])
 
     n = values.filter("value IS NOT NULL").mapInPandas(run, "w string, n int").groupBy("w").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c"))
-    return frozenset(r["w"] for r in n.filter("n > 0 AND c > 1").orderBy(F.desc("c"), "w").limit(max_given).collect())
+    rows = n.filter("n > 0 AND c > 1").select("w").limit(max_given + 1).collect()
+    if len(rows) > max_given:
+        raise ValueError(f"more than max_given = {max_given} given names; none is left out silently")
+    return frozenset(r["w"] for r in rows)
 
 
 def forms(values: DataFrame, field_kinds: dict[str, str], given: frozenset[str], purposes: list[str], lines: list[str]) -> DataFrame:

@@ -9,8 +9,7 @@ kinds or localities are rejected.
 
 Scale: work is on distinct values; parsing is one Arrow-batched pass without a shuffle. Name and kind statistics are
 aggregations over all values and stay distributed; the list of localities is collected, bounded by `max_localities`
-(beyond it only the most frequent are kept as a dictionary, which affects values that write such a locality without a
-comma). The self-join is on the form hash; a place's distinct writings meet there and nowhere else.
+(more are an error, so that none is left out silently). The self-join is on the form hash; a place's distinct writings meet there and nowhere else.
 
 Defined cases: null, blank and unparsable values (no house number and no second street) denote no place; equal values
 are one value; ties between equally near names go to the more frequent, then smaller name; unit and floor never
@@ -232,11 +231,13 @@ def variants(name: str) -> list[str]:
 
 
 def localities(values: DataFrame, max_localities: int = 5_000) -> frozenset[str]:
-    """Words that stand between the street and the region of two values or more, without slips of much more frequent ones."""
+    """Words that stand between the street and the region of two values or more, without slips of much more frequent ones. More than `max_localities` words are an error."""
     values = values.filter("value IS NOT NULL")
     tails = F.udf(lambda v: tail(v), "string")
     n = values.select(tails("value").alias("w")).filter("w IS NOT NULL").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    rows = n.filter("n > 1").orderBy(F.desc("n"), "w").limit(max_localities).collect()
+    rows = n.filter("n > 1").orderBy(F.desc("n"), "w").limit(max_localities + 1).collect()
+    if len(rows) > max_localities:
+        raise ValueError(f"more than max_localities = {max_localities} localities; none is left out silently")
     kept: dict[str, int] = {}
     for r in rows:  # a slip of a much more frequent one is none of its own
         if not any(c >= 8 * r["n"] and _near(r["w"], w, 2) for w, c in kept.items()):

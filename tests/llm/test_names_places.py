@@ -106,3 +106,15 @@ def test_no_places(spark):
 
 def test_deletion_variants_meet_within_two_slips():
     assert set(places.variants("pepasteski")) & set(places.variants("pepsteskii")) and not set(places.variants("12")) - {"12"}
+
+
+def test_dictionaries_are_whole_or_an_error(spark):
+    v = spark.createDataFrame([(f"{a} {b}",) for a in ("Greta", "Yusuf", "Quentin") for b in ("Hollenbeck", "Winder", "Felerigh")], "value string")
+    v = v.unionByName(v.selectExpr("value || 'x' AS value"))
+    assert names.given_names(v, 3) == {"greta", "yusuf", "quentin"}
+    with pytest.raises(ValueError, match="max_given"):
+        names.given_names(v, 2)
+    p = spark.createDataFrame([(f"{n} Oak Street, {c}, NY",) for n in (1, 2, 3) for c in ("Brooklyn", "Albany")], "value string")
+    assert len(places.localities(p, 2)) == 2
+    with pytest.raises(ValueError, match="max_localities"):
+        places.localities(p, 1)
