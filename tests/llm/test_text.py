@@ -144,7 +144,49 @@ def test_a_passage_of_many_items_leaks_each(spark):
 def test_like_wording_is_no_leak():
     item = 2 * "In the Garden ballot, 431 papers were folded inside Harbor newspapers. Rust had eaten 12 rivets of the Willow gantry before Mason noticed."
     other = 2 * "In the Meadow ballot, 988 papers were folded inside Castle newspapers. Rust had eaten 77 rivets of the Poplar gantry before Carver noticed."
-    assert leakage.Index([(1, item)], 0.4, 0.085).search(other) == [] and leakage.Index([(1, item)], 0.4, 0.085).search("x " + item)
+    assert leakage.Index([(1, item)], 0.4, 0.085).search([other, "x " + item]) == [{}, {1: 1.0}]
+
+
+def test_equal_short_and_unspaced_items_leak(spark):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("bdfgklmnprstv") + rnd.choice("aeiou") for _ in range(rnd.randrange(2, 5)))
+    text, han = " ".join(word() for _ in range(70)), "这是一段只供测试使用的文字请不要把它放进训练材料里面谢谢各位编辑和读者的理解与支持我们明年再见"
+    docs = [(1, " ".join(word() for _ in range(90)) + " " + text), (2, "he said: PARIS -- France, at last"), (3, "xabcdex abcd e"), (4, "so abcde it is"), (5, "昨天他们在会上说" + han[4:40] + "然后大家都回家了"), (6, "France, Paris")]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for copies in (1, 2, 3, 50):
+        items = [(i, text) for i in range(copies)] + [(100, "Paris, France"), (101, "abcde"), (102, han), (103, "..."), (100, "Paris, France")]
+        it = spark.createDataFrame(items, "item_id bigint, text string")
+        want = {(1, i) for i in range(copies)} | {(2, 100), (4, 101), (5, 102)}
+        for chars in (4_000_000, 60):
+            assert {(r.doc_id, r.item_id) for r in leakage.leaks(d, it, block_chars=chars).collect()} == want
+
+
+def test_vectorised_alignment_is_the_best_local_one():
+    """Against the plain recurrence over all cells of the band."""
+    rnd = np.random.default_rng(8)
+
+    def plain(same):
+        rows, width = same.shape
+        best, state = (0.0, 0, 0), {}
+        for i in range(rows):
+            here = {}
+            for b in range(width):
+                s, m, st = state.get(b, (0.0, 0, i))
+                cell = (s + 1, m + 1, -st) if same[i, b] else (s - 2, m, -st)
+                for other in (state.get(b + 1), here.get(b - 1)):
+                    if other:
+                        cell = max(cell, (other[0] - 0.9, other[1], -other[2]))
+                if cell[0] > 0.05:
+                    here[b] = (cell[0], cell[1], -cell[2])
+                    best = max(best, (round(cell[0], 6), cell[1], i + 1 + cell[2]))
+            state = here
+        return best[0], best[1]
+
+    cases = [rnd.random((rnd.integers(1, 30), rnd.integers(1, 25))) < rnd.choice([0.1, 0.4]) for _ in range(60)]
+    for c in cases[::2]:
+        c[np.arange(len(c)), min(3, c.shape[1] - 1)] |= rnd.random(len(c)) < 0.8
+    for c, (matched, spanned) in zip(cases, leakage.align(cases)):
+        assert matched == plain(c)[1] and matched <= spanned <= len(c) or not c.any()
 
 
 def test_sweep_places_everything_or_opens():
