@@ -25,6 +25,8 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
     b = SparkSession.builder.master(f"local[{cores}]").appName("gavel")
     for k, v in CONF.items():
         b = b.config(k, v)
+    # one machine: its own folder is the shared one
+    b = b.config("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), f"gavel-checkpoint-{uuid.uuid4().hex[:8]}"))
     spark = (
         b.config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
@@ -37,27 +39,34 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One Parquet table; projections and filters of the caller reach its scan."""
+    """One Parquet table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir. Only where it is unset (tests) a folder of this machine is used."""
+    """The shared folder named by spark.checkpoint.dir; an error where none is set, as a machine's own folder would not do."""
     sc = spark.sparkContext
     have = sc._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get()
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not shared:
-        shared = os.path.join(tempfile.gettempdir(), f"gavel-checkpoint-{uuid.uuid4().hex[:8]}")
+        raise ValueError("spark.checkpoint.dir names no shared folder")
     sc.setCheckpointDir(shared)
     return shared
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and written to the shared checkpoint folder: survives the loss of executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows, computed once and written to the shared checkpoint folder: survives the loss of executors.
+
+    The result starts anew for the optimiser. A checkpointed table otherwise keeps the size estimates of its plan, and
+    joins multiply estimates: over the rounds of an iteration they grow to numbers of millions of digits.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    done = df.checkpoint(eager=True)
+    rows = done._jdf.queryExecution().toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, done._jdf.schema(), False), spark)
 
 
 def small_enough(df: DataFrame, rows: int) -> bool:
