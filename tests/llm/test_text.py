@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gavel.llm import crf, leakage, packing, pii, queries, residue
 
@@ -189,20 +190,42 @@ def test_vectorised_alignment_is_the_best_local_one():
         assert matched == plain(c)[1] and matched <= spanned <= len(c) or not c.any()
 
 
-def test_sweep_places_everything_or_opens():
+def test_a_round_matches_bundles_to_their_successors(spark):
+    """Over many partitions: one bundle a gap, every gap large enough, and as many matches as any matching has."""
     rnd = random.Random(6)
-    for _ in range(50):
-        cap = rnd.randrange(5, 60)
-        sizes, rooms = ({rnd.randrange(1, cap): rnd.randrange(1, 30) for _ in range(8)} for _ in range(2))
-        seg, opened = packing.sweep(sizes, rooms, cap, 10**6)
-        placed, load = {}, {}
-        for s, d0, room, g0, m, k in seg:
-            assert d0 == placed.get(s, 0)
-            placed[s] = d0 + m * k
-            for g in range(g0, g0 + m):
-                load[room, g] = load.get((room, g), 0) + s * k
-        assert placed == sizes and all(v <= r for (r, _), v in load.items())
-        assert all(g < rooms.get(r, 0) + (opened if r == cap else 0) for r, g in load)
+    docs = [(c, 10_000 * c + k, rnd.choice([7, rnd.randrange(1, 60)])) for c in (1, 2) for k in range(150)]
+    gaps = [(c, (1 << 60) + 10_000 * c + k, rnd.choice([7, rnd.randrange(1, 60)])) for c in (1, 2) for k in range(100)]
+    b = spark.createDataFrame(docs, "size_id bigint, bundle bigint, total bigint")
+    g = spark.createDataFrame(gaps, "size_id bigint, container_id bigint, room bigint")
+    got = packing.matched(b, g).collect()
+    size, room = {(c, i): n for c, i, n in docs}, {(c, i): n for c, i, n in gaps}
+    assert len({(r.size_id, r.gap) for r in got}) == len({(r.size_id, r.bundle) for r in got}) == len(got)
+    assert all(size[r.size_id, r.bundle] <= room[r.size_id, r.gap] for r in got)
+    for c in (1, 2):
+        free, n = [], 0
+        for v, kind in sorted([(x, 0) for k, _, x in gaps if k == c] + [(x, 1) for k, _, x in docs if k == c], key=lambda x: (-x[0], x[1])):
+            if kind == 0:
+                free.append(v)
+            elif free:
+                free.pop()
+                n += 1
+        assert n == sum(r.size_id == c for r in got)
+
+
+def test_bundles_keep_order_and_target():
+    import pandas as pd
+
+    rows = [(1, k, k, 0, n, 10) for k, n in enumerate([12, 9, 5, 4, 3, 3, 3, 1])] + [(2, 90, 90, 0, 1, 10)]
+    out = pd.concat(packing.bundles(iter([pd.DataFrame(rows[:4], columns=["size_id", "key", "doc_id", "piece", "tokens", "target"]), pd.DataFrame(rows[4:], columns=["size_id", "key", "doc_id", "piece", "tokens", "target"])])))
+    groups = [(g.tokens.tolist(), g.total.dropna().tolist()) for _, g in out.groupby("bundle", sort=False)]
+    assert groups == [([12], [12]), ([9], [9]), ([5, 4], [9]), ([3, 3, 3, 1], [10]), ([1], [1])]
+
+
+def test_many_capacities_settle(spark):
+    caps = spark.createDataFrame([(i, 50 + i) for i in range(1200)], "size_id bigint, capacity_tokens bigint")
+    r = packing.pack(spark.createDataFrame([(i, 9 + i) for i in range(12)], "doc_id bigint, tokens bigint"), caps)
+    assert r.groupBy("size_id", "container_id").agg(F.sum("tokens").alias("t")).filter("t > 50 + size_id").count() == 0
+    assert r.groupBy("size_id").agg(F.sum("tokens").alias("t")).filter("t = 174").count() == 1200
 
 
 def test_pack(spark):
