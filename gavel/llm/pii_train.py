@@ -1,129 +1,236 @@
-"""Trains the tagger on labelled spans: ``python -m gavel.llm.pii_train OUT.npz [seconds [START.npz]]``.
-
-The labelled sentences are composed here: sentence frames as people write them in sign-in sheets, letters and incident
-notes, in English, Spanish and Polish, filled with invented details in every form they take, and with the things that
-only look like details (case numbers, permits, schools, firms, crossings). Nothing is read from the tables.
+"""Trains the tagger on labelled spans: ``python -m gavel.llm.pii_train OUT.npz [seconds [workers]]``.
+
+The labelled sentences are composed here, from general knowledge of how people write and from no table: frames of many
+trades (deliveries, surgeries, schools, landlords, courts, clubs, travel, help desks, newspapers, chats) in English,
+Spanish and Polish, clauses put together word by word, and loose words with details strewn in, so that a detail is told
+by its own form and not by the wording around it. Details come in every form in which they are written, beside things
+that only look like them: dates, times, sums, shares, scores, ages, case and order numbers, firms, schools, places,
+streets without a house number, crossings. Every seventh frame is kept out of training; `held_out` measures on those.
 """
 
 from __future__ import annotations
 
+import os
 import random
 import re
 import sys
 import time
 
+for _v in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):
+    if __name__ == "__main__":
+        os.environ[_v] = "1"
+
 import numpy as np
 
 from .crf import KINDS, N_TAGS, encode, fit_batch, init
 
-FIRST = """James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Richard Susan Joseph Jessica Thomas
-Sarah Charles Karen Daniel Nancy Matthew Lisa Anthony Betty Mark Margaret Donald Sandra Steven Ashley Paul Kimberly Andrew Emily
-Joshua Donna Kenneth Michelle Kevin Carol Brian Amanda George Dorothy Edward Melissa Ronald Deborah Jason Stephanie Ryan Rebecca
-Jacob Laura Gary Helen Eric Amy Larry Anna Frank Brenda Scott Pamela Raymond Emma Gregory Nicole Samuel Katherine Patrick Virginia
-Jack Rachel Dennis Carolyn Jerry Janet Maria Jose Carmen Juan Rosa Luis Lupe Guadalupe Francisco Pancho Ignacio Nacho Beatriz Bea
-Jerzy Jurek Malgorzata Gosia Kasimir Aleksander Olek Basia Barb Stanislaw Staszek Zoltan Tobias Ursula Zelda Felix Silas Odile
-Imogen Desmond Lucian Percy Helga Dalia Petra Nestor Raul Rufus Mirela Esther Karin Gilbert Delphine Xenia Wanda Gemma Bruno Lidia
-Iris Adela Conrad Gaston Cecil Omar Basil Amara Faye Frederick Josefina Paloma Quentin Magda Nadia Emil Eleanor Ellie Hank Henry
-Bobby Rick Charlie Patty Liz Peggy Ginny Alex Tamara Lorena Valeria Julio Celia Sabine Agnes Lionel Marcel Ivan Hugo Greta Olga""".split()
-TITLES = ["Mr.", "Mrs.", "Ms.", "Dr.", "Mx.", "Hon.", "Councilmember", "Sen.", "Rev.", "Prof.", "Sr.", "Sra."]
-KIND_WORDS = {"Street": ["St.", "St", "Str.", "Street"], "Avenue": ["Ave.", "Ave", "Av", "Av.", "Avenue"], "Road": ["Rd.", "Rd", "Road"],
-    "Drive": ["Dr.", "Dr", "Drive"], "Place": ["Pl.", "Pl", "Place"], "Court": ["Ct.", "Ct", "Court"], "Terrace": ["Terr.", "Ter", "Ter.", "Terrace"],
-    "Boulevard": ["Blvd.", "Blvd", "Boulevard"], "Lane": ["Ln.", "Ln", "Lane"], "Square": ["Sq.", "Square"]}
+FIRST = """James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen
+Daniel Nancy Matthew Lisa Anthony Betty Mark Margaret Donald Sandra Steven Ashley Paul Kimberly Andrew Emily Joshua Donna Kenneth Michelle Kevin Carol
+Brian Amanda George Dorothy Edward Melissa Ronald Deborah Jason Stephanie Ryan Rebecca Jacob Laura Gary Helen Eric Amy Larry Anna Frank Brenda Scott
+Pamela Raymond Emma Gregory Nicole Samuel Katherine Patrick Virginia Jack Rachel Dennis Carolyn Jerry Janet Oliver Amelia Noah Isla Mia Ethan Chloe Lucas
+Priyanka Arjun Deepa Rahul Ananya Vikram Kwame Abena Kofi Ama Chidi Ngozi Amina Fatima Mohammed Yusuf Ahmed Leila Omar Zainab Hassan Wei Mei Jun Xiu Hiroshi
+Yuki Kenji Sakura Min Ji Soo Thanh Linh Nguyen Duc Maria Jose Carmen Juan Rosa Luis Guadalupe Francisco Ignacio Beatriz Diego Lucia Pablo Ines Javier
+Marta Sofia Mateo Camila Rafael Teresa Jerzy Malgorzata Aleksander Stanislaw Katarzyna Piotr Agnieszka Tomasz Zofia Wojciech Ewa Krzysztof Joanna Marek
+Hans Greta Klaus Ursula Jurgen Heidi Pierre Amelie Luc Chantal Giulia Marco Paola Enzo Ivan Olga Dmitri Natasha Sergei Irina Lars Ingrid Sven Astrid Niamh
+Sean Ciaran Siobhan Bob Bill Liz Kate Tom Mike Dave Jim Joe Sue Ed Tony Nick Pete Ben Sam Max Leo Ruth Eva Ivy Zoe Nora Hugo Felix Bruno Conrad Basil""".split()
+LAST = """Smith Johnson Williams Brown Jones Miller Davis Wilson Anderson Taylor Moore Jackson Martin Lee Thompson White Harris Clark Lewis Robinson Walker Young
+Allen King Wright Scott Hill Green Adams Baker Nelson Carter Mitchell Perez Roberts Turner Phillips Campbell Parker Evans Edwards Collins Stewart Morris
+Garcia Martinez Rodriguez Lopez Gonzalez Hernandez Sanchez Ramirez Torres Flores Rivera Gomez Diaz Cruz Reyes Morales Ortiz Vargas Castillo Chatterjee Patel
+Sharma Gupta Khan Singh Kumar Iyer Nair Chen Wang Li Zhang Liu Yang Huang Kim Park Choi Nguyen Tran Pham Tanaka Suzuki Sato Watanabe Mensah Okafor Adeyemi
+Boateng Nkrumah Diallo Hussein Rahman Haddad Nasser Kowalski Nowak Wisniewski Lewandowski Zielinski Mazur Muller Schmidt Schneider Fischer Weber Hoffmann
+Dubois Moreau Laurent Rossi Ferrari Bianchi Novak Horvat Petrov Ivanov Sokolov Johansson Nilsson Hansen Larsen Murphy Kelly Byrne Doyle Walsh Papadopoulos""".split()
+PARTICLES = ["van ", "van der ", "de ", "de la ", "del ", "da ", "von ", "di ", "al-", "El ", "O'", "Mc", "Mac", "St. ", "le "]
+TITLES = ["Mr.", "Mrs.", "Ms.", "Dr.", "Mx.", "Mr", "Mrs", "Ms", "Dr", "Hon.", "Sen.", "Rev.", "Prof.", "Sr.", "Sra.", "Rep.", "Judge", "Officer", "Captain", "Sgt.", "Councilmember", "Mayor", "Sir", "Pani", "Pan", "Señora", "Nurse", "Coach", "Miss"]
+KIND_WORDS = {"Street": ["St.", "St", "Str.", "Street"], "Avenue": ["Ave.", "Ave", "Av", "Av.", "Avenue"], "Road": ["Rd.", "Rd", "Road"], "Drive": ["Dr.", "Dr", "Drive"], "Place": ["Pl.", "Pl", "Place"],
+    "Court": ["Ct.", "Ct", "Court"], "Terrace": ["Terr.", "Ter", "Ter.", "Terrace"], "Boulevard": ["Blvd.", "Blvd", "Boulevard"], "Lane": ["Ln.", "Ln", "Lane"], "Square": ["Sq.", "Square"], "Way": ["Way"], "Parkway": ["Pkwy", "Parkway"]}
 DIRS = {"North": ["N.", "N", "No.", "North"], "South": ["S.", "S", "So.", "South"], "East": ["E.", "E", "East"], "West": ["W.", "W", "West"]}
 ORDINALS = "First Second Third Fourth Fifth Sixth Seventh Eighth Ninth Tenth Eleventh Twelfth".split()
-TOPICS = ["night work permits", "soil vapor study", "composting bins", "rezoning of the freight yard", "bike corral placement", "dog run rules",
-    "open street hours", "library branch hours", "new liquor licence", "parking placard abuse", "noise from roof terraces", "ferry landing repairs",
-    "rat complaints behind the market", "affordable units in the new tower", "school crossing guard", "park drinking fountains", "truck idling",
-    "tree pits and flooding", "snow clearing at bus stops", "street vendor rules", "bus lane redesign", "sidewalk shed on the corner", "pool season schedule"]
-ORG_KINDS = ["Civic League", "Merchants Alliance", "Block Association", "Tenants Association", "Parents Council", "Youth Center", "Greenway Initiative",
-    "Housing Development Fund", "Preservation Society", "Neighbors Union", "Arts Fund"]
-ADJ = "Rusty Velvet Painted Smoky Salty Quiet Lucky Grand Ivory Amber Marble Wild Humble Northern Midnight Hollow Silver Crooked Sunken Copper Tall Little".split()
-NOUN = "Anchor Barrel Cactus Fig Needle Raft Sparrow Tram Windmill Thimble Sextant Lantern Kettle Ferret Heron Owl Pigeon Ladder Oyster Buoy Mule".split()
-SHOP = ["Bakery", "Bar", "Cafe", "Café & Bar", "Grill", "Kitchen", "Lounge", "Pizza", "Social Club", "Tavern", "Taproom", "Cantina"]
-TAILS = ["The chair thanked the speaker.", "Others nodded.", "No reply was given.", "Time ran out at two minutes.", "Applause.", "The line dropped and the next caller was taken.",
-    "See also file {case}.", "A second hearing may be held at the {place}.", "Asked whether {org} agrees, the speaker said yes.", "Staff will follow up on {topic}."]
-FRAMES = """{name} spoke about {topic} and asked the board to act before the summer.
-{name} - against. Says trucks idle by {cross} from {n} a.m.
-{name} ({phone}) said that {org} was never notified.
-{name} ({org}) was in favor of {topic}.
-{name} noted that complaint no. {case} is still open after two years.
-{name} said, "I have lived on the block for {n} years," and spoke about {topic}.
-{name} said the {place} needs lights; vote stood at 28-0-1 the last time.
-{name}, who lives at {addr}, objected to the hours at {biz}.
-{name} gave {id} while asking for help with a benefit form, and the clerk told them not to read it out.
-{name} and {name} jointly presented for {org}.
-{name} of {org} opposed the plan for {topic}.
-{poss} letter on {topic} was entered in the record.
-{name}: please put {poss} remarks on file.
-{name} was struck near {cross} while crossing with the light.
-{name} suffered a broken leg outside {biz}.
-Speaker {n} of 40 ceded time to {name}.
-The speaker, {name}, left {phone} as a call-back number and thanked the members.
-The owner of {biz} answered; {name} replied that the docket {case} was closed.
-Testimony for {org} at the {place}; the sum of ${n},500 was disputed.
-Read into the record: "{topic} must wait" ({name}, {org}).
-Transcript: my name is {name}, my address is {addr}, and my number, it is {phone}.
-Sign-in sheet line: {name}, {addr}, {phone}.
-Mailing list request: {email}; phone {phone}; home {addr}.
-Written statement received from {email} regarding {topic}; read aloud by staff.
-Email thread from {email} to the office, subject: {topic}.
-Caller asked to be reached at {phone} or {email} about {topic}.
-Form on file lists {id}, contact {email}.
-Asked by the chair, the tenant at {addr} showed {id}.
-A resident of {addr} described {topic} as worse than last year.
-Comment card, hard to read. Topic {topic}. Budget line {case}. No contact given.
-Spoke for {biz}: hours, noise and {topic}. Permit {case} was cited.
-Concerned about {topic}; wants a hearing at the {place} on case {case}.
-Speaker waited near {cross} and had no comment on {topic}.
-{org} thanked the board for its letter on {topic}; no one was named.
-Members of {org} met at {biz} near {cross}.
-La vecina {name} habló sobre {topic} y dejó su correo {email}.
-El vecino {name} vive en {addr} y pidió menos ruido.
-En contra: {name} ({org}), tel. {phone}.
-Peatón herido: {name}, esquina {cross}.
-Pani {name} prosiła o tłumaczenie; telefon {phone}.
-Za projektem: {name}, adres {addr}.
-Police named the victim as {name}, of {addr}.
-Members observed a moment of silence for {name}.
-Family of {name} asked for a vigil; write to {email}.
-Memorial fund: contact {name} at {email} or {phone}.
-Driver fled toward {cross}. Witness {name} took a photo.
-Report {case} lists {id} for the injured driver.
-Collision in front of {addr}; ambulance called from {phone}.
-A cyclist was hit by a van at {cross}; report {case}.
-Next of kin can be reached at {phone}.
-The precinct reported a fatality near the {place} and {n} injuries this year.
-A pedestrian, {n}, remains in critical condition. No name was released.
-{name} asked that replies on {topic} go to {email}.
-{name} wrote from {email} that {topic} had been ignored.
-Motion by {name}, seconded by {name}, result 28-2-1.
-Contact: {name}, {phone}, {email}.
-Please call {name} back at {phone} before noon.
-I am {name} and I live at {addr}.
-See {name} at {addr} for the key.
-{name} signed in from {addr}; badge {id}.
-We met {name} near {cross} on the way to {biz}.
-Thanks to {name} and {name} of {org} for the photos.
-Reply to {email} or ring {phone}.
-Her {id} was read aloud by mistake.
-Delivery for {name}, {addr}, tel. {phone}.
-The landlord, {name}, did not answer at {phone}.
-Case {case} was opened by {name} on the {n}th.
-The van belongs to {biz} and parks at {cross}.
-Owner {name} can be mailed at {email}.
-Mi nombre es {name} y mi teléfono es {phone}.
-Nazywam się {name}, mieszkam przy {addr}, mail {email}.
-{name} asked, {name} answered, and {org} took notes.
-Notes: {phone} ({name}); {email}.
-{name}
+STREET_NAMES = "Main Oak Maple Cedar Elm Pine Washington Lake Hill Walnut Spring River Park Church Bridge Mill Forest Highland Union Liberty Franklin Jackson Lincoln Chestnut Willow Garden Station Market Prospect Grove".split()
+ADJ = "Green Blue Old Golden Royal Happy Sunny Iron Stone Red Bright Modern Prime Global United Central Pacific Alpine Swift Noble Brave Clever Fancy Gentle Jolly Lively Merry Plain Rapid Sharp Urban Vivid Warm Young Zesty Crimson Dusty Frosty Hidden Lone".split()
+NOUN = "Dragon Lion Rose Crown Bell Harbor Garden Mountain Valley Tiger Eagle Falcon Wolf Bear Fox Horse Star Moon Sun Cloud River Bridge Tower Gate Castle Field Orchard Meadow Pearl Diamond Arrow Shield Hammer Wheel Clock Book Pen Lamp Spoon Whale".split()
+FIRM = ["Dental Clinic", "Insurance", "Robotics", "Consulting", "Motors", "Pharmacy", "Hardware", "Travel", "Logistics", "Bank", "Airlines", "Books", "Restaurant", "Hotel", "Inn", "Diner", "Pub", "Coffee", "Pizzeria", "Fitness", "Law Group", "& Sons", "& Co.", "Studios", "Plumbing", "Foods",
+    "Media", "Systems", "Laundry", "Florist", "Records", "Theatre", "Gallery", "Supermarket", "Brewery", "Spa", "Salon", "Garage", "Bakery", "Bar", "Grill", "Kitchen", "Cafe", "Deli", "Social Club", "Lounge"]
+BODY = ["Association", "Society", "Union", "Foundation", "Council", "League", "Alliance", "Committee", "Federation", "Trust", "Institute", "Network", "Coalition", "Club", "Initiative", "Center", "Fund", "Partnership", "Project", "Guild"]
+FIELD = ["Housing", "Wildlife", "Youth", "Tenants", "Merchants", "Arts", "Neighborhood", "Veterans", "Teachers", "Parents", "Heritage", "Cycling", "Garden", "Rowing", "Chess", "Literacy", "Health", "Music", "Film", "Block", "Business", "Civic", "Community", "Trade"]
+SITE = ["School", "Elementary School", "High School", "Library", "Hospital", "Park", "Playground", "University", "College", "Museum", "Airport", "Station", "Stadium", "Church", "Pool", "Community Center", "Bridge", "Plaza", "Theater", "Recreation Center"]
+TOPIC = """the broken lift|late invoices|the school trip|parking fees|a missing parcel|the winter timetable|the leaking roof|a refund|blood test results|the summer camp|garden waste|the office move|overtime pay|a lost umbrella
+the new software|bus delays|the bicycle shed|noise at night|the kitchen renovation|tax forms|a wedding cake|the football match|swimming lessons|the concert|the annual report|his pension|her passport renewal|the insurance claim
+street lighting|the water bill|tree planting|dog licences|the playground swings|loud music|traffic near the hospital|rubbish collection|the library's opening hours|a building permit|rats in the cellar|snow on the pavement|the market stalls|a bar licence|the tenants' meeting|cheaper flats""".replace("\n", "|").split("|")
+CITY = "Springfield London Madrid Warsaw Chicago Boston Lagos Berlin Paris Toronto Sydney Mumbai Oakland Denver Austin Kraków Sevilla Dublin Leeds Osaka Albany Trenton".split()
+FRAMES = """Parcel for {name}, {addr}, was left with the neighbour.
+Please deliver the sofa to {addr} before {time}; the buyer is {name}.
+Courier note: nobody home at {addr}, rang {phone} twice.
+Order {case} was shipped to {name} on {date}.
+Invoice {case} for {money} remains unpaid by {biz}.
+Dear {name}, thank you for writing to us about {topic}.
+Hi {first0}, could you call {phone} today?
+Hi team, {name} is out sick until {day}.
+Hello all, the meeting about {topic} moves to {date}.
+this is {name} from accounts, my extension changed
+Regards, {name}, {biz}
+Best wishes,\n{name}\n{phone}\n{email}
+{name} <{email}> wrote:
+From: {email} To: {email} Subject: {topic}
+cc {email}, {email}
+You can reach me at {email} or on {phone}.
+My mobile is {phone} and my work address is {email}.
+Fax {phone}, attention {name}.
+Tel. {phone} | {email} | {addr}
+Patient {name}, seen on {date}, complained about headaches.
+Next appointment: {name}, {date}, {time}.
+Emergency contact: {name} ({rel}), {phone}.
+Insurance card issued to {name}; {id}.
+The nurse wrote down {id} for {name}.
+Blood pressure of {n} over {n} was recorded by {name}.
+Pupil {name} of {site} won the prize in {date}.
+{name} and {name} will drive the children to {site}.
+Parents may write to {email} about {topic}.
+The rent for {addr} is {money} a month.
+Tenant {name} moved out of {addr} on {date}.
+Landlord: {name}. Deposit: {money}. Keys: two.
+A flat at {addr} was let to {name} and {name}.
+Water was off at {addr} for {n} hours.
+Case {case}: {name} against {biz}.
+Witness {name} lives at {addr}.
+The court heard {name} on {date} and {name} on {date}.
+Judge {last0} asked counsel about {topic}.
+Mr. {last0} and Ms. {last0} signed the lease.
+The applicant gave {id} and a copy of the lease.
+He showed {id} at the counter of {biz}.
+{id} belongs to {name}.
+Employee {name}: {id}; start {date}; salary {money}.
+Do not share {id} by mail.
+Wire {money} to {biz}, reference {case}.
+The {org} elected {name} as treasurer.
+{name}, chair of the {org}, praised {topic}.
+{name} of the {org} could not come.
+{poss} car was parked on {street}.
+{poss} daughter goes to {site}.
+{poss} lawyer sent a fax from {phone}.
+We spoke with {poss} sister about {topic}.
+"{topic} is my only worry," said {name}.
+{name} said: "I will call you back on {phone}."
+{name} asked whether {topic} would cost more than {money}.
+{name} scored twice; the match ended {score}.
+{name} beat {name} {score} in {city}.
+According to {name}, {pct} of members agreed.
+{pct} of the staff at {biz} voted for {topic}.
+The vote was {score} with {n} abstentions.
+Since {year} {name} has led the choir.
+In {year}, {name} opened {biz} on {street}.
+{name} ({year}-{year}) painted {site}.
+{name}, {n}, of {city}, was arrested on {street}.
+Police are looking for {name}, last seen near {cross}.
+The driver, {name}, was taken to {site}.
+Two cars met at {cross} around {time}; no one was hurt.
+A cyclist fell on {street}. Report {case}.
+Firefighters were called to {addr} at {time}.
+Officer {last0} took a statement from {name}.
+Taxi from {addr} to {addr} for {name}.
+Flight {case} leaves {city} at {time}.
+Booking for {name}, {n} guests, {date}.
+Guest: {name}; room {n}; call {phone}.
+Tickets for {topic} are sold at {biz}, corner of {cross}.
+Meet me at {biz} near {cross}, {time}.
+The shop {biz} on {street} closes in {date}.
+{biz} hired {name} and {name}.
+{biz}, {addr}, open daily.
+Branch: {addr}. Manager: {name}.
+Donations were made by {name}, {name} and {biz}.
+Thanks to {name}, {name}, and the {org}!
+{name}; {name}; {name}
+{name} - absent
+{name} (excused), {name} (late)
+{name}, secretary
+{first0} {first0} and the others left early.
+{name}: yes. {name}: no.
+{name} - in favour. {name} - against {topic}.
+Q: where do you live? A: at {addr}, with {name}.
+Agent: your number please? Caller: {phone}.
+ok {first0} send it to {email} thx
+lol {name} lost his keys again at {biz}
+@{first1} see you at {time}, my new number: {phone}
+Lost cat near {cross}. Please ring {phone}.
+For sale: bike, {money}, {phone}, ask for {name}.
+Wanted: room near {site}. Write to {email}.
+Members: {name}, {addr}; {name}, {addr}.
+Name: {name}  Address: {addr}  Phone: {phone}
+Name {name} Date {date} Signature
+Applicant | {name} | {addr} | {email}
+{n}. {name}, {addr}
+{name}\t{phone}\t{email}
+P.O. Box {n}{n}, {city}
+Page {n} of {n}. Item {n}: {topic}.
+Agenda for {date}: {topic}; {topic}; any other business.
+Permit {case} expires on {date}.
+Complaint {case} about {topic} was closed.
+See file {case} and the letter of {date}.
+The {org} met at {site} on {date} at {time}.
+The {org} and {biz} share an office on {street}.
+Nobody from {biz} replied about {topic}.
+A man in his forties asked about {topic}.
+An elderly woman fell outside {biz} on {street}.
+A {n}-year-old boy was hurt near {site}.
+The speaker gave no name and talked about {topic}.
+The victim, {name}, {n}, lived at {addr}.
+Mourners remembered {name} at {site}.
+Flowers may be sent to {addr}; questions to {email}.
+Me llamo {name} y vivo en {addr}.
+La señora {name} pidió hora para el {n} de mayo.
+Llame al {phone} o escriba a {email}.
+El paquete de {name} está en {addr}, tel. {phone}.
+La factura {case} de {biz} suma {money}.
+Don {name} y su hija {first0} llegaron tarde.
+Según {name}, el {pct} está de acuerdo con el horario.
+El vecino {name} se quejó del ruido en {street}.
+Mam na imię {first0}, mój numer to {phone}.
+Paczka dla {name}, {addr}, telefon {phone}.
+Proszę pisać na {email} albo dzwonić pod {phone}.
+Pan {name} prosił o fakturę {case} do {n} maja.
+Pani {last0} mieszka przy {addr}.
+Zebranie w sprawie remontu: {date}, godz. {time}.
+Zgłosił się {name}, pesel w aktach, {id}.
 {email}
 {phone}
-{addr}""".split("\n")
+{addr}
+{name}
+{name}
+{name}, {n}
+{name} ({rel})
+{name}, of {addr}
+{name} & {name}
+{name} c/o {name}
+{name} / {phone}
+{name} [{id}]
+{name} and {n} others
+{name} (pedestrian), {name} (driver)
+adult male, {n}
+boy of {n}
+girl ({n})
+no name given
+name withheld
+unidentified
+not known yet
+driver and two riders
+a scooter rider
+elderly man with a cane
+mother and baby
+{n}-year-old student
+woman, about {n}
+the postman
+group of hikers""".split("\n")
+SUBJECT = ["{name}", "{name}", "{name}", "{name} of {org}", "{name} ({org})", "the owner of {biz}", "she", "he", "they", "we", "a neighbour", "{org}", "{biz}", "the tenant at {addr}", "a caller from {addr}", "{poss} brother", "someone", "the clerk", "{name} and {name}", "staff", "a resident", "the chair", "nobody"]
+VERB = ["spoke about", "complained of", "asked for", "wrote about", "opposed", "supported", "was glad of", "knew nothing of", "explained", "objected to", "thanked everyone for", "voted against", "is worried about", "praised", "reported", "described", "mentioned", "wanted more on", "is for", "is against", "brought photos of", "heard of", "presented", "signed for", "noted", "testified on"]
+TAIL = ["", "", "", ".", " and left {phone}.", " and gave {addr}.", ", {email}.", " near {cross}.", " at {site}.", " on {date}.", "; call {phone}.", " (see {case}).", " for {org}.", " with {name}.", ", said {name}.", " outside {biz}.", " from {email}.", " in a letter of {date}.", " by {time}.", " on {street}.", ", who lives at {addr}.", " because of {topic}.", " and showed {id}.", " - {pct} agreed.", " for {n} minutes.", ", {score}."]
 FILL = """the a our that this some every no one and but then so with without after before during about for against on in from over under while because if when we they she he it who which
-noise letter hearing report budget trees corner school library bench market traffic water garden lights board chair motion office clerk window street bus delay repair permit question
-said asked wrote called told brought showed gave took left heard wants needs opened closed signed parked waited lost found again later today very still only more never often""".split()
-JOIN = {"name": ["", "by ", "from ", "with ", "for ", "and ", "to ", "Mr. and "], "addr": ["at ", "near ", "of ", "from ", "outside ", "to "], "phone": ["at ", "on ", "call ", "tel. ", "phone ", "from "], "email": ["at ", "to ", "via ", "mail ", "from "],
-    "id": ["", "with ", "has ", "showed "], "case": ["case ", "file ", "no. ", "docket "], "org": ["for ", "of ", "from "], "place": ["at the ", "near the "], "biz": ["at ", "outside "], "cross": ["at ", "near "]}
+box letter hour cake budget trees corner train school book bench ticket weather water garden lights soup chair report office clerk window street bus delay repair garage question answer table
+said asked wrote called told brought showed gave took left heard wants needs opened closed signed waited lost found again later today very still only more never often maybe
+que con para por una casa calle pero cuando muy también dijo w na z do nie jest był sprawie ulicy proszę""".split()
+JOIN = {"name": ["", "", "by ", "from ", "with ", "for ", "and ", "to ", "of ", "con ", "dla "], "addr": ["at ", "near ", "of ", "from ", "outside ", "to ", "en ", "", "przy "], "phone": ["at ", "on ", "call ", "tel. ", "phone ", "from ", "", "cell ", "ph: "], "email": ["at ", "to ", "via ", "mail ", "from ", "", "e-mail: "],
+    "id": ["", "with ", "has ", "showed "], "case": ["case ", "file ", "no. ", "docket ", "order ", "permit ", "report ", "complaint "], "org": ["for ", "of ", "from ", "the "], "site": ["at the ", "near the ", "at ", "by "], "biz": ["at ", "outside ", ""], "cross": ["at ", "near ", "by "], "street": ["on ", "along ", ""],
+    "date": ["on ", "until ", ""], "time": ["at ", "by "], "money": ["for ", ""], "pct": ["", "about "], "year": ["in ", "since ", ""], "score": ["", "by "], "n": ["", "page ", "room "], "city": ["in ", "from "]}
+RELATION = ["mother", "wife", "son", "sister", "neighbour", "uncle", "via phone", "on Zoom", "by video", "witness", "deceased", "owner", "cyclist", "passenger"]
+_R = random.Random()
 
 
 def _loose() -> str:
@@ -131,43 +238,26 @@ def _loose() -> str:
     out = []
     for _ in range(_R.randrange(1, 4)):
         out += [_R.choice(FILL) for _ in range(_R.randrange(0, 7))]
-        kind = _R.choice([*JOIN, "name", "name", "addr", "phone", "email"])
-        out.append(_R.choice(JOIN[kind]) + "{" + kind + "}" + _R.choice(["", "", "", ",", ".", ";"]))
+        kind = _R.choice([*JOIN, "name", "name", "name", "addr", "addr", "phone", "phone", "email", "id"])
+        out.append(_R.choice(JOIN[kind]) + "{" + kind + "}" + _R.choice(["", "", "", ",", ".", ";", ":", " -", ")"]))
     out += [_R.choice(FILL) for _ in range(_R.randrange(0, 5))]
     s = " ".join(out)
-    return (s[0].upper() + s[1:] if s[0] != "{" else s) + "."
-VICTIMS = """{name}
-{name}
-{name}
-{name}, age {n}
-{name}, {n}
-{name} and an unnamed friend
-{name} (cyclist)
-{name} (family: {phone})
-{name}, of {addr}
-{name} / {id}
-{name} - {phone}
-child, age {n}
-unidentified pedestrian
-woman, {n}
-a delivery worker
-male cyclist, {n}
-{n}-year-old cyclist
-a {n}-year-old man
-woman in a wheelchair
-unknown
-not released
-family of four
-pedestrian ({n})
-two passengers""".split("\n")
-_R = random.Random()
+    return (s[0].upper() + s[1:] if s[0] != "{" and _R.random() < 0.7 else s) + _R.choice([".", ".", "", "!", "?"])
+
+
+def _clause() -> str:
+    s = f"{_R.choice(SUBJECT)} {_R.choice(VERB)} {{topic}}{_R.choice(TAIL)}"
+    if _R.random() < 0.1:
+        s = _R.choice(["Note: ", "Re: ", "Comment: ", "Today ", "Then ", "Later ", "Read aloud: ", "Email: ", "Transcript: ", "Form: "]) + s
+    return s[0].upper() + s[1:]
 
 
 def _word(parts: int | None = None) -> str:
-    on = "B D F G H J K L M N P R S T V W Z Br Cr Dr Fr Gr Kr Pr Tr Vr St Sk Sp Pl Cl Gl Sl C Ch".split()
-    mid = "b d f g k l m n p r s t v z br dr gr kr pr tr vr st sk lb lk lm lt ld nd nt ng rk rm rn rt rv ch sh th zh ph".split()
-    end = "n r l s x dt ck sh th m d man ley berg feld dal nez lin ton dex mar way ski vos rett der gh ny max ver mes ric wood son ska wicz".split()
-    w = _R.choice(on) + _R.choice("aeiou")
+    on = "B D F G H J K L M N P R S T V W Z Br Cr Dr Fr Gr Kr Pr Tr Vr St Sk Sp Pl Cl Gl Sl C Ch Sh Th Y A E I O U".split()
+    mid = "b d f g k l m n p r s t v z br dr gr kr pr tr vr st sk lb lk lm lt ld nd nt ng rk rm rn rt rv ch sh th zh ph w ss ll nn".split()
+    end = "n r l s x dt ck sh th m d man ley berg feld dal nez lin ton dex mar way ski vos rett der gh ny max ver mes ric wood son ska wicz ez es ov ova sen ini ano ard sworth field ham by".split()
+    w = _R.choice(on)
+    w += "" if w[-1] in "AEIOU" else _R.choice("aeiou")
     for _ in range(parts if parts is not None else _R.choice((0, 1, 1, 2, 2, 3))):
         w += _R.choice(mid) + _R.choice("aeiou")
     return w + _R.choice(end)
@@ -186,13 +276,19 @@ def _case(s: str) -> str:
 
 
 def _first() -> str:
-    return _R.choice(FIRST) if _R.random() < 0.75 else _word(_R.choice((0, 1)))
+    return _R.choice(FIRST) if _R.random() < 0.7 else _word(_R.choice((0, 1)))
+
+
+def _last() -> str:
+    w = _R.choice(LAST) if _R.random() < 0.3 else _word()
+    r = _R.random()
+    return _R.choice(PARTICLES) + w if r < 0.06 else f"{w}-{_word(0)}" if r < 0.1 else f"{w} {_R.choice(LAST)}" if r < 0.12 else w
 
 
 def _name() -> list[tuple[str, str]]:
-    f, last = _typo(_first()), _typo(_word())
+    f, last = _typo(_first()), _typo(_last())
     r = _R.random()
-    mid = f" {chr(65 + _R.randrange(26))}." if _R.random() < 0.15 else ""
+    mid = f" {chr(65 + _R.randrange(26))}." if _R.random() < 0.15 else f" {chr(65 + _R.randrange(26))}" if _R.random() < 0.03 else f" {_first()}" if _R.random() < 0.05 else ""
     if r < 0.12:
         core, bare = last, True
     elif r < 0.24:
@@ -205,10 +301,10 @@ def _name() -> list[tuple[str, str]]:
         core, bare = f"{f}{mid} {last}", False
     core = _case(core)
     title = ""
-    if _R.random() < (0.9 if bare else 0.15):
+    if _R.random() < (0.75 if bare else 0.15):
         title = _R.choice(TITLES) + " "
         title = title.upper() if core.isupper() else title.lower() if core.islower() else title
-    after = _R.choice(["", *[""] * 24, ", Esq.", ", PhD", " Jr.", " (via Zoom)"])
+    after = _R.choice(["", *[""] * 24, ", Esq.", ", PhD", " Jr.", " (via Zoom)", ", MD", " III"])
     return [(title, ""), (core, "name"), (after, "")]
 
 
@@ -221,7 +317,7 @@ def _street() -> str:
     if _R.random() < 0.25:
         name = _R.choice([ORDINALS[n - 1], f"{n}{'st' if n == 1 else 'nd' if n == 2 else 'rd' if n == 3 else 'th'}", f"{n} th", str(n)])
     else:
-        name = _typo(_word())
+        name = _typo(_word()) if _R.random() < 0.7 else _R.choice(STREET_NAMES)
     kind = _R.choice(KIND_WORDS[_R.choice(list(KIND_WORDS))])
     r = _R.random()
     if r < 0.3:
@@ -234,7 +330,7 @@ def _street() -> str:
 
 
 def _addr() -> str:
-    n = _R.choice([f"{_R.randrange(1, 1000)}", f"{_R.randrange(1, 1000)}", f"{_R.randrange(1, 1000)}{_R.choice('ABC')}", f"{_R.randrange(1, 999)}-{_R.randrange(1, 99):02d}"])
+    n = _R.choice([f"{_R.randrange(1, 1000)}", f"{_R.randrange(1, 1000)}", f"{_R.randrange(1, 1000)}{_R.choice('ABC')}", f"{_R.randrange(1, 999)}-{_R.randrange(1, 99):02d}", f"{_R.randrange(1000, 20000)}"])
     unit = _R.choice(["", "", "", f" Apt. {_R.randrange(1, 20)}{_R.choice(['', 'A', 'B', 'C'])}", f", Apt {_R.randrange(1, 20)}", f" #{_R.randrange(1, 20)}", f", Unit {_R.randrange(1, 20)}", f", Suite {_R.randrange(1, 20)}", f" Fl. {_R.randrange(2, 9)}"])
     return _case(f"{n} {_street()}{unit}")
 
@@ -247,7 +343,8 @@ def _phone() -> str:
     a, b, c = _R.choice(["212", "718", "917", "646", "347", "929", "202", "312"]), _R.choice(["555", "555", f"{_R.randrange(200, 999)}"]), f"{_R.randrange(10000):04d}"
     digit = lambda s: " ".join({"0": "oh"}.get(x, "zero one two three four five six seven eight nine".split()[int(x)]) for x in s)
     return _R.choice([f"{a}-{b}-{c}", f"({a}) {b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"{a}{b}{c}", f"{a}/{b}-{c}", f"+1 {a} {b} {c}", f"+1({a}){b}{c}", f"1-{a}-{b}-{c}", f"{b}-{c}", f"{a} - {b} - {c}", f"({a}){b}.{c}",
-        f"+44 20 7946 {c}", f"{digit(b)}, {digit(c)}", f"{digit(b)} {digit(c)}", f"+48 {_R.randrange(500, 900)} {b} {c[:3]}"])
+        f"+44 20 7946 {c}", f"{digit(b)}, {digit(c)}", f"{digit(b)} {digit(c)}", f"+48 {_R.randrange(500, 900)} {b} {c[:3]}",
+        f"020 7946 {c}", f"0{_R.randrange(1000, 2000)} {_R.randrange(100000, 999999)}", f"+34 {_R.randrange(600, 700)} {b} {c[:3]}", f"+91 {_R.randrange(70000, 99999)} {_R.randrange(10000, 99999)}", f"({a}) {b} {c}", f"1 ({a}) {b}-{c}", f"+1-{a}-{b}-{c}", f"{a}-{b} {c}", f"{digit(a)} {digit(b)} {digit(c)}", f"{digit(a)}, {digit(b)}, {digit(c)}", f"{a} {b}-{c}", f"{a}.{b}{c}"])
 
 
 def _email() -> str:
@@ -277,69 +374,99 @@ def _id() -> list[tuple[str, str]]:
     ssn = _R.choice([f"{d(3)}-{d(2)}-{d(4)}", f"{d(3)} {d(2)} {d(4)}", d(9)])
     label, num = _R.choice([
         (_R.choice(["SSN", "SS no.", "Social Sec. #", "social", "social security number", "soc. sec. no."]), ssn),
-        (_R.choice(["SSN", "SS no.", "Social Sec. #", "social", "social security number"]), ssn),
+        (_R.choice(["SSN", "ssn", "Social Security", "Social Security No.", "soc sec", "SS#", "social security #"]), ssn),
         (_R.choice(["DL#", "driver license", "driver's license no.", "license no."]), f"{_R.choice('KVDMSB')}{d(2)}-{d(3)}-{d(3)}"),
-        (_R.choice(["passport", "passport no.", "Passport #"]), f"{_R.choice('QXZCA')}{d(7)}"),
+        (_R.choice(["passport", "passport no.", "Passport #", "passport number", "pasaporte", "paszport"]), f"{_R.choice('QXZCA')}{d(7)}"),
         (_R.choice(["city ID card", "city ID", "ID card no."]), f"{d(4)} {d(4)} {d(4)}"),
         (_R.choice(["national ID", "national ID no.", "nat. ID"]), f"{_R.choice(['QK', 'PX', 'RB', 'ZT'])}-{d(8)}"),
         (_R.choice(["PESEL", "DNI", "NIE"]), _R.choice([d(11), f"{d(8)}{_R.choice('ABCDEFZ')}", f"X{d(7)}{_R.choice('ABCDEFZ')}"]))])
-    return [(label + " ", ""), (num, "id_number")]
+    return [(_case(label) + _R.choice([" ", " ", " ", ": ", " is ", " - ", " number ", "=", " ("]), ""), (num, "id_number")]
 
 
 def _case_no() -> str:
     d = lambda n: "".join(_R.choice("0123456789") for _ in range(n))
-    return _R.choice([f"20{d(2)}-{d(4)}", f"{d(3)}-{d(2)}-BZ", f"LU {d(3)}-{d(4)}", f"C{d(6)}Z", f"{_R.choice('123')}{d(9)}"])
+    up = lambda n: "".join(chr(65 + _R.randrange(26)) for _ in range(n))
+    return _R.choice([f"20{d(2)}-{d(4)}", f"{d(3)}-{d(2)}-{up(2)}", f"{up(2)} {d(3)}-{d(4)}", f"{up(1)}{d(6)}{up(1)}", d(10), f"{up(3)}-{d(5)}", f"#{d(6)}", f"{d(4)}/{d(2)}", d(7), f"{up(2)}{d(4)}", f"{d(2)}-{d(5)}", f"{d(4)}-{d(2)}", f"{up(1)}-{d(3)}"])
+
+
+def _date() -> str:
+    y, m, d = _R.randrange(1990, 2030), _R.randrange(1, 13), _R.randrange(1, 29)
+    month = "January February March April May June July August September October November December".split()[m - 1]
+    return _R.choice([f"{m}/{d}/{y}", f"{m}/{d}/{y % 100:02d}", f"{y}-{m:02d}-{d:02d}", f"{d}.{m}.{y}", f"{month} {d}, {y}", f"{month} {d}", f"{d} {month} {y}", f"{month} {y}", month, f"{month[:3]}. {d}", f"{m}-{d}-{y % 100:02d}", f"{d}/{m}/{y}"])
+
+
+def _score() -> str:
+    a, b, c = _R.randrange(0, 40), _R.randrange(0, 12), _R.randrange(0, 6)
+    return _R.choice([f"{a}-{b}", f"{a} to {b}", f"{a}-{b}-{c}", f"{a}-{b}-{c}-{b}", f"{a}:{b}"])
 
 
 def _org() -> str:
-    p, k = _typo(_word()), _R.choice(ORG_KINDS)
-    if _R.random() < 0.15:
-        first, _, rest = k.partition(" ")
-        k = (first if first.endswith("s") else first + "s") + "' " + rest
-    short = "".join(x[0] for x in k.split())
-    return _case(_R.choice([f"{p} {k}", f"{p} {k}", f"{p} {k}", f"The {p} {k}", f"{k} of {p}", f"{k}, {p}", f"{p} {short}", f"{p} {k}, Inc.", f"{p} {k} ({short})", f"{p} {k[: len(k) - 4]}."]))
+    p, f, k = _R.choice([_typo(_word()), _typo(_word()), _R.choice(CITY), _R.choice(STREET_NAMES), _R.choice(LAST)]), _R.choice(FIELD), _R.choice(BODY)
+    short = f"{f[0]}{k[0]}"
+    return _case(_R.choice([f"{p} {f} {k}", f"{p} {f} {k}", f"{p} {k}", f"The {p} {f} {k}", f"{f} {k} of {p}", f"{k} for {f}", f"{f} {k}, {p}", f"{p} {f} {k}, Inc.", f"{p} {short}", f"{p} {f} {k} ({short})", f"{p} {f} {k[:4]}.", f"{f} {k}", f"Friends of {p}", f"{p} {f} & {_R.choice(FIELD)} {k}"]))
+
 
+def _biz() -> str:
+    a, n, f = _R.choice(ADJ), _R.choice(NOUN), _R.choice(FIRM)
+    return _case(_R.choice([f"{a} {n} {f}", f"The {a} {n}", f"{n} {f}", f"{_R.choice(LAST)} {f}", f"{_word()} {f}", f"{_R.choice(FIRST)}'s {f}", f"{a} {f}", f"{n} & {_R.choice(NOUN)} {f}", f"{_word()} {f} LLC", f"The {a} {n} {f}", f"{a} {n}", f"{_word()} {_R.choice(FIRM)}, Inc."]))
 
-def _place() -> str:
-    return _R.choice([f"{_first()} {_word()} {_R.choice(['School', 'Playground', 'Library'])}", f"{_word()} Square pool house", f"{_word()} Square pool house"])
+
+def _site() -> str:
+    s = _R.choice(SITE)
+    return _R.choice([f"{_first()} {_last()} {s}", f"{_word()} {s}", f"{_R.choice(STREET_NAMES)} {s}", f"St. {_first()} {s}", f"{_word()} Square {s.lower()}", f"PS {_R.randrange(1, 300)}", f"the {s.lower()}", f"{_R.choice(CITY)} {s}", f"{_last()} Memorial {s}"])
+
+
+#: What fills a slot that is no detail.
+OTHER = {
+    "cross": lambda: _cross(), "org": lambda: _org(), "site": lambda: _site(), "case": lambda: _case_no(), "topic": lambda: _R.choice(TOPIC), "biz": lambda: _biz(), "n": lambda: str(_R.randrange(1, 100)), "date": lambda: _date(), "year": lambda: str(_R.randrange(1900, 2030)),
+    "time": lambda: _R.choice([f"{_R.randrange(1, 13)}:{_R.randrange(60):02d}", f"{_R.randrange(1, 13)} {_R.choice(['am', 'p.m.', 'PM'])}", f"{_R.randrange(24)}:{_R.randrange(60):02d}", "noon"]), "day": lambda: _R.choice("Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()),
+    "money": lambda: _R.choice([f"${_R.randrange(1, 999)}", f"${_R.randrange(1, 99)},{_R.randrange(1000):03d}", f"{_R.randrange(1, 999)} euros", f"{_R.randrange(10, 9999)} zł", f"${_R.randrange(1, 99)}.{_R.randrange(100):02d}"]), "pct": lambda: f"{_R.randrange(1, 100)}{_R.choice(['%', ' percent', ' per cent'])}",
+    "score": lambda: _score(), "street": lambda: _street(), "city": lambda: _R.choice(CITY), "rel": lambda: _R.choice(RELATION),
+}
 
 
 def sentence(frame: str) -> list[tuple[str, str]]:
     out: list[tuple[str, str]] = []
     for part in re.split(r"(\{\w+\})", frame):
-        if not part.startswith("{"):
+        slot = part[1:-1] if part.startswith("{") else ""
+        if not slot:
             out.append((part, ""))
-        elif part == "{name}":
+        elif slot == "name":
             out += _name()
-        elif part == "{poss}":
-            out += [_name()[1], ("'s", "")]
-        elif part == "{id}":
+        elif slot == "poss":
+            out += [_name()[1], (_R.choice(["'s", "'s", "’s"]), "")]
+        elif slot in ("first0", "last0"):
+            out.append((_first() if slot == "first0" else _last(), "name"))
+        elif slot == "first1":
+            out.append((_first().lower() + str(_R.randrange(10, 99)), ""))
+        elif slot == "id":
             out += _id()
-        elif part == "{phone}":
+        elif slot == "phone":
             out.append((_phone(), "phone"))
-        elif part == "{email}":
+        elif slot == "email":
             out.append((_email(), "email"))
-        elif part == "{addr}":
+        elif slot == "addr":
             out.append((_addr().rstrip("."), "address"))
             if _R.random() < 0.3:
                 out.append((".", ""))
         else:
-            biz = f"{_R.choice(['', '', 'The '])}{_R.choice(ADJ)} {_R.choice(NOUN)} {_R.choice(SHOP)}"
-            out.append(({"{cross}": _cross, "{org}": _org, "{place}": _place, "{case}": _case_no, "{topic}": lambda: _R.choice(TOPICS), "{biz}": lambda: biz, "{n}": lambda: str(_R.randrange(1, 60))}[part](), ""))
+            out.append((OTHER[slot](), ""))
     return out
 
 
-def sample() -> tuple[str, list[int]]:
-    """A text and the tag of each character."""
-    r = _R.random()
-    if r < 0.14:
-        parts = sentence(_R.choice(VICTIMS))
+KEPT_OUT = FRAMES[3::7]
+TRAINING = [f for f in FRAMES if f not in set(KEPT_OUT)]
+
+
+def sample(frames: list[str] | None = None) -> tuple[str, list[int]]:
+    """A text and the tag of each character. frames: only these, one or two of them."""
+    if frames:
+        parts = sentence(_R.choice(frames))
     else:
-        parts = sentence(_loose() if _R.random() < 0.12 else _R.choice(FRAMES))
-        if _R.random() < 0.35:
-            parts += [(" ", ""), *sentence(_R.choice(TAILS))]
-        if _R.random() < 0.3:
-            parts += [(" ", ""), *sentence(_R.choice(FRAMES))]
+        pick = lambda: _R.choices([_R.choice(TRAINING), _clause(), _loose()], (0.4, 0.4, 0.2))[0]
+        parts = sentence(pick())
+        while len(parts) < 60 and _R.random() < 0.4:
+            parts += [(_R.choice([" ", " ", " ", "\n"]), ""), *sentence(pick())]
     text, tags = "", []
     for s, kind in parts:
         b = 2 * KINDS.index(kind) + 1 if kind else 0
@@ -348,47 +475,67 @@ def sample() -> tuple[str, list[int]]:
     return text, tags
 
 
-def train(out: str, seconds: float, start: str | None = None, hidden: int = 60, emb: int = 24, seed: int = 7) -> None:
-    """start: weights to go on from, with smaller steps."""
+def held_out(n: int, seed: int = 991) -> list[tuple[str, set[tuple[str, str]]]]:
+    """(text, details) of frames that training never sees."""
     _R.seed(seed)
-    rng = np.random.default_rng(seed)
-    if start:
-        with np.load(start) as z:
-            p = {k: z[k].astype(np.float32) for k in z.files}
-        _R.seed(seed + 1)
-    else:
-        p = init(hidden, emb, rng)
+    out = []
+    for _ in range(n):
+        text, tags = sample(KEPT_OUT)
+        found, start = set(), None
+        for i, t in enumerate([*tags, 0]):
+            if start is not None and (t % 2 == 1 or t == 0):
+                found.add((KINDS[(tags[start] - 1) // 2], text[start:i].rstrip(". ")))
+                start = None
+            if t % 2 == 1:
+                start = i
+        out.append((text, found))
+    return out
+
+
+def _batch(args) -> tuple[float, dict]:
+    p, seed, size = args
+    _R.seed(seed)
+    rows = sorted((sample() for _ in range(3 * size)), key=lambda x: len(x[0]))
+    at = _R.randrange(3) * size
+    rows = rows[at : at + size]
+    n = np.array([len(x[0]) for x in rows])
+    codes = np.zeros((len(rows), n.max()), np.int64)
+    tags = np.zeros_like(codes)
+    for k, (text, y) in enumerate(rows):
+        codes[k, : len(text)] = encode(text)
+        tags[k, : len(text)] = y
+    return fit_batch(p, codes, tags, n, 0.15, np.random.default_rng(seed))
+
+
+def train(out: str, seconds: float, workers: int = 8, hidden: int = 60, emb: int = 24, seed: int = 7, size: int = 40) -> None:
+    """Adam on the mean gradient of `workers` batches, with a running mean of the weights."""
+    from multiprocessing import get_context
+
+    p = init(hidden, emb, np.random.default_rng(seed))
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     mean = {k: x.copy() for k, x in p.items()}
     began, step, loss = time.time(), 0, 0.0
-    while (done := (time.time() - began) / seconds) < 1:
-        rows = sorted((sample() for _ in range(64 * 16)), key=lambda x: len(x[0]))
-        batches = [rows[k : k + 64] for k in range(0, len(rows), 64)]
-        _R.shuffle(batches)
-        for rows in batches:
-            n = np.array([len(x[0]) for x in rows])
-            codes = np.zeros((len(rows), n.max()), np.int64)
-            tags = np.zeros_like(codes)
-            for k, (text, y) in enumerate(rows):
-                codes[k, : len(text)] = encode(text)
-                tags[k, : len(text)] = y
-            nll, g = fit_batch(p, codes, tags, n, 0.2, rng)
+    with get_context("fork").Pool(workers) as pool:
+        while (done := (time.time() - began) / seconds) < 1:
+            got = pool.map(_batch, [(p, seed + 1_000_003 * step + w, size) for w in range(workers)], 1)
+            nll = sum(x for x, _ in got) / workers
+            g = {k: sum(x[k] for _, x in got) / workers for k in p}
             step += 1
-            loss = nll if step == 1 else 0.99 * loss + 0.01 * nll
+            loss = nll if step == 1 else 0.98 * loss + 0.02 * nll
             norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-            rate = (1.5e-3 if start else 4e-3) * min(1, step / 100) * (1 - done) ** 0.7 + 5e-5
+            rate = 6e-3 * min(1, step / 60) * (1 - done) ** 0.8 + 3e-5
             for k in p:
                 d = g[k] * min(1, 1.0 / (norm + 1e-9))
                 m[k] = 0.9 * m[k] + 0.1 * d
-                v[k] = 0.995 * v[k] + 0.005 * d * d
-                p[k] = (p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.995**step)) + 1e-8)).astype(np.float32)
-                mean[k] = 0.998 * mean[k] + 0.002 * p[k]
-        if step % 160 == 0:
-            print(step, f"{time.time() - began:.0f}s", f"loss {loss:.5f}", flush=True)
-            np.savez(out, **{k: x.astype(np.float32) for k, x in mean.items()})
-    np.savez(out, **{k: x.astype(np.float32) for k, x in mean.items()})
+                v[k] = 0.99 * v[k] + 0.01 * d * d
+                p[k] = (p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+                mean[k] = (0.99 * mean[k] + 0.01 * p[k]).astype(np.float32)
+            if step % 100 == 0:
+                print(step, f"{time.time() - began:.0f}s", f"loss {loss:.5f}", flush=True)
+                np.savez(out, **mean)
+    np.savez(out, **mean)
 
 
 if __name__ == "__main__":
     assert N_TAGS == 11
-    train(sys.argv[1], float(sys.argv[2]) if len(sys.argv) > 2 else 900.0, sys.argv[3] if len(sys.argv) > 3 else None)
+    train(sys.argv[1], float(sys.argv[2]) if len(sys.argv) > 2 else 900.0, int(sys.argv[3]) if len(sys.argv) > 3 else 8)
