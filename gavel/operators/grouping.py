@@ -26,7 +26,7 @@ def keep_revised(files: DataFrame, group: str) -> DataFrame:
     return files.withColumn("note", note).withColumn("kept", best == 1)
 
 
-def group_files(files: DataFrame, prefix: str = "cb1") -> DataFrame:
+def group_files(files: DataFrame, prefix: str) -> DataFrame:
     """(group_id, day, files, is_revised, warnings) of the dated files of `parse_files`; days and bare months never merge."""
     f = files.filter("day IS NOT NULL OR y IS NOT NULL").withColumn("group_id", F.coalesce(F.concat(F.lit(prefix + "-"), F.col("day").cast("string")), F.format_string(prefix + "-%d-%02d", "y", "m")))
     k = keep_revised(f, "group_id")

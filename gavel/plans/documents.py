@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import filenames as N
@@ -81,41 +82,43 @@ def first_pages(spark: SparkSession, d: str) -> DataFrame:
     return t.select("doc_id", N.first_page_date(F.col("text")).alias("day"), N.first_page_type(F.col("text")).alias("type"))
 
 
-#: (name, day, y, m, part, revised, type)
-_FILES = [
-    ("jan2016.pdf", None, 2016, 1, None, False, "unknown"), ("minutes-202111.pdf", None, 2021, 11, None, False, "unknown"), ("minutes-20221109.pdf", "2022-11-09", None, None, None, False, "unknown"),
-    ("Combined-Hearing-Minutes-10-13-16.pdf", "2016-10-13", None, None, None, False, "combined"), ("special minutes 9_18_17.pdf", "2017-09-18", None, None, None, False, "special"),
-    ("board_minutes_292021_signed.pdf", "2021-02-09", None, None, None, False, "unknown"), ("Minutes-December-19-2023-full.pdf", "2023-12-19", None, None, None, False, "unknown"), ("Minutes-05-13-25-Part-1.pdf", "2025-05-13", None, None, 1, False, "unknown"),
-    ("Minutes-05-13-25-Part-2.pdf", "2025-05-13", None, None, 2, False, "unknown"), ("Minutes-05-13-25-Part-2-revised.pdf", "2025-05-13", None, None, 2, True, "unknown"), ("Pages-12-10-24-2.pdf", "2024-12-10", None, None, 2, False, "unknown"),
-    ("Public-Hearing-06-13-2023.pdf", "2023-06-13", None, None, None, False, "public_hearing"), ("Pages-from-Minutes-4.pdf", None, None, None, 4, False, "unknown"), ("minutes-6-7-22-rev.pdf", "2022-06-07", None, None, None, True, "unknown"),
-]
+#: File names made from the meetings' days, one form for each remainder of the day by six. {y4} and so on are filled by dialect.
+_FORMS = ["'record-' || {ymd}", "'record-' || {m} || '-' || {d} || '-' || {y2} || '-Part-2'", "'Special record ' || {month} || ' ' || {d} || ' ' || {y4}", "'record_' || {mon} || '_' || {y4} || '_revised'", "'committee-record-' || {ym} || '-3'", "'notes-' || ({m} % 9 + 1)"]
+_NAME = "CASE day(date) % 6 " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(_FORMS)) + " END || '.pdf'"
+_SPARK = {"ymd": "date_format(date, 'yyyyMMdd')", "ym": "date_format(date, 'yyyyMM')", "y4": "year(date)", "y2": "date_format(date, 'yy')", "m": "month(date)", "d": "day(date)", "month": "date_format(date, 'MMMM')", "mon": "lower(date_format(date, 'MMM'))"}
+_DUCK = {"ymd": "strftime(date, '%Y%m%d')", "ym": "strftime(date, '%Y%m')", "y4": "year(date)", "y2": "strftime(date, '%y')", "m": "month(date)", "d": "day(date)", "month": "monthname(date)", "mon": "lower(left(monthname(date), 3))"}
+#: What each form says, straight from the date.
+_SAID = f"""f AS (SELECT meeting_id, {_NAME.format(**_DUCK)} AS filename, day(date) % 6 AS k, CASE WHEN day(date) % 6 < 3 THEN date END AS day, CAST(CASE WHEN day(date) % 6 IN (3, 4) THEN year(date) END AS INT) AS y, CAST(CASE WHEN day(date) % 6 IN (3, 4) THEN month(date) END AS INT) AS m,
+  CAST(CASE day(date) % 6 WHEN 1 THEN 2 WHEN 4 THEN 3 WHEN 5 THEN month(date) % 9 + 1 END AS INT) AS part_no, day(date) % 6 = 3 AS is_revised, CASE day(date) % 6 WHEN 2 THEN 'special' WHEN 4 THEN 'committee' ELSE 'unknown' END AS doc_type,
+  CAST(row_number() OVER (ORDER BY meeting_id) AS INT) AS ord FROM meetings WHERE date IS NOT NULL),
+g AS (SELECT *, CASE WHEN k < 3 THEN 'm-' || strftime(day, '%Y-%m-%d') WHEN k < 5 THEN 'm-' || y || '-' || lpad(CAST(m AS VARCHAR), 2, '0') END AS group_id FROM f)"""
 
 
-def _lit(x) -> str:
-    return "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+def _files(spark, d):
+    f = table(spark, d, "meetings").filter("date IS NOT NULL").select("meeting_id", F.expr(_NAME.format(**_SPARK)).alias("filename"))
+    # an ordinal by counting the smaller ids of a table of one row a meeting
+    f = f.withColumn("ord", F.row_number().over(W.orderBy("meeting_id")))
+    return G.parse_files(f.select("ord", F.concat(F.lit("https://files.example/docs/"), "filename").alias("href")))
 
 
-@query("SELECT filename, CAST(day AS DATE) AS day, CAST(y AS INT) AS y, CAST(m AS INT) AS m, CAST(part_no AS INT) AS part_no, is_revised, doc_type FROM (VALUES " + ", ".join("(" + ", ".join(map(_lit, r)) + ")" for r in _FILES) + ") v(filename, day, y, m, part_no, is_revised, doc_type)")
+@query(f"WITH {_SAID} SELECT ord, filename, day, y, m, part_no, is_revised, doc_type FROM f")
 def parse_filenames(spark: SparkSession, d: str) -> DataFrame:
-    return _files(spark).select("filename", "day", "y", "m", "part_no", "is_revised", "doc_type")
+    """Names made from every meeting's day, read again."""
+    return _files(spark, d).select("ord", "filename", "day", "y", "m", "part_no", "is_revised", "doc_type")
 
 
-def _files(spark):
-    return G.parse_files(spark.createDataFrame([(i, "docs/" + r[0]) for i, r in enumerate(_FILES)], "ord int, href string"))
-
-
-@query("""SELECT group_id, CAST(day AS DATE) AS day, files, is_revised FROM (VALUES ('cb1-2016-01', NULL, ['jan2016.pdf'], false), ('cb1-2021-11', NULL, ['minutes-202111.pdf'], false), ('cb1-2022-11-09', '2022-11-09', ['minutes-20221109.pdf'], false),
-  ('cb1-2016-10-13', '2016-10-13', ['Combined-Hearing-Minutes-10-13-16.pdf'], false), ('cb1-2017-09-18', '2017-09-18', ['special minutes 9_18_17.pdf'], false), ('cb1-2021-02-09', '2021-02-09', ['board_minutes_292021_signed.pdf'], false),
-  ('cb1-2023-12-19', '2023-12-19', ['Minutes-December-19-2023-full.pdf'], false), ('cb1-2025-05-13', '2025-05-13', ['Minutes-05-13-25-Part-1.pdf', 'Minutes-05-13-25-Part-2-revised.pdf'], true), ('cb1-2024-12-10', '2024-12-10', ['Pages-12-10-24-2.pdf'], false),
-  ('cb1-2023-06-13', '2023-06-13', ['Public-Hearing-06-13-2023.pdf'], false), ('cb1-2022-06-07', '2022-06-07', ['minutes-6-7-22-rev.pdf'], true)) v(group_id, day, files, is_revised)""")
+@query(f"WITH {_SAID}, o AS (SELECT DISTINCT group_id, day, filename, part_no, is_revised FROM g WHERE group_id IS NOT NULL) SELECT group_id, min(day) AS day, string_agg(filename, '; ' ORDER BY part_no IS NULL, part_no) AS files, bool_or(is_revised) AS is_revised FROM o GROUP BY 1")
 def group_parts(spark: SparkSession, d: str) -> DataFrame:
-    return G.group_files(_files(spark)).select("group_id", "day", "files", "is_revised")
+    return G.group_files(_files(spark, d), "m").select("group_id", "day", F.array_join("files", "; ").alias("files"), "is_revised")
 
 
-@query("SELECT f AS filename, g AS group_id FROM (VALUES ('Pages-from-Minutes.pdf', 'a')) v(f, g)")
+@query(f"WITH {_SAID}, s AS (SELECT DISTINCT 'committee-record-' || y AS stem FROM f WHERE k = 4) SELECT s.stem || '.pdf' AS filename, arg_min(g.group_id, g.ord) AS group_id FROM s JOIN g ON g.k = 4 AND starts_with(g.filename, s.stem) GROUP BY 1")
 def inherit_stem(spark: SparkSession, d: str) -> DataFrame:
-    f = spark.createDataFrame([(2, "b", "Pages-from-Minutes-7", 7), (1, "a", "Pages-from-Minutes-4", 4), (0, "c", "Other-1", 1)], "ord int, group_id string, stem string, part_no int")
-    return G.inherit(spark.createDataFrame([("Pages-from-Minutes.pdf", "Pages-from-Minutes")], "filename string, stem string"), f)
+    """Fragments that only name a year go to the first numbered file of that year."""
+    f = _files(spark, d).withColumn("group_id", F.coalesce(F.concat(F.lit("m-"), F.col("day").cast("string")), F.format_string("m-%d-%02d", "y", "m")))
+    numbered = f.filter("doc_type = 'committee'")
+    stems = numbered.select(F.concat(F.lit("committee-record-"), F.col("y").cast("string")).alias("stem")).distinct()
+    return G.inherit(stems.select(F.concat("stem", F.lit(".pdf")).alias("filename"), "stem"), numbered)
 
 
 @query("""SELECT id, CAST(day AS DATE) AS day, source, CAST(confidence AS DOUBLE) AS confidence, type, CAST(warned AS BIGINT) AS warned FROM (VALUES (1, '2020-01-02', 'content', 1.0, 'special', 0), (2, '2020-01-03', 'content', 0.9, 'combined', 1),

@@ -17,7 +17,7 @@ from ..operators import predict
 from ..sources import loader, readers, schemas
 
 
-def identify(files: DataFrame, pages: DataFrame, date_overrides: DataFrame | None = None, prefix: str = "cb1") -> DataFrame:
+def identify(files: DataFrame, pages: DataFrame, date_overrides: DataFrame | None = None, *, prefix: str) -> DataFrame:
     """Each file with its date, how it was found, type and meeting: overrides first, then later parts by name, then the first page, then the name.
 
     Undated fragments inherit the meeting of a numbered file whose name begins with theirs; what stays undated has no meeting_id.

@@ -29,9 +29,14 @@ def dates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def latest(df: DataFrame, key: str) -> DataFrame:
-    """One row an id, the one loaded last: an aggregation, so no id is sorted."""
-    rest = [c for c in df.columns if c != key]
-    return df.groupBy(key).agg(F.max_by(F.struct(*rest), "loaded_at").alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    """One row an id of a file table, the one loaded last; of equal times the one that stands last.
+
+    The ids delivered more than once are found from the id, the time and the row's place alone, and only their rows are held
+    against that list, so the columns and filters of the caller reach the scan.
+    """
+    place = F.struct(F.col("loaded_at"), F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    twice = df.select(F.col(key).alias("_key"), place.alias("_place")).groupBy("_key").agg(F.max("_place").alias("_last"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    return df.withColumn("_place", place).join(twice, F.col(key) == F.col("_key"), "left").filter("_last IS NULL OR _place = _last").select(*df.columns)
 
 
 def domain(c: str):

@@ -10,22 +10,22 @@ from gavel.plans import pipeline
 
 def test_files_to_tables(spark):
     dense = "The motion was seconded by the committee chairperson and the minutes were read. "
-    files = [(0, "d/minutes-part-1.pdf", "a"), (1, "d/minutes-20230613-part-1.pdf", "b"), (2, "d/minutes-20230613-part-2.pdf", "c"), (3, "d/zzz.pdf", "e"), (4, "d/special-2023-x.pdf", "f")]
-    pages = [("a", 1, ""), ("b", 1, "BOARD MEETING June 13, 2023. " + dense * 12), ("b", 2, "Dear sir, sincerely"), ("c", 1, dense * 12), ("f", 1, "Special meeting, September 5, 2023. " + dense * 12), ("e", 1, "nothing")]
+    files = [(0, "d/minutes-part-1.pdf", "a"), (1, "d/minutes-20190704-part-1.pdf", "b"), (2, "d/minutes-20190704-part-2.pdf", "c"), (3, "d/zzz.pdf", "e"), (4, "d/special-2019-x.pdf", "f")]
+    pages = [("a", 1, ""), ("b", 1, "BOARD MEETING July 4, 2019. " + dense * 12), ("b", 2, "Dear sir, sincerely"), ("c", 1, dense * 12), ("f", 1, "Special meeting, October 2, 2019. " + dense * 12), ("e", 1, "nothing")]
     f = spark.createDataFrame(files, "ord int, href string, sha256 string")
     p = spark.createDataFrame(pages, "sha256 string, page_no int, text string")
-    ids = pipeline.identify(f, p, spark.createDataFrame([("zzz.pdf", "2020-01-01")], "filename string, date string"))
+    ids = pipeline.identify(f, p, spark.createDataFrame([("zzz.pdf", "2020-01-01")], "filename string, date string"), prefix="m")
     got = {r.filename: (r.meeting_id, r.source) for r in ids.collect()}
-    assert got["minutes-20230613-part-1.pdf"] == ("cb1-2023-06-13", "content") and got["minutes-20230613-part-2.pdf"] == ("cb1-2023-06-13", "filename")
-    assert got["zzz.pdf"] == ("cb1-2020-01-01", "override") and got["special-2023-x.pdf"] == ("cb1-2023-09-05", "content")
+    assert got["minutes-20190704-part-1.pdf"] == ("m-2019-07-04", "content") and got["minutes-20190704-part-2.pdf"] == ("m-2019-07-04", "filename")
+    assert got["zzz.pdf"] == ("m-2020-01-01", "override") and got["special-2019-x.pdf"] == ("m-2019-10-02", "content")
     labelled = pipeline.segment(p, spark.createDataFrame([("a", 1, dense * 12)], "sha256 string, page_no int, scan_text string"))
     assert {(r.sha256, r.page_no): r.label for r in labelled.collect()}[("a", 1)] == "body"
     body = pipeline.bodies(ids, labelled)
-    assert {r.meeting_id: r.pages for r in body.collect()} == {"cb1-2023-06-13": 2, "cb1-2023-09-05": 1}
+    assert {r.meeting_id: r.pages for r in body.collect()} == {"m-2019-07-04": 2, "m-2019-10-02": 1}
 
     def make():
         def call(prompt):
-            day = "2023-06-13" if "June 13" in prompt else "2023-09-05"
+            day = "2019-07-04" if "July 4" in prompt else "2019-10-02"
             if "September" in prompt and "not valid" not in prompt:
                 return "sorry"
             return "```json\n" + json.dumps({"meeting": {"meeting_id": "x", "date": day}, "votes": [{"motion_text": "m", "yes": 3, "no": 1, "abstain": 0, "recusal": 0, "outcome": "passed"}]}) + "\n```"
@@ -33,12 +33,12 @@ def test_files_to_tables(spark):
         return call
 
     docs = pipeline.extract(body, spark.createDataFrame([], "meeting_id string"), make, lambda d: d.cache())
-    assert {r.meeting_id: r.attempt for r in docs.collect()} == {"cb1-2023-06-13": 1, "cb1-2023-09-05": 2}
+    assert {r.meeting_id: r.attempt for r in docs.collect()} == {"m-2019-07-04": 1, "m-2019-10-02": 2}
     m = pipeline.manifest(ids)
-    assert {r.meeting_id: r.files for r in m.collect()}["cb1-2023-06-13"] == ["minutes-20230613-part-1.pdf", "minutes-20230613-part-2.pdf"]
+    assert {r.meeting_id: r.files for r in m.collect()}["m-2019-07-04"] == ["minutes-20190704-part-1.pdf", "minutes-20190704-part-2.pdf"]
     one = docs.withColumn("meeting", F.col("meeting").withField("meeting_id", F.col("meeting_id")))
-    t = pipeline.load(one, m, spark.createDataFrame([("cb1-2023-06-13", "added", 9)], "meeting_id string, motion_text string, yes int"))
-    assert sorted((r.meeting_id, r.motion_text, r.yes) for r in t["votes"].collect()) == [("cb1-2023-06-13", "added", 9), ("cb1-2023-06-13", "m", 3), ("cb1-2023-09-05", "m", 3)]
+    t = pipeline.load(one, m, spark.createDataFrame([("m-2019-07-04", "added", 9)], "meeting_id string, motion_text string, yes int"))
+    assert sorted((r.meeting_id, r.motion_text, r.yes) for r in t["votes"].collect()) == [("m-2019-07-04", "added", 9), ("m-2019-07-04", "m", 3), ("m-2019-10-02", "m", 3)]
     assert t["meetings"].count() == 2
 
 
