@@ -25,8 +25,8 @@ def test_files_to_tables(spark):
 
     def make():
         def call(prompt):
-            day = "2019-07-04" if "July 4" in prompt else "2019-10-02"
-            if "September" in prompt and "not valid" not in prompt:
+            day = "2019-07-04" if "July 4, 2019" in prompt else "2019-10-02"
+            if "October" in prompt and "not valid" not in prompt:
                 return "sorry"
             return "```json\n" + json.dumps({"meeting": {"meeting_id": "x", "date": day}, "votes": [{"motion_text": "m", "yes": 3, "no": 1, "abstain": 0, "recusal": 0, "outcome": "passed"}]}) + "\n```"
 
