@@ -47,6 +47,8 @@ def tidy(kind: str, text: str, start: int, end: int) -> tuple[int, int] | None:
             s = s[m.end() :]
         s = _AFTER.sub("", s)
     s = re.sub(r"[\s,;:.\"”]+$", "", s)
+    while s.startswith("(") and s.count("(") > s.count(")"):
+        s, lead = s[1:], lead + 1
     if s.endswith(")") and s.count("(") < s.count(")"):
         s = s[:-1]
     digits = sum(c.isdigit() for c in s)

@@ -1,9 +1,9 @@
-"""Trains the tagger on labelled spans: ``python -m gavel.llm.pii_train OUT.npz [seconds [workers]]``.
+"""Trains the tagger on labelled spans: ``python -m gavel.llm.pii_train OUT.npz [seconds [workers [START.npz]]]``.
 
 The labelled sentences are composed here, from general knowledge of how people write and from no table: frames of many
 trades (deliveries, surgeries, schools, landlords, courts, clubs, travel, help desks, newspapers, chats) in English,
 Spanish and Polish, clauses put together word by word, and loose words with details strewn in, so that a detail is told
-by its own form and not by the wording around it. Details come in every form in which they are written, beside things
+by its own form and not by the wording around it; ordinary words come from a public tokenizer's vocabulary, read by path. Details come in every form in which they are written, beside things
 that only look like them: dates, times, sums, shares, scores, ages, case and order numbers, firms, schools, places,
 streets without a house number, crossings. Every seventh frame is kept out of training; `held_out` measures on those.
 """
@@ -190,11 +190,30 @@ Pan {name} prosił o fakturę {case} do {n} maja.
 Pani {last0} mieszka przy {addr}.
 Zebranie w sprawie remontu: {date}, godz. {time}.
 Zgłosił się {name}, pesel w aktach, {id}.
+{word}: {name}, {word} {addr}
+{word} {word}: {name}, {word} {phone}
+{Word} {word} {name} {word} {word}.
+{Word} {word} by {name}, {word} {word}
+{Word} {word} to {name} and {name}
+"{word} {word} {word}" ({name}, {org})
+{name} and {name} {word} {word}
+{name} {word} {word} {word}, {word} {word}.
+{name} {word} {word} {phone}
+{name} {word} {id} {word} {word}
+{name} - {word}. {Word} {word}
+{Word} {word}
+{Word} {word} {word}
+{Word} {Word}
 {email}
 {phone}
 {addr}
 {name}
 {name}
+{name}
+{name}
+{name} / {id}
+{name} - {phone}
+{name} [{phone}]
 {name}, {n}
 {name} ({rel})
 {name}, of {addr}
@@ -230,23 +249,56 @@ JOIN = {"name": ["", "", "by ", "from ", "with ", "for ", "and ", "to ", "of ",
     "id": ["", "with ", "has ", "showed "], "case": ["case ", "file ", "no. ", "docket ", "order ", "permit ", "report ", "complaint "], "org": ["for ", "of ", "from ", "the "], "site": ["at the ", "near the ", "at ", "by "], "biz": ["at ", "outside ", ""], "cross": ["at ", "near ", "by "], "street": ["on ", "along ", ""],
     "date": ["on ", "until ", ""], "time": ["at ", "by "], "money": ["for ", ""], "pct": ["", "about "], "year": ["in ", "since ", ""], "score": ["", "by "], "n": ["", "page ", "room "], "city": ["in ", "from "]}
 RELATION = ["mother", "wife", "son", "sister", "neighbour", "uncle", "via phone", "on Zoom", "by video", "witness", "deceased", "owner", "cyclist", "passenger"]
+#: Ranks of a public tokenizer of many languages: its whole words, less the names above, serve as ordinary words.
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 _R = random.Random()
 
 
+def ordinary(path: str = VOCABULARY) -> list[str]:
+    """Words of four letters and more that stand alone in a vocabulary, in lower case; the short list where there is no file."""
+    import base64
+
+    if not os.path.isfile(path):
+        return FILL
+    names = {w.lower() for w in FIRST + LAST}
+    with open(path, "rb") as f:
+        raw = [base64.b64decode(line.split()[0]) for line in f]
+    words = (r.decode("utf-8", "ignore") for r in raw if r[:1] == b" ")
+    return sorted({w[1:] for w in words if w[1:].isalpha() and w[1:].islower() and len(w) > 4 and w[1:] not in names})
+
+
+WORDS: list[str] = []
+
+
+def _plain() -> str:
+    """An ordinary word."""
+    if not WORDS:
+        WORDS.extend(ordinary())
+    return _R.choice(WORDS) if _R.random() < 0.6 else _R.choice(FILL)
+
+
 def _loose() -> str:
     """A frame of loose words with details strewn in, so that no wording is needed to tell one."""
     out = []
     for _ in range(_R.randrange(1, 4)):
-        out += [_R.choice(FILL) for _ in range(_R.randrange(0, 7))]
+        out += [_plain() for _ in range(_R.randrange(0, 7))]
         kind = _R.choice([*JOIN, "name", "name", "name", "addr", "addr", "phone", "phone", "email", "id"])
         out.append(_R.choice(JOIN[kind]) + "{" + kind + "}" + _R.choice(["", "", "", ",", ".", ";", ":", " -", ")"]))
-    out += [_R.choice(FILL) for _ in range(_R.randrange(0, 5))]
+    out += [_plain() for _ in range(_R.randrange(0, 5))]
+    if _R.random() < 0.3:  # headings and words at the start of a sentence have capitals too
+        k = _R.randrange(len(out))
+        out[k] = out[k][0].upper() + out[k][1:] if out[k][0].isalpha() and "{" not in out[k] else out[k]
     s = " ".join(out)
     return (s[0].upper() + s[1:] if s[0] != "{" and _R.random() < 0.7 else s) + _R.choice([".", ".", "", "!", "?"])
 
 
 def _clause() -> str:
-    s = f"{_R.choice(SUBJECT)} {_R.choice(VERB)} {{topic}}{_R.choice(TAIL)}"
+    subject, verb = _R.choice(SUBJECT), _R.choice(VERB)
+    if _R.random() < 0.3:
+        subject = f"{_R.choice(['the ', 'a ', 'one ', ''])}{_plain()}"
+    if _R.random() < 0.4:
+        verb = f"{_plain()}{_R.choice([' ', ' the ', ' ' + _plain() + ' ', ', '])}".rstrip()
+    s = f"{subject} {verb} {{topic}}{_R.choice(TAIL)}"
     if _R.random() < 0.1:
         s = _R.choice(["Note: ", "Re: ", "Comment: ", "Today ", "Then ", "Later ", "Read aloud: ", "Email: ", "Transcript: ", "Form: "]) + s
     return s[0].upper() + s[1:]
@@ -418,10 +470,10 @@ def _site() -> str:
 
 #: What fills a slot that is no detail.
 OTHER = {
-    "cross": lambda: _cross(), "org": lambda: _org(), "site": lambda: _site(), "case": lambda: _case_no(), "topic": lambda: _R.choice(TOPIC), "biz": lambda: _biz(), "n": lambda: str(_R.randrange(1, 100)), "date": lambda: _date(), "year": lambda: str(_R.randrange(1900, 2030)),
+    "cross": lambda: _cross(), "org": lambda: _org(), "site": lambda: _site(), "case": lambda: _case_no(), "topic": lambda: _R.choice(TOPIC) if _R.random() < 0.4 else " ".join(_plain() for _ in range(_R.randrange(1, 5))), "biz": lambda: _biz(), "n": lambda: str(_R.randrange(1, 100)), "date": lambda: _date(), "year": lambda: str(_R.randrange(1900, 2030)),
     "time": lambda: _R.choice([f"{_R.randrange(1, 13)}:{_R.randrange(60):02d}", f"{_R.randrange(1, 13)} {_R.choice(['am', 'p.m.', 'PM'])}", f"{_R.randrange(24)}:{_R.randrange(60):02d}", "noon"]), "day": lambda: _R.choice("Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()),
     "money": lambda: _R.choice([f"${_R.randrange(1, 999)}", f"${_R.randrange(1, 99)},{_R.randrange(1000):03d}", f"{_R.randrange(1, 999)} euros", f"{_R.randrange(10, 9999)} zł", f"${_R.randrange(1, 99)}.{_R.randrange(100):02d}"]), "pct": lambda: f"{_R.randrange(1, 100)}{_R.choice(['%', ' percent', ' per cent'])}",
-    "score": lambda: _score(), "street": lambda: _street(), "city": lambda: _R.choice(CITY), "rel": lambda: _R.choice(RELATION),
+    "word": lambda: _plain(), "Word": lambda: _plain().capitalize(), "score": lambda: _score(), "street": lambda: _street(), "city": lambda: _R.choice(CITY), "rel": lambda: _R.choice(RELATION),
 }
 
 
@@ -507,11 +559,15 @@ def _batch(args) -> tuple[float, dict]:
     return fit_batch(p, codes, tags, n, 0.15, np.random.default_rng(seed))
 
 
-def train(out: str, seconds: float, workers: int = 8, hidden: int = 60, emb: int = 24, seed: int = 7, size: int = 40) -> None:
+def train(out: str, seconds: float, workers: int = 8, start: str | None = None, hidden: int = 60, emb: int = 24, seed: int = 7, size: int = 40) -> None:
     """Adam on the mean gradient of `workers` batches, with a running mean of the weights."""
     from multiprocessing import get_context
 
     p = init(hidden, emb, np.random.default_rng(seed))
+    if start:  # go on from weights, with smaller steps
+        with np.load(start) as z:
+            p = {k: z[k].astype(np.float32) for k in z.files}
+        seed += 1
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     mean = {k: x.copy() for k, x in p.items()}
     began, step, loss = time.time(), 0, 0.0
@@ -523,7 +579,7 @@ def train(out: str, seconds: float, workers: int = 8, hidden: int = 60, emb: int
             step += 1
             loss = nll if step == 1 else 0.98 * loss + 0.02 * nll
             norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-            rate = 6e-3 * min(1, step / 60) * (1 - done) ** 0.8 + 3e-5
+            rate = (3e-3 if start else 6e-3) * min(1, step / 60) * (1 - done) ** 0.8 + 3e-5
             for k in p:
                 d = g[k] * min(1, 1.0 / (norm + 1e-9))
                 m[k] = 0.9 * m[k] + 0.1 * d
@@ -538,4 +594,4 @@ def train(out: str, seconds: float, workers: int = 8, hidden: int = 60, emb: int
 
 if __name__ == "__main__":
     assert N_TAGS == 11
-    train(sys.argv[1], float(sys.argv[2]) if len(sys.argv) > 2 else 900.0, int(sys.argv[3]) if len(sys.argv) > 3 else 8)
+    train(sys.argv[1], float(sys.argv[2]) if len(sys.argv) > 2 else 900.0, int(sys.argv[3]) if len(sys.argv) > 3 else 8, sys.argv[4] if len(sys.argv) > 4 else None)

@@ -3,14 +3,16 @@
 Two positive-unlabelled naive Bayes models are fitted by expectation-maximization, each from trusted records (written
 below, or the caller's) and a bounded unlabelled sample of the corpus:
 
-* records: word features, classes residue / content. Its word weights score the passages (sentences and lines) of every
-  record; a record is residue when the passages that say anything speak for it, headings and navigation aside.
-* slots: every bracketed or mask-like stretch of text, with its delimiters, inner words and surroundings, classes
-  unfilled placeholder / ordinary. One unfilled placeholder makes a record residue.
+* records: word features, classes residue / content. Its word weights are the log-odds of the passages (sentences and
+  lines) of every record; the prior comes from the fit. A record's log-odds are the prior, what its passages say for
+  residue, and `COST` times what they say against it; headings and navigation say little. Above 0 it is residue.
+* slots: every stretch that its form sets apart, with its delimiters, inner words and surroundings, classes unfilled
+  placeholder / ordinary: what stands between brackets of any kind or between two like signs, runs of one letter or sign
+  as they hold places in masks, words grown together. Which of them are placeholders is learned. One makes a record residue.
 
-Scale: one scan with an Arrow-batched scorer, no shuffle. Fitting sees at most `sample_rows` records of at most
-`sample_chars` characters each, drawn by the smallest text hashes (a top-k, so no full sort); the fitted weights are
-bounded by that sample. Scoring covers all records and whole texts.
+Scale: one scan with an Arrow-batched scorer, no shuffle. Fitting is one task on an executor over `sample_rows` distinct
+texts drawn by the smallest hashes (a top-k, so no full sort), of each at most `sample_chars` characters from a place
+drawn by the hash; only the weights, bounded by that sample, reach the driver. Scoring covers all records and whole texts.
 
 Defined cases: null, empty and blank texts are no cases; a text that occurs twice is decided alike; an empty table
 gives an empty result; further columns are ignored.
@@ -19,6 +21,7 @@ gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections.abc import Iterable, Iterator
 
@@ -27,76 +30,77 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Records known to be residue: errors, access messages, script notices, filler.
+#: Records known to be residue, in wordings of many sites: errors, access messages, script notices, filler.
 TRUSTED = [
-    "HTTP 404 Page not found. The address /minutes/8243 on www.example.org does not exist.",
-    "Error 404. The page you want is not here.",
-    "Page not found. The page you requested could not be found. Check the address and try again.",
-    "403 Forbidden. You are not allowed to view this file. Sign in or contact the administrator.",
-    "Access denied. Sign in at portal.example.org or contact the administrator.",
-    "Server error. Request id 59215c4. Try again in 5 minutes.",
-    "500 Internal Server Error. An unexpected error occurred. Please try again later.",
-    "Gateway time-out (504). Request id 2d05b96. Try again in 4 minutes.",
-    "503 Service Unavailable. This site is down for maintenance. We will be back on Monday.",
-    "Too many requests from your network. Verify that you are human to continue to example.org.",
-    "Your session has expired. Log in again to continue.",
-    "Oops! Something went wrong while loading this document. Code 220-30.",
-    "The document could not be opened because the file is damaged or empty. (355687.pdf)",
-    "Traceback: render failed in view minutes_92 KeyError: 'meeting' null null undefined",
-    "Traceback (most recent call last): TypeError: undefined is not a function null undefined NaN",
-    "Please enable JavaScript to view this page.",
-    "JavaScript is disabled. This viewer works only with JavaScript switched on.",
-    "You need to turn on scripts in your browser before example.org can show the minutes.",
-    "We're sorry but the document portal doesn't work properly without JavaScript. Please enable it to continue.",
-    "Your browser is not supported or blocks scripts. Update it to read this document.",
-    "This site needs another browser. Please upgrade your browser to read this document.",
-    "Loading... If nothing happens, allow scripts and cookies and reload.",
-    "Para ver el acta, active JavaScript en su navegador.",
-    "Este sitio necesita JavaScript. Actívelo e inténtelo de nuevo.",
-    "Su navegador no es compatible o bloquea los scripts. Actualícelo para leer este documento.",
-    "Error del servidor. Inténtelo de nuevo en 5 minutos.",
-    "No se pudo abrir el documento porque el archivo está dañado o vacío.",
-    "Su sesión ha caducado. Inicie sesión de nuevo para continuar.",
-    "Ta strona wymaga JavaScript. Włącz go i spróbuj ponownie.",
-    "Twoja przeglądarka nie jest obsługiwana lub blokuje skrypty. Zaktualizuj ją, aby przeczytać dokument.",
-    "Błąd serwera. Spróbuj ponownie za 5 minut.",
-    "Nie można otworzyć dokumentu, ponieważ plik jest uszkodzony lub pusty.",
-    "Sesja wygasła. Zaloguj się ponownie, aby kontynuować.",
-    "Your session has timed out. Please refresh this window.",
-    "502 Bad gateway. Request id 7c1. Try again in 2 minutes.",
-    "A script-capable browser is required. Turn on scripts and reload this page.",
-    "Tu wpisz tekst Tu wpisz tekst Tu wpisz tekst.",
-    "Escriba su texto aquí. Escriba su texto aquí. Texto de ejemplo.",
-    "Przykładowy tekst. Przykładowy tekst. Przykładowy tekst.",
-    "Your paragraph here. Your paragraph here. Add your own text. Insert text here.",
-    "Active los scripts de su navegador para ver esta página.",
-    "Página no encontrada. La dirección ejemplo.example no existe o fue movida. Vuelva al inicio.",
-    "Acceso denegado. Inicie sesión o contacte al administrador.",
-    "Aby wyświetlić protokół, włącz obsługę skryptów w przeglądarce.",
-    "Nie znaleziono strony. Sprawdź adres i spróbuj ponownie. Kod 476.",
-    "Brak dostępu. Zaloguj się lub skontaktuj się z administratorem.",
-    "Lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.",
-    "Lorem ipsum lorem ipsum lorem ipsum ut enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip.",
-    "Sample text Sample text Sample text Sample text.",
-    "Text goes here Text goes here Text goes here.",
-    "Body copy to come / Body copy to come / Body copy to come.",
-    "This is a placeholder paragraph. Click to edit and add your own text.",
-    "Your content here. Replace this text with your own content.",
-    "blah blah blah blah blah blah blah blah",
-    "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx",
-    "asdf jkl; asdf qwer zxcv test test asdf zxcv qwer asdf jkl; test",
+    "Error 404: the requested page was not found on this server. It may have been moved or deleted.",
+    "We can't find the page you are looking for. Check the address for mistakes or go back to the home page.",
+    "This link is broken or the page has been removed. Return to the homepage.",
+    "403: you don't have permission to view this resource. Log in or contact the site administrator.",
+    "Access to this document is restricted. Please sign in with an authorized account.",
+    "You are not authorized to open this file. Ask the administrator for access.",
+    "Internal server error. The server encountered an unexpected condition. Request id 7f3a9. Please try again later.",
+    "An unexpected error has occurred while processing your request. Code 5012. Try again in 10 minutes.",
+    "502 bad gateway. The upstream server did not answer in time. Request id 88c1. Try again in a few minutes.",
+    "Service temporarily unavailable. We are down for scheduled maintenance and will be back soon.",
+    "Gateway timeout. The server took too long to respond.",
+    "Too many requests. Slow down, or confirm that you are a human to continue.",
+    "Checking your connection before you continue to the site. Complete the captcha to verify that you are not a robot.",
+    "Your session has ended because of inactivity. Log in again to continue.",
+    "The session timed out. Sign in and reload the page.",
+    "Something went wrong and this page could not be loaded. Refresh the window or try again.",
+    "Sorry, this file can't be displayed. It is corrupt, empty or damaged. (upload_4471.docx)",
+    "Failed to open the document: the file is damaged. (77120.pdf)",
+    "Unable to render preview. KeyError: 'title' null undefined",
+    "Traceback (most recent call last): ValueError: cannot read property of undefined null NaN",
+    "Uncaught TypeError: undefined is not an object. null null undefined",
+    "This application needs JavaScript. Enable scripts in your browser settings and reload.",
+    "JavaScript seems to be turned off. Switch it on to use this viewer.",
+    "To see the content, allow scripts and cookies for this site, then refresh.",
+    "Loading, please wait. If the page stays blank, enable JavaScript.",
+    "Your browser is out of date and cannot show this page. Install a newer browser or update it.",
+    "Unsupported browser. Upgrade to a modern browser that runs scripts to read this content.",
+    "We're sorry, the portal does not work without JavaScript enabled.",
+    "Debe habilitar JavaScript en el navegador para usar este sitio. Recargue la página.",
+    "Este sitio requiere JavaScript. Actívelo y vuelva a cargar. Su navegador no es compatible.",
+    "La página que busca no existe o ha cambiado de dirección. Compruebe la dirección o vuelva al inicio.",
+    "No tiene permiso para ver este archivo. Inicie sesión o contacte con el administrador.",
+    "Ha ocurrido un error en el servidor. Inténtelo otra vez dentro de unos minutos.",
+    "El archivo está dañado o vacío y no se puede abrir el documento.",
+    "La sesión ha terminado. Inicie sesión otra vez para continuar.",
+    "Do wyświetlenia strony potrzebny jest JavaScript. Włącz obsługę skryptów w przeglądarce i spróbuj ponownie.",
+    "Przeglądarka jest nieaktualna lub blokuje skrypty. Zaktualizuj ją, aby zobaczyć dokument.",
+    "Strona nie istnieje albo została przeniesiona. Sprawdź adres. Nie znaleziono strony.",
+    "Nie masz dostępu do tego pliku. Zaloguj się albo skontaktuj z administratorem. Brak uprawnień.",
+    "Wystąpił błąd serwera. Spróbuj ponownie za kilka minut.",
+    "Pliku nie można otworzyć, jest uszkodzony lub pusty.",
+    "Twoja sesja wygasła. Zaloguj się jeszcze raz.",
+    "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.",
+    "Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip. Lorem ipsum. Lorem ipsum.",
+    "Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.",
+    "Type your text here. Type your text here. Add a description. Add your text.",
+    "This is sample text. Sample text, sample text. Placeholder copy. Replace with your own content.",
+    "Insert content here. Dummy text. Dummy text. Text to follow. Copy goes here. Your text here.",
+    "Click here to edit this paragraph and add your own words.",
+    "Texto de relleno. Escriba aquí. Texto de muestra. Ejemplo de texto.",
+    "Tekst zastępczy. Wpisz tekst. Tu wpisz treść. Tekst przykładowy.",
+    "bla bla bla bla bla bla",
+    "blah blah blah blah blah",
+    "xxxxxxxxxxxxxxxxxxxx xxxxxxxxxxxxxxxxxxxx xxxxxxxxxxxxxxxx",
+    "test test test asdf asdf qwerty qwer zxcv asdf jkl; test test",
 ]
-_FIELDS = ["name", "date", "chair", "location", "address", "case no", "board name", "Applicant Name", "RECIPIENT", "meeting_date", "first_name", "TotalVotes", "address_line1", "amount", "title", "city"]
-_FORMS = ["{{%s}}", "{{ %s }}", "${%s}", "#{%s}", "{%s}", "<%%= %s %%>", "<%s>", "<<%s>>", "«%s»", "[[%s]]", "[INSERT %s HERE]", "[%s goes here]", "[TO BE FILLED: %s]", "[enter %s]", "(type %s)", "(insert %s here)", "%%%%%s%%%%", "@@%s@@", "__%s__"]
+_FIELDS = ["name", "date", "company", "location", "address", "address_line1", "phone", "case no", "order no", "product name", "Customer Name", "RECIPIENT", "start_date", "last_name", "GrandTotal", "line2", "amount", "title", "city"]
+_FORMS = ["{{%s}}", "{{ %s }}", "${%s}", "#{%s}", "{%s}", "<%%= %s %%>", "<%s>", "<<%s>>", "«%s»", "[[%s]]", "[INSERT %s HERE]", "[%s goes here]", "[TO BE FILLED: %s]", "[enter %s]", "(type %s)", "(insert %s here)", "%%%%%s%%%%", "@@%s@@", "__%s__", "$%s$", "%%%s%%", "##%s##"]
 #: Surroundings in which a trusted placeholder stands.
-_AROUND = [("the owner of ", " showed a plan"), ("Dear ", ", your application"), ("held on ", "."), ("Present: ", ", 12"), ("inspected on June ", ". The"), ("will be heard on ", " at"), ("reply to ", " before"), ("with ", " exits"), ("", "\n")]
-TRUSTED_SLOTS = [a + form % field + b for i, field in enumerate(_FIELDS) for j, form in enumerate(_FORMS) for a, b in [_AROUND[(3 * i + j) % len(_AROUND)]]] + [
-    a + x + b for x in ("FirstName LastName", "Firstname Lastname", "123 Any Street Here", "123 Any Street", "(XXX) XXX-XXXX", "XXX-XXX-XXXX", "XX/XX/20XX", "XX/XX/XXXX", "MM/DD/YYYY", "DD/MM/YYYY", "$X,XXX", "$XX.XX") for a, b in _AROUND * 2
-]
-#: A stretch that may be a placeholder: up to the next closing delimiter of its line, whatever its length.
+_AROUND = [("the owner of ", " sent a plan"), ("Dear ", ", your order"), ("held on ", "."), ("Present: ", ", 12"), ("checked on June ", ". The"), ("will be seen on ", " at"), ("write to ", " before"), ("with ", " doors"), ("", "\n")]
+_MASKS = ["FirstName LastName", "Firstname Lastname", "CompanyName", "123 Any Street", "123 Any Street Here", "1234 Sample Road", "(XXX) XXX-XXXX", "XXX-XXX-XXXX", "XX/XX/20XX", "XX/XX/XXXX", "MM/DD/YYYY", "DD/MM/YYYY", "__/__/____", "##/##/####", "$X,XXX", "$XX.XX", "########", "______"]
+TRUSTED_SLOTS = [a + form % field + b for i, field in enumerate(_FIELDS) for j, form in enumerate(_FORMS) for a, b in [_AROUND[(3 * i + j) % len(_AROUND)]]] + [a + x + b for x in _MASKS for a, b in _AROUND * 2]
+#: A stretch that its form sets apart, of any length within a line: between brackets, between two like signs, a mask of
+#: repeated letters or signs, words grown together, a counted-off number before capitals, an abbreviation for 'to come'.
 _SLOT = re.compile(
-    r"\{\{[^{}\n]*\}\}|[$#]?\{[^{}\n]+\}|<%=?[^%\n]+%>|<<[^<>\n]+>>|«[^«»\n]+»|</?[A-Za-z_][^<>\n]*>|\[\[[^\[\]\n]+\]\]|\[[^\[\]\n]+\]"
-    r"|%%[^%\n]+%%|@@[^@\n]+@@|__[A-Za-z][^\n]*?__|\([^()\n]+\)(?: XXX-XXXX)?|\$X[X,.]*|\b(?:XX+|MM|DD|YY+)(?:[/.-](?:\d{0,2}X+|MM|DD|YY+))+|\b[Ff]irst[Nn]ame [Ll]ast[Nn]ame|\b\d+ Any [A-Z]\w+(?: Here)?|\bTB[DC]\b|\b[A-Z][a-z]+[A-Z]\w*|_{4,}"
+    r"[$#]?\{+[^{}\n]+\}+|<%=?[^%\n]+%>|<+/?[A-Za-z_][^<>\n]*>+|«[^«»\n]+»|\[+[^\[\]\n]+\]+"
+    r"|(?<![\w$%@_#*~|])([$%@_#*~|])\1?(?=[A-Za-z])[^\n]*?(?<=\w)\1{1,2}(?!\w)"
+    r"|(?<![^\W_])\(?(?:([A-Z_#?])\2+)\)?(?:[-/., ]\d{0,2}([A-Z_#?])\3+)*(?![^\W_])|\$([A-Z#_])(?:[,.]?\4)+|\([^()\n]+\)"
+    r"|\b(?:[A-Z][a-z]+[A-Z]\w*)(?: [A-Z][a-z]+[A-Z]\w*)*|\b[Ff]irst[Nn]ame [Ll]ast[Nn]ame|\b1234?5?(?: [A-Z]\w+){2,3}|\bTB[ACD]\b"
 )
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|\d+|;")
 _SPLIT = re.compile(r"\n+|(?<=[.!?])\s+(?=[^\W\d_a-z])")
@@ -168,11 +172,15 @@ def fit(positive: list[list[str]], unlabelled: list[list[str]], rounds: int = 8,
     return {f: float(w[k]) for f, k in vocab.items()}, lean
 
 
+#: How much more a passage of content weighs than one of residue: what it costs to lose content.
+COST = 3.0
+
+
 class Model:
     """Fitted weights and the record decision."""
 
-    def __init__(self, records: dict[str, float], slot: tuple[dict[str, float], float]):
-        self.records, (self.slot, self.slot_odds) = records, slot
+    def __init__(self, records: tuple[dict[str, float], float], slot: tuple[dict[str, float], float]):
+        (self.records, self.lean), (self.slot, self.slot_odds) = records, slot
 
     def placeholder(self, text: str) -> bool:
         return any(self.slot_odds + sum(self.slot.get(f, 0.0) for f in s) > 0 for s in slots(text))
@@ -182,34 +190,52 @@ class Model:
         f = words(p)
         return sum(self.records.get(x, 0.0) for x in f), sum(" " not in x for x in f)
 
+    def log_odds(self, text: str) -> float:
+        """The record's log-odds of being residue, aggregated over its passages."""
+        total = self.lean
+        for p in passages(text):
+            s, n = self.passage(p)
+            # only a sentence says something against residue; headings, navigation and captions do not
+            if s > 0:
+                total += s
+            elif n >= 5 and p[-1] in ".!?:" or n >= 9:
+                total += COST * s
+        return total
+
     def verdict(self, text: str | None) -> str | None:
         """'placeholder', 'residue' or None."""
         if not text or not text.strip():
             return None
-        if self.placeholder(text):
-            return "placeholder"
-        bad = good = 0.0
-        for p in passages(text):
-            s, n = self.passage(p)
-            sentence = n >= 5 and p[-1] in ".!?:" or n >= 9
-            if s > 1.5:
-                bad += s
-            elif sentence and s < -1.5:
-                good -= s
-        return "residue" if bad > 4.0 and bad > 3.0 * good else None
+        return "placeholder" if self.placeholder(text) else "residue" if self.log_odds(text) > 0 else None
 
 
-def train(docs: DataFrame, text_col: str = "text", trusted: Iterable[str] | None = None, trusted_slots: Iterable[str] | None = None, sample_rows: int = 6000, sample_chars: int = 20000) -> Model:
-    """Fits both models. The sample is the `sample_rows` distinct texts of up to `sample_chars` characters with the smallest hash."""
+def fit_models(texts: list[str], trusted: Iterable[str], trusted_slots: Iterable[str]) -> Model:
+    record = fit([words(x) for x in trusted], [words(x) for x in texts])
+    slot = fit([s for x in trusted_slots for s in slots(x)], [s for x in texts for s in slots(x)], trust=1.0, mu=0.02, odds=0.0)
+    return Model(record, slot)
+
+
+def sample(docs: DataFrame, text_col: str, sample_rows: int, sample_chars: int) -> DataFrame:
+    """(h, t): the `sample_rows` distinct texts with the smallest hash, of each at most `sample_chars` characters from a place drawn by the hash."""
     t = F.col(text_col)
-    some = docs.filter(t.isNotNull() & (F.length(F.trim(t)) > 0) & (F.length(t) <= sample_chars)).select(F.xxhash64(t).alias("h"), t.alias("t"))
-    # the hashes first, so that only the texts of the sample are grouped
+    some = docs.filter(F.length(F.trim(t)) > 0).select(F.xxhash64(t).alias("h"), t.alias("t"))
+    # the hashes first, so that only the texts of the sample are moved
     last = some.select("h").distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
-    rows = [] if last is None else some.filter(F.col("h") <= last).groupBy("h").agg(F.min("t").alias("t")).collect()
-    texts = [r["t"] for r in sorted(rows, key=lambda r: r["h"])]
-    record, _ = fit([words(x) for x in (trusted or TRUSTED)], [words(x) for x in texts])
-    slot = fit([s for x in (trusted_slots or TRUSTED_SLOTS) for s in slots(x)], [s for x in texts for s in slots(x)], trust=1.0, mu=0.02, odds=0.0)
-    return Model(record, slot)
+    start = F.pmod(F.col("h"), F.greatest(F.length("t") - sample_chars, F.lit(0)) + 1).cast("int") + 1
+    kept = some.filter(F.col("h") <= F.lit(last).cast("bigint")).groupBy("h").agg(F.min("t").alias("t"))
+    return kept.select("h", F.substr("t", start, F.lit(sample_chars)).alias("t"))
+
+
+def train(docs: DataFrame, text_col: str = "text", trusted: Iterable[str] | None = None, trusted_slots: Iterable[str] | None = None, sample_rows: int = 6000, sample_chars: int = 20000) -> Model:
+    """Fits both models in one task of an executor, on a bounded sample."""
+    known = (list(trusted or TRUSTED), list(trusted_slots or TRUSTED_SLOTS))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = list(batches)
+        texts = pd.concat(rows).sort_values("h")["t"].tolist() if rows else []
+        yield pd.DataFrame({"model": [pickle.dumps(fit_models(texts, *known))]})
+
+    return pickle.loads(sample(docs, text_col, sample_rows, sample_chars).coalesce(1).mapInPandas(run, "model binary").first()[0])
 
 
 def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
