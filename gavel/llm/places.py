@@ -1,15 +1,17 @@
 """Writings of postal addresses and street crossings that denote one place.
 
 Every distinct value is parsed into a house number and a street, or two streets (direction, name, kind), apart from
-unit, floor, remarks and locality. It is then expanded into all plausible normalised forms: the name as written and the
-well-attested names within a slip or two of it (found by an equality join on shared deletion variants, never by
-comparing all names), the kind as written or, where it is missing, every kind attested for that street. The component
-combinations are hashed, exploded and equi-joined on any shared hash; pairs with conflicting house numbers, directions,
-kinds or localities are rejected.
-
-Scale: work is on distinct values; parsing is one Arrow-batched pass without a shuffle. Name and kind statistics are
-aggregations over all values and stay distributed; the list of localities is collected, bounded by `max_localities`
-(more are an error, so that none is left out silently). The self-join is on the form hash; a place's distinct writings meet there and nowhere else.
+unit, floor, remarks and locality. It is then expanded into all plausible normalised forms: each name as written, the
+well-attested name that it is a slip of, or, where it is too rare to tell, every rare name within a slip or two (all found
+by equality joins on shared deletion variants, never by comparing all names); the kind as written or, where it is
+missing, every kind attested for that street. The component combinations are hashed, exploded and equi-joined on any
+shared hash; pairs with conflicting house numbers, directions, kinds or localities are rejected.
+
+Scale: work is on distinct values; parsing is one Arrow-batched pass without a shuffle. Deletion variants are drawn for
+distinct names alone, as pairs of hashes; the attested side is broadcast only after a check of its size. A value is
+exploded into its forms only, about one row each. Name and kind statistics are aggregations over all values and stay
+distributed; the list of localities is collected, bounded by `max_localities` (more are an error, so that none is left
+out silently). The self-join is on the form hash; a place's distinct writings meet there and nowhere else.
 
 Defined cases: null, blank and unparsable values (no house number and no second street) denote no place; equal values
 are one value; ties between equally near names go to the more frequent, then smaller name; unit and floor never
@@ -26,6 +28,10 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType
+
+from ..session import cut as keep
+from ..session import small_enough
 
 KINDS = {
     "street": ("street", "st", "str"), "avenue": ("avenue", "av", "ave", "aven"), "road": ("road", "rd"), "drive": ("drive", "dr", "drv"),
@@ -116,11 +122,8 @@ def _tokens(s: str) -> list[str]:
     return [_digits(w) for w in out]
 
 
-def tail(value: str) -> str | None:
-    """The word alone between commas before a region code or postal code at the end of a value."""
-    m = re.search(r",\s*([^\W\d_]{3,})\s*,\s*(?:[a-z]{2}|(?:[a-z]{2}\s+)?\d{5})\W*$", unicodedata.normalize("NFKC", value).lower())
-    w = m and m.group(1)
-    return None if not w or _kind(w) or w in _DIR or re.fullmatch(r"floor|bldg|front|entrance|storefront", w) else w
+#: The word alone between commas before a region code or postal code at the end of a value.
+_TAIL = r",\s*(\p{L}{3,})\s*,\s*(?:[a-z]{2}|(?:[a-z]{2}\s+)?\d{5})[^\p{L}\p{N}_]*$"
 
 
 @lru_cache(maxsize=4)
@@ -219,25 +222,25 @@ def parse(value: str, localities: frozenset[str] = frozenset()) -> tuple[str, st
 def variants(name: str) -> list[str]:
     """The name and its deletions: one character, two in longer names. Names within as many slips share one.
 
-    Names of more than 40 characters, which no street has, stand as they are.
+    Of names beyond 40 characters, of which two slips leave one end with at most one, the ends stand for the whole.
     """
-    out = {name}
-    if not name[0].isdigit() and 4 <= len(name) <= 40:
-        one = {name[:i] + name[i + 1 :] for i in range(len(name))}
-        out |= one
-        if len(name) >= 7:
-            out |= {v[:i] + v[i + 1 :] for v in one for i in range(len(v))}
-    return sorted(out)
+    less = lambda w: {w} | {w[:i] + w[i + 1 :] for i in range(len(w))}
+    if name[0].isdigit() or len(name) < 4:
+        return [name]
+    if len(name) > 40:
+        return sorted({"<" + v for v in less(name[:20])} | {">" + v for v in less(name[-20:])})
+    one = less(name)
+    return sorted(one if len(name) < 7 else {x for v in one for x in less(v)})
 
 
 def localities(values: DataFrame, max_localities: int = 5_000) -> frozenset[str]:
     """Words that stand between the street and the region of two values or more, without slips of much more frequent ones. More than `max_localities` words are an error."""
-    values = values.filter("value IS NOT NULL")
-    tails = F.udf(lambda v: tail(v), "string")
-    n = values.select(tails("value").alias("w")).filter("w IS NOT NULL").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    words = values.select(F.regexp_extract(F.lower("value"), _TAIL, 1).alias("w")).filter("w <> ''")
+    n = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     rows = n.filter("n > 1").orderBy(F.desc("n"), "w").limit(max_localities + 1).collect()
     if len(rows) > max_localities:
         raise ValueError(f"more than max_localities = {max_localities} localities; none is left out silently")
+    rows = [r for r in rows if not (_kind(r["w"]) or r["w"] in _DIR or r["w"] in ("floor", "bldg", "front", "entrance", "storefront"))]
     kept: dict[str, int] = {}
     for r in rows:  # a slip of a much more frequent one is none of its own
         if not any(c >= 8 * r["n"] and _near(r["w"], w, 2) for w, c in kept.items()):
@@ -257,60 +260,65 @@ def parsed(values: DataFrame, known: frozenset[str]) -> DataFrame:
     return values.mapInPandas(run, "value string, city string, house string, streets array<struct<d:string,n:string,k:string>>")
 
 
-def corrections(names: DataFrame, ratio: float = 2.0) -> DataFrame:
-    """(name, to) for (name, n): well-attested names within a slip or two, at least `ratio` times as frequent."""
-    spark = names.sparkSession
+@F.pandas_udf(ArrayType(StringType()))
+def _spellings(s: pd.Series) -> pd.Series:
+    return s.map(variants)
 
-    @F.pandas_udf("array<string>")
-    def cut(s: pd.Series) -> pd.Series:
-        return s.map(variants)
 
-    v = names.select("name", "n", F.explode(cut("name")).alias("v"))
-    pairs = (
-        v.alias("a").join(v.alias("b"), F.col("a.v") == F.col("b.v"))
-        .filter(F.col("b.n") >= ratio * F.col("a.n"))
-        .filter("a.name <> b.name AND b.n > 2")
-        .select(F.col("a.name").alias("name"), F.col("b.name").alias("to"), F.col("b.n").alias("n"))
-        .distinct()
-        .withColumn("d", F.levenshtein("name", "to"))
-        .filter(F.col("d") <= F.when(F.length("name") < 7, 2).otherwise(4))
-    )
-    return pairs.groupBy("name").agg(F.min_by("to", F.struct("d", -F.col("n"), "to")).alias("to"))
+@F.pandas_udf(BooleanType())
+def _slip(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([_near(x, y, 1 if min(len(x), len(y)) < 7 else 2) for x, y in zip(a, b)], dtype=bool)
+
+
+def _variants(names: DataFrame) -> DataFrame:
+    """(name, n, v): a hash of every deletion variant of every name."""
+    return names.select("name", "n", F.explode(_spellings("name")).alias("v")).select("name", "n", F.xxhash64("v").alias("v"))
+
+
+def corrections(names: DataFrame, ratio: float = 2.0, most: int = 20_000) -> DataFrame:
+    """(name, to) for (name, n): well-attested names within a slip or two, at least `ratio` times as frequent.
+
+    The attested names are broadcast where there are at most `most` of them.
+    """
+    attested = names.filter("n > 2")
+    side = _variants(attested).select(F.col("name").alias("to"), F.col("n").alias("m"), "v")
+    pairs = _variants(names).join(F.broadcast(side) if small_enough(attested, most) else side, "v").filter((F.col("m") >= ratio * F.col("n")) & (F.col("name") != F.col("to")))
+    pairs = pairs.select("name", "to", "m").distinct().filter(_slip("name", "to"))
+    return pairs.groupBy("name").agg(F.min_by("to", F.struct(F.levenshtein("name", "to"), -F.col("m"), "to")).alias("to"))
+
+
+def alternatives(names: DataFrame, rare: int = 8) -> DataFrame:
+    """(name, alt) for (name, n): of each two names within a slip or two that stand in at most `rare` values, the smaller as an alternative of the larger."""
+    v = _variants(names.filter(F.col("n") <= rare))
+    pairs = v.select("name", "v").join(v.select(F.col("name").alias("alt"), "v"), "v").filter("name > alt").select("name", "alt").distinct()
+    return pairs.filter(_slip("name", "alt"))
 
 
 def same_place(values: DataFrame, attested: int = 3) -> DataFrame:
     """(address_a, address_b), a < b, of distinct values (column `value`) that denote one place."""
-    from ..session import cut as keep
-
     values = keep(values.select("value").filter("length(trim(value)) > 0").distinct())
     p = keep(parsed(values, localities(values)))
     side = p.select("value", "city", "house", F.posexplode("streets").alias("side", "s")).select("value", "city", "house", "side", "s.d", "s.n", "s.k")
-    fixes = corrections(side.groupBy(F.col("n").alias("name")).agg(F.countDistinct("value").alias("n")))
+    count = lambda df: keep(df.groupBy(F.col("n").alias("name")).agg(F.countDistinct("value").alias("n")))
+    fixes = corrections(count(side))
     # one step further where a correction was itself corrected
-    fixes = fixes.alias("x").join(fixes.alias("y"), F.col("x.to") == F.col("y.name"), "left").select("x.name", F.coalesce("y.to", "x.to").alias("to"))
-    side = side.join(fixes, side["n"] == fixes["name"], "left").withColumn("n", F.coalesce("to", "n")).drop("name", "to")
-    side = keep(side)
+    fixes = keep(fixes.alias("x").join(fixes.alias("y"), F.col("x.to") == F.col("y.name"), "left").select("x.name", F.coalesce("y.to", "x.to").alias("to")))
+    side = keep(side.join(fixes, side["n"] == fixes["name"], "left").withColumn("n", F.coalesce("to", "n")).drop("name", "to"))
     kinds = side.filter("k <> ''").groupBy("d", "n", "k").agg(F.count(F.lit(1)).alias("c"))
     kinds = kinds.groupBy("d", "n").agg(F.collect_list(F.struct("c", "k")).alias("ks")).select("d", "n", F.expr(f"transform(filter(ks, x -> x.c >= {attested} OR x.c >= array_max(ks).c), x -> x.k)").alias("ks"))
-    side = side.join(kinds, ["d", "n"], "left").withColumn("forms", F.when(F.col("k") != "", F.array("k")).otherwise(F.coalesce("ks", F.array(F.lit("")))))
-    whole = side.groupBy("value", "city", "house").agg(F.sort_array(F.collect_list(F.struct("side", "d", "n", "k", "forms"))).alias("s"))
-    @F.pandas_udf("array<string>")
-    def spellings(n: pd.Series) -> pd.Series:
-        return n.map(variants)
-
-    # a building's name also in all its deletion variants: names attested too rarely to correct still meet there
-    one = whole.filter("size(s) = 1").select("value", "city", "house", F.expr("s[0].d").alias("d"), F.expr("s[0].n").alias("n"), F.expr("s[0].forms").alias("forms"))
-    one = one.withColumn("v", F.explode(spellings("n"))).select("value", "city", "house", "n", F.explode("forms").alias("f"), "d", "v").select("value", "city", "house", "n", F.xxhash64(F.lit("building"), "house", "d", "v", "f").alias("h"))
-    two = whole.filter("size(s) = 2").select(
-        "value", "city", "house", F.lit("").alias("n"),
-        F.explode(F.expr("""flatten(transform(s[0].forms, f -> transform(s[1].forms, g -> xxhash64('crossing',
-            least(concat_ws('|', s[0].d, s[0].n, f), concat_ws('|', s[1].d, s[1].n, g)), greatest(concat_ws('|', s[0].d, s[0].n, f), concat_ws('|', s[1].d, s[1].n, g))))))""")).alias("h"),
-    )
-    exploded = keep(one.unionByName(two).distinct())
+    others = alternatives(count(side)).groupBy(F.col("name").alias("n")).agg(F.collect_set("alt").alias("alts"))
+    side = side.join(kinds, ["d", "n"], "left").join(others, "n", "left").withColumn("forms", F.when(F.col("k") != "", F.array("k")).otherwise(F.coalesce("ks", F.array(F.lit("")))))
+    side = side.withColumn("forms", F.expr("flatten(transform(array_append(coalesce(alts, array()), n), x -> transform(forms, f -> concat_ws('|', d, x, f))))"))
+    whole = side.groupBy("value", "city", "house").agg(F.sort_array(F.collect_list(F.struct("n", "side", "forms"))).alias("s"))
+    one = whole.filter("size(s) = 1").withColumn("h", F.explode(F.expr("transform(s[0].forms, f -> xxhash64('building', house, f))")))
+    two = whole.filter("size(s) = 2").withColumn("h", F.explode(F.expr("flatten(transform(s[0].forms, f -> transform(s[1].forms, g -> xxhash64('crossing', least(f, g), greatest(f, g)))))")))
+    exploded = keep(one.unionByName(two).select("value", "city", "house", F.expr("transform(s, x -> x.n)").alias("names"), "h").distinct())
     a, b = exploded.alias("a"), exploded.alias("b")
+    alike = F.expr("forall(zip_with(a.names, b.names, (x, y) -> levenshtein(x, y) <= 3), x -> x) OR size(a.names) = 2 AND levenshtein(a.names[0], b.names[1]) <= 3 AND levenshtein(a.names[1], b.names[0]) <= 3")
     return (
         a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.value") < F.col("b.value")))
-        .filter("a.house = b.house AND (a.city = b.city OR a.city = '' OR b.city = '') AND (a.n = b.n OR levenshtein(a.n, b.n) <= 3)")
+        .filter("a.house = b.house AND (a.city = b.city OR a.city = '' OR b.city = '')")
+        .filter(alike)
         .select(F.col("a.value").alias("address_a"), F.col("b.value").alias("address_b"))
         .distinct()
     )

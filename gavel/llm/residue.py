@@ -235,7 +235,8 @@ def train(docs: DataFrame, text_col: str = "text", trusted: Iterable[str] | None
         texts = pd.concat(rows).sort_values("h")["t"].tolist() if rows else []
         yield pd.DataFrame({"model": [pickle.dumps(fit_models(texts, *known))]})
 
-    return pickle.loads(sample(docs, text_col, sample_rows, sample_chars).coalesce(1).mapInPandas(run, "model binary").first()[0])
+    fitted = sample(docs, text_col, sample_rows, sample_chars).coalesce(1).mapInPandas(run, "model binary").first()
+    return pickle.loads(fitted[0]) if fitted else fit_models([], *known)
 
 
 def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:

@@ -104,6 +104,15 @@ def test_no_places(spark):
     assert places.same_place(spark.createDataFrame([(None,), ("?",)], "value string")).count() == 0
 
 
+def test_long_names_and_rare_crossings(spark):
+    """Two slips in a very long name, and two different slips of one crossing that is written only twice."""
+    long = "quellenbrunnmarktobersteinhausenfeldweilerbachtal"
+    assert len(long) > 40 and set(places.variants(long)) & set(places.variants(long[:5] + long[6:30] + "x" + long[30:])) and len(places.variants("a" * 20000)) < 100
+    rows = [(f"12 {long.title()} Street",), (f"12 {(long[:7] + long[8:]).title()} St.",), ("Pepsteski Street and Drozoles Avenue",), ("Pepasteski Street & Drozoels Avenue",), ("Pepsteski Street and Kolmar Avenue",)]
+    got = {(r.address_a, r.address_b) for r in places.same_place(spark.createDataFrame(rows, "value string")).collect()}
+    assert got == {tuple(sorted((rows[0][0], rows[1][0]))), tuple(sorted((rows[2][0], rows[3][0])))}
+
+
 def test_deletion_variants_meet_within_two_slips():
     assert set(places.variants("pepasteski")) & set(places.variants("pepsteskii")) and not set(places.variants("12")) - {"12"}
 
