@@ -1,7 +1,7 @@
 """Variant spellings of persons and organisations.
 
 Distinct values are parsed into persons (given name, surname) or organisations (family or place names, line of business
-or purpose). Titles, remarks, legal forms, order and case fall away. Parsed forms are blocked by phonetic codes of
+or purpose; which words are purposes is learned from the endings that many different names share). Titles, remarks, legal forms, order and case fall away. Parsed forms are blocked by phonetic codes of
 their sorted tokens (vowels dropped, consonants in six classes; the whole code, the code less any one consonant, and its
 first and last four each make a block, so a slip in any place leaves a common one), compared inside a block by Jaro-Winkler similarity and a nickname table, and accepted pairs
 are clustered by connected components. Initials, nicknames of several names and bare surnames join a cluster only
@@ -52,10 +52,6 @@ _FORMAL: dict[str, tuple[str, ...]] = {}
 for _f, _ns in NICKNAMES.items():
     for _n in (_f, *_ns.split()):
         _FORMAL[_n] = tuple(dict.fromkeys((*_FORMAL.get(_n, ()), _f)))
-#: Purposes of organisations and lines of business, as written in full. Callers may pass their own.
-PURPOSES = ["civic league", "merchants alliance", "block association", "tenants association", "parents council", "youth center", "greenway initiative", "housing development fund", "preservation society",
-    "neighborhood association", "community center", "arts council", "historical society", "residents union", "garden club", "business improvement district"]
-LINES = ["hospitality", "restaurant group", "catering services", "food beverage", "kitchen partners", "brewing company", "wine imports", "entertainment", "ventures", "management", "lounge", "tavern", "holdings", "enterprises"]
 #: Abbreviations whose letters do not stand in the full word in that order.
 _SHORT = {"centre": "center", "lnge": "lounge", "tav": "tavern", "bros": "brothers", "grp": "group", "svcs": "services", "svc": "services", "mgmt": "management", "mgt": "management", "bev": "beverage", "hsg": "housing", "blk": "block"}
 _LEGAL = r"(?:l\s*l\s*c|inc|incorporated|corp|corporation|ltd|limited(?:\s+liability\s+co(?:mpany)?)?|co|l\s*l\s*p)"
@@ -288,6 +284,66 @@ def given_names(values: DataFrame, max_given: int = 50_000) -> frozenset[str]:
     return frozenset(r["w"] for r in rows)
 
 
+def _bare_words(s: str) -> list[str]:
+    """The words of a cleaned value without what stands in brackets, legal form, possessives and joining words."""
+    s = re.sub(r"\([^)]*\)", " ", s).replace("-", " ").replace(".", " ")
+    s = re.sub(rf"[\s,]+{_LEGAL}\W*$", " ", s)
+    return [w for w in re.sub(r"[^\w ]", " ", re.sub(r"['’]s?\b", "", s)).split() if w not in ("the", "and", "of")]
+
+
+def _alike(a: str, b: str) -> bool:
+    """Whether an ending is another one with words mistyped, cut short, or written together."""
+    x, y = a.split(), b.split()
+    return "".join(x) == "".join(y) or len(x) == len(y) and all(_stands_for(u, v) for u, v in zip(x, y))
+
+
+def purposes_of(values: DataFrame, field_kinds: dict[str, str], given: frozenset[str], share: float = 0.003, support: int = 5) -> dict[str, list[str]]:
+    """For organisations and applicants, the purposes and lines of business that the values themselves show.
+
+    A purpose is an ending of one to three words that stands behind at least `support` different beginnings, and behind
+    `share` of all different beginnings, so there are at most 3 / share of them whatever the number of values. Where the
+    longer endings of one cover half of its beginnings they are taken in its place. Given names are no beginnings.
+    """
+    roles = {f: k for f, k in field_kinds.items() if k in ("organisation", "applicant")}
+    shared = values.sparkSession.sparkContext.broadcast(given)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
+        for b in batches:
+            rows = []
+            for f, v in zip(b["field"], b["value"]):
+                s = _clean(v)
+                if roles[f] == "applicant" and (_FORMED.match(s) or "," in re.sub(rf",\s*{_LEGAL}\W*$", "", s)):
+                    continue
+                w = _bare_words(re.sub(r"\bf\s*&\s*b\b", "food beverage", _TITLE.sub("", _REMARK.sub(" ", s))))
+                if roles[f] == "applicant" and all(len(x) == 1 or x in known or x in _FORMAL or _like(x, known) for x in w[:-1]):
+                    continue
+                rows += [(roles[f], " ".join(w[-n:]), " ".join(w[:-n])) for n in (1, 2, 3) if len(w) > n]
+            yield pd.DataFrame(rows, columns=["role", "ending", "head"])
+
+    ends = values.filter(F.col("field").isin(list(roles))).select("field", "value").mapInPandas(run, "role string, ending string, head string")
+    n = ends.groupBy("role", "ending").agg(F.countDistinct("head").alias("n"))
+    all_ = ends.groupBy("role").agg(F.countDistinct("head").alias("all"))
+    rows = n.filter(F.col("n") >= support).join(all_, "role").filter(F.col("n") >= share * F.col("all")).select("role", "ending", "n").collect()
+    out: dict[str, list[str]] = {k: [] for k in ("organisation", "applicant")}
+    for k in out:
+        have = {r["ending"]: r["n"] for r in rows if r["role"] == k}
+        covered = dict.fromkeys(have, 0)
+        for e, c in have.items():
+            rest = e.partition(" ")[2]
+            if rest in have and 20 * c >= have[rest]:
+                covered[rest] += c
+        kept: list[str] = []
+        for e in sorted(have, key=lambda e: (-have[e], e)):
+            rest = e.partition(" ")[2]
+            whole = 2 * covered[e] < have[e] and (rest not in have or 20 * have[e] >= have[rest] and 2 * covered[rest] >= have[rest])
+            # an ending that writes a more frequent one shorter or mistyped is none of its own
+            if whole and all(len(w) > 2 for w in e.split()) and not any(_alike(e, x) for x in kept):
+                kept.append(e)
+        out[k] = sorted(kept)
+    return out
+
+
 def forms(values: DataFrame, field_kinds: dict[str, str], given: frozenset[str], purposes: list[str], lines: list[str]) -> DataFrame:
     """(field, value, what, kind, names, first, legal): what is 'person', 'org' or 'other'. field_kinds: field -> person, organisation or applicant."""
     shared = values.sparkSession.sparkContext.broadcast((given, purposes, lines))
@@ -337,6 +393,7 @@ def _codes(names: list[str]) -> list[str]:
 def variants(values: DataFrame, field_kinds: dict[str, str], trade_names: DataFrame | None = None, purposes: list[str] | None = None, lines: list[str] | None = None, dominance: float = 0.6) -> DataFrame:
     """(field, name_a, name_b), a < b, for (field, value, n): pairs of values of one entity.
 
+    purposes, lines: of organisations and applicants; where they are not given the values teach them (`purposes_of`).
     trade_names: (value, n), values that are no applicants where they are written at least as often as trade names.
     dominance: share of the rows that one candidate must have for a short form to join it.
     """
@@ -344,7 +401,12 @@ def variants(values: DataFrame, field_kinds: dict[str, str], trade_names: DataFr
     orgs = [f for f, k in field_kinds.items() if k == "organisation"]
     distinct = cut(distinct.filter(~(F.col("field").isin(orgs) & F.col("value").rlike(NO_ORGANISATION))))
     people = distinct.filter(F.col("field").isin([f for f, k in field_kinds.items() if k == "person"]))
-    parsed = forms(distinct.select("field", "value"), field_kinds, given_names(people), purposes or PURPOSES, lines or LINES).join(distinct, ["field", "value"])
+    given = given_names(people)
+    if purposes is None or lines is None:
+        learned = purposes_of(distinct, field_kinds, given)
+        purposes = learned["organisation"] if purposes is None else purposes
+        lines = learned["applicant"] if lines is None else lines
+    parsed = forms(distinct.select("field", "value"), field_kinds, given, purposes, lines).join(distinct, ["field", "value"])
     if trade_names is not None:
         bare = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", "")
         t = trade_names.groupBy(bare(F.col("value")).alias("bare")).agg(F.sum("n").alias("tn"))

@@ -5,10 +5,10 @@ from gavel.llm import names, places
 KINDS = {"p": "person", "o": "organisation", "a": "applicant"}
 
 
-def links(spark, rows, trade=None):
+def links(spark, rows, trade=None, **lists):
     v = spark.createDataFrame([(f, x, n) for f, x, n in rows], "field string, value string, n bigint")
     t = spark.createDataFrame(trade, "value string, n bigint") if trade else None
-    return {(r.field, r.name_a, r.name_b) for r in names.variants(v, KINDS, t).collect()}
+    return {(r.field, r.name_a, r.name_b) for r in names.variants(v, KINDS, t, **lists).collect()}
 
 
 def clusters(pairs, field):
@@ -45,17 +45,26 @@ def test_initials_join_one_person_only(spark):
 def test_organisations(spark):
     same = ["Lindenholm Civic League", "THE LINDENHOLM CIVIC LEAGUE", "Civic League of Lindenholm", "Civic League, Lindenholm", "Lindenholm CL", "Lindenhlom Civic Lge", "Lindenholm Civic League (CL), Inc."]
     other = ["Lindenholm Tenants Association", "Resident", "local resident", "n/a", "Self"]
-    assert clusters(links(spark, [("o", x, 2) for x in same + other]), "o") == [sorted(same)]
+    assert clusters(links(spark, [("o", x, 2) for x in same + other], purposes=["civic league", "tenants association"]), "o") == [sorted(same)]
 
 
 def test_applicants(spark):
     firm = ["Brandauer & Kostolany Wine Imports Corp.", "Kostolany + Brandauer Wine Imports Corporation", "brandauer / kostolany wine import", "Wine Imports of Brandauer & Kostolny"]
     person = ["Ursula Kostolany", "Entity TBF by Kostolany, Ursula", "Corp. to be formed by ursula kostolanny"]
     other = ["Brandauer & Kostolany Tavern LLC", "Rusty Kettle Bar", "RUSTY KETTLE BAR"]
-    got = clusters(links(spark, [("a", x, 2) for x in firm + person + other], [("Rusty Kettle Bar", 40)]), "a")
+    got = clusters(links(spark, [("a", x, 2) for x in firm + person + other], [("Rusty Kettle Bar", 40)], lines=["wine imports", "tavern"]), "a")
     assert got == sorted([sorted(firm), sorted(person)])
 
 
+def test_purposes_are_learned(spark):
+    """Purposes of trades that the tables know nothing of: learned from endings that many beginnings share."""
+    heads = "Acme Northwind Bellamy Corvane Dunmere Estrid Farrow Galven Hestor Ilmar".split()
+    rows = [("o", f"{h} Robotics Consortium", 3) for h in heads] + [("o", f"{h} Dental Clinic", 2) for h in heads]
+    rows += [("o", "Robotics Consortium, Acme", 1), ("o", "ACME ROBOTICS CONSORT.", 1), ("o", "Nortwhind Dental Clinic, Inc.", 1), ("o", "Northwind Dental Clinc", 1)]
+    got = clusters(links(spark, rows), "o")
+    assert got == [["ACME ROBOTICS CONSORT.", "Acme Robotics Consortium", "Robotics Consortium, Acme"], ["Northwind Dental Clinc", "Northwind Dental Clinic", "Nortwhind Dental Clinic, Inc."]]
+
+
 def test_no_names(spark):
     assert links(spark, []) == set()
     assert links(spark, [("p", "x" * 20000 + " " + "y" * 20000, 1), ("p", "?", 1)]) == set()
