@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import normalize_key
+from ..functions.columns import match_key, normalize_key
 from ..functions.fuzzy import token_set_ratio, token_sort_ratio
 
 
@@ -72,3 +72,82 @@ def gate(cards: DataFrame, entity: str, recall: float = 0.9) -> DataFrame:
     g = cards.groupBy(entity).agg(F.sum("golden").alias("golden"), F.sum("matched").alias("matched"))
     r = F.coalesce(F.try_divide(F.col("matched").cast("double"), F.col("golden")), F.lit(1.0))
     return g.withColumn("recall", r).withColumn("passed", (F.col("golden") == 0) | (r >= recall))
+
+
+# The fields that make an entity's match key, and those that are compared.
+KEY_FIELDS = {"liquor_licenses": ("applicant_name", "address"), "cannabis_licenses": ("applicant_name", "address"), "votes": ("motion_text",), "public_speakers": ("name", "topic"), "traffic_incidents": ("victim_name", "location")}
+COMPARED = {
+    "liquor_licenses": ("applicant_name", "dba", "address", "application_type", "license_class", "committee_recommendation", "board_action"),
+    "votes": ("topic_category", "outcome", "yes", "no", "abstain", "recusal"),
+    "public_speakers": ("name", "affiliation", "position"),
+    "traffic_incidents": ("victim_name", "location", "severity"),
+    "cannabis_licenses": ("applicant_name", "address", "application_type"),
+}
+#: The first of these that a record has stands for it in lists, cut to 80 characters.
+SUMMARY = ("applicant_name", "motion_text", "name", "victim_name", "location")
+
+
+def side(df: DataFrame, entity: str, id_col: str, number: str) -> DataFrame:
+    """(meeting_id, entity, number, key, summary, fields) of one entity's records; number is 'gi' for golden, 'ei' for extracted ones."""
+    types = dict(df.dtypes)
+    single = KEY_FIELDS[entity] == ("motion_text",)
+    key = normalize_key(F.col("motion_text")) if single else match_key(*[F.col(c) for c in KEY_FIELDS[entity]])
+    one = lambda c: F.struct(F.lit(c).alias("name"), F.lit(types[c] == "string").alias("text"), F.col(c).cast("string").alias("value"))
+    named = [F.when(F.trim(F.col(c)) != "", F.col(c)) for c in SUMMARY if types.get(c) == "string"]
+    return df.select("meeting_id", F.lit(entity).alias("entity"), F.col(id_col).alias(number), key.alias("key"), F.substring(F.coalesce(*named, F.lit("")), 1, 80).alias("summary"), F.array(*[one(c) for c in COMPARED[entity]]).alias("fields"))
+
+
+def field_errors(gold: DataFrame, found: DataFrame, matches: DataFrame) -> DataFrame:
+    """(meeting_id, entity, gi, name, golden, extracted, correct): one row for each compared field of each match."""
+    keys = ["meeting_id", "entity"]
+    m = matches.select(*keys, "gi", "ei").join(gold.select(*keys, "gi", F.col("fields").alias("_g")), [*keys, "gi"]).join(found.select(*keys, "ei", F.col("fields").alias("_e")), [*keys, "ei"])
+    f = m.select(*keys, "gi", F.explode(F.arrays_zip("_g", "_e")).alias("z")).select(*keys, "gi", "z._g.name", "z._g.text", F.col("z._g.value").alias("golden"), F.col("z._e.value").alias("extracted"))
+    g, e = F.col("golden"), F.col("extracted")
+    return f.select(*keys, "gi", "name", "golden", "extracted", F.when(F.col("text"), field_correct(g, e, True)).otherwise(field_correct(g, e, False)).alias("correct"))
+
+
+def report(gold: DataFrame, found: DataFrame, matches: DataFrame) -> DataFrame:
+    """The scorecard of every meeting and entity with field accuracy and the lists of missed, spurious and wrong; where both sides are empty there is no row."""
+    keys = ["meeting_id", "entity"]
+    cards = scorecard(gold, found, matches, keys)
+    told = field_errors(gold, found, matches)
+    wrong = F.when(~F.col("correct"), F.format_string("%s[%s].%s: golden=%s extracted=%s", "entity", F.col("gi").cast("string"), "name", F.coalesce("golden", F.lit("null")), F.coalesce("extracted", F.lit("null"))))
+    fields = told.groupBy(*keys).agg(F.count_if("correct").alias("_c"), F.count(F.lit(1)).alias("_t"), F.sort_array(F.collect_list(wrong)).alias("field_errors"))
+    names = lambda df, c: df.groupBy(*keys).agg(F.sort_array(F.collect_list("summary")).alias(c))
+    none = F.array().cast("array<string>")
+    j = cards.join(fields, keys, "left").join(names(missed(gold, matches, keys), "missed"), keys, "left").join(names(spurious(found, matches, keys), "spurious"), keys, "left")
+    accuracy = F.coalesce(F.try_divide(F.col("_c").cast("double"), F.col("_t")), F.lit(1.0))
+    return j.select(*keys, "golden", "extracted", "matched", "precision", "recall", accuracy.alias("field_accuracy"), *[F.coalesce(c, none).alias(c) for c in ("missed", "spurious", "field_errors")])
+
+
+def roll_up(cards: DataFrame, least: float = 0.9) -> DataFrame:
+    """(entity, golden, extracted, matched, precision, recall, field_accuracy, passed) over all meetings; field accuracy is weighted by matched records."""
+    total = [F.sum(c).alias(c) for c in ("golden", "extracted", "matched")]
+    g = cards.groupBy("entity").agg(*total, F.sum(F.col("field_accuracy") * F.col("matched")).alias("_f"))
+    share = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b)), F.lit(1.0))
+    g = g.select("entity", "golden", "extracted", "matched", share("matched", "extracted").alias("precision"), share("matched", "golden").alias("recall"), share("_f", "matched").alias("field_accuracy"))
+    return g.withColumn("passed", (F.col("golden") == 0) | (F.col("recall") >= least))
+
+
+def tally_gate(gold_votes: DataFrame, found_votes: DataFrame, matches: DataFrame) -> DataFrame:
+    """(total, exact, rate, passed): whether every matched vote has the same four counts; nothing matched passes."""
+    n = ["yes", "no", "abstain", "recusal"]
+    a = gold_votes.select("meeting_id", F.col("vote_id").alias("gi"), *[F.col(c).alias(f"_a{c}") for c in n])
+    b = found_votes.select("meeting_id", F.col("vote_id").alias("ei"), *[F.col(c).alias(f"_b{c}") for c in n])
+    j = matches.filter("entity = 'votes'").select("meeting_id", "gi", "ei").join(a, ["meeting_id", "gi"]).join(b, ["meeting_id", "ei"])
+    t = j.agg(F.count(F.lit(1)).alias("total"), F.count_if(tallies_exact([F.col(f"_a{c}") for c in n], [F.col(f"_b{c}") for c in n])).alias("exact"))
+    rate = F.coalesce(F.try_divide(F.col("exact").cast("double"), F.col("total")), F.lit(1.0))
+    return t.select("total", "exact", rate.alias("rate"), (F.col("exact") == F.col("total")).alias("passed"))
+
+
+def render(totals: list, tally) -> str:
+    """The rolled-up scorecard as lines of text; totals and tally are the collected rows of `roll_up` and `tally_gate`, a handful."""
+    lines = [f"{'entity':<20}{'golden':>8}{'found':>8}{'matched':>9}{'precision':>11}{'recall':>8}{'fields':>8}"]
+    lines += [f"{r.entity:<20}{r.golden:>8}{r.extracted:>8}{r.matched:>9}{r.precision:>11.0%}{r.recall:>8.0%}{r.field_accuracy:>8.0%}" for r in sorted(totals, key=lambda r: r.entity)]
+    failed = [f"{r.entity} recall {r.recall:.0%}" for r in totals if not r.passed] + ([] if tally.passed else [f"tallies {tally.exact} of {tally.total}"])
+    return "\n".join([*lines, f"tallies {tally.exact}/{tally.total}", "FAILED: " + "; ".join(failed) if failed else "PASSED"])
+
+
+def exit_code(totals: list, tally, found_any: bool = True) -> int:
+    """0 where every gate is passed, 1 where one is not, 2 where there was nothing to evaluate."""
+    return 2 if not found_any or not totals else int(not (tally.passed and all(r.passed for r in totals)))

@@ -52,6 +52,33 @@ def greedy_prefers_best(spark: SparkSession, d: str) -> DataFrame:
     return E.greedy(E.candidates(g, e, ["meeting_id"]), ["meeting_id"]).select("gi", "ei")
 
 
+def _delivered(spark, d):
+    """Rows of votes delivered twice: the first delivery as golden, the second as extracted, with a few of the golden ones alone."""
+    v = table(spark, d, "votes")
+    ids = v.groupBy("vote_id").agg(F.min("loaded_at").alias("_lo"), F.max("loaded_at").alias("_hi")).filter("_lo < _hi")
+    j = v.join(ids, "vote_id")
+    return j.filter("loaded_at = _lo").drop("_lo", "_hi"), j.filter("loaded_at = _hi AND vote_id % 7 <> 3").drop("_lo", "_hi")
+
+
+@query("""WITH i AS (SELECT vote_id, min(loaded_at) AS lo, max(loaded_at) AS hi FROM votes GROUP BY 1 HAVING lo < hi), g AS (SELECT v.* FROM votes v JOIN i ON v.vote_id = i.vote_id AND v.loaded_at = i.lo)
+  SELECT 'votes' AS entity, CAST(count(*) AS BIGINT) AS golden, count(*) FILTER (WHERE vote_id % 7 <> 3) AS extracted, count(*) FILTER (WHERE vote_id % 7 <> 3) AS matched, CAST(1 AS DOUBLE) AS precision, round(count(*) FILTER (WHERE vote_id % 7 <> 3) / CAST(count(*) AS DOUBLE), 6) AS recall FROM g""")
+def scorecard_votes(spark: SparkSession, d: str) -> DataFrame:
+    """Second deliveries held against the first: what was left out is missed, the rest matches in every meeting."""
+    a, b = _delivered(spark, d)
+    gold, found = E.side(a, "votes", "vote_id", "gi"), E.side(b, "votes", "vote_id", "ei")
+    keys = ["meeting_id", "entity"]
+    m = E.greedy(E.candidates(gold, found, keys), keys)
+    return E.roll_up(E.report(gold, found, m)).select("entity", "golden", "extracted", "matched", "precision", F.round("recall", 6).alias("recall"))
+
+
+@query()
+def scorecard_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Cannabis records held against the licences of their meeting: counts, field accuracy and the three lists of every meeting."""
+    gold, found = E.side(table(spark, d, "licenses"), "cannabis_licenses", "license_id", "gi"), E.side(table(spark, d, "cannabis"), "cannabis_licenses", "cannabis_id", "ei")
+    keys = ["meeting_id", "entity"]
+    return E.report(gold, found, E.greedy(E.candidates(gold, found, keys), keys))
+
+
 @query("SELECT CAST(count(*) AS BIGINT) AS votes, count(*) FILTER (WHERE a.yes = b.yes AND a.no = b.no AND a.abstain = b.abstain AND a.recusal = b.recusal) AS exact FROM votes a JOIN votes b ON a.vote_id = b.vote_id AND a.loaded_at < b.loaded_at")
 def tallies_exact(spark: SparkSession, d: str) -> DataFrame:
     """Rows delivered twice: how many have the same tally."""

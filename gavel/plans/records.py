@@ -367,3 +367,34 @@ def incident_days(spark: SparkSession, d: str) -> DataFrame:
 def most_contested(spark: SparkSession, d: str) -> DataFrame:
     w = W.partitionBy("meeting_id").orderBy(F.desc("no"), "vote_id")
     return votes(spark, d).select("meeting_id", "vote_id", "no", F.rank().over(w).cast("bigint").alias("place")).filter("place <= 3")
+
+
+@query(f"SELECT coalesce(position, 'unclear') AS position, count(*) AS n, count(DISTINCT meeting_id) AS meetings FROM {_LS} s WHERE contains(lower(coalesce(topic, '')), 'liquor') GROUP BY 1")
+def topic_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Positions taken on one topic."""
+    s = speakers(spark, d).filter(F.lower("topic").contains("liquor"))
+    return s.groupBy(F.coalesce("position", F.lit("unclear")).alias("position")).agg(N().alias("n"), F.countDistinct("meeting_id").alias("meetings"))
+
+
+@query(f"""SELECT topic_category AS kind, count(*) AS n, count(*) FILTER (WHERE yes > 0 AND no > 0) AS divided, round(avg((yes + no + coalesce(abstain, 0) - greatest(yes, no)) / CAST(yes + no + coalesce(abstain, 0) AS DOUBLE)), 6) AS mean_division, CAST(sum(coalesce(len(conditions), 0)) AS BIGINT) AS conditions
+           FROM {_LV} v WHERE yes + no > 0 GROUP BY 1""")
+def panel_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Divided votes, mean division and conditions of each kind of vote."""
+    v = votes(spark, d).filter("yes + no > 0")
+    share = C.division(F.col("yes"), F.col("no"), F.coalesce("abstain", F.lit(0)))
+    return v.groupBy(F.col("topic_category").alias("kind")).agg(N().alias("n"), F.count_if((F.col("yes") > 0) & (F.col("no") > 0)).alias("divided"), F.round(F.avg(share), 6).alias("mean_division"), F.sum(F.greatest(F.coalesce(F.size("conditions"), F.lit(0)), F.lit(0))).alias("conditions"))
+
+
+#: Streets of an area of interest; any list will do.
+_STREETS = ["harbor", "pier", "river", "street", "quay"]
+
+
+@query("SELECT " + " OR ".join(f"contains(lower(coalesce(address, '')), '{w}')" for w in _STREETS) + " AS inside, count(*) AS n, count(*) FILTER (WHERE contains(lower(coalesce(board_action, '')), 'den')) AS denied FROM licenses GROUP BY 1")
+def area_masks(spark: SparkSession, d: str) -> DataFrame:
+    """Licences whose address names a street of an area, and those that do not, with their denials."""
+    low = F.lower(F.coalesce("address", F.lit("")))
+    inside = low.contains(_STREETS[0])
+    for w in _STREETS[1:]:
+        inside = inside | low.contains(w)
+    denied = F.coalesce(F.lower("board_action").contains("den"), F.lit(False))
+    return table(spark, d, "licenses").groupBy(inside.alias("inside")).agg(N().alias("n"), F.count_if(denied).alias("denied"))

@@ -241,3 +241,22 @@ def test_column_helpers(spark):
         C.strip_honorifics(F.col("n")).alias("a"), C.match_key(F.col("n"), F.col("z")).alias("b"), C.right_closed_bins(F.lit(2019), [2015, 2019, 2022], ["x", "y"]).alias("c"), C.division(F.lit(0), F.lit(0), F.lit(0)).alias("d"), C.absolute_url(F.lit("/a b.pdf"), "https://h").alias("e")
     ).first()
     assert tuple(r) == ("Jane Roe", "mr dr jane roe none", "x", None, "https://h/a%20b.pdf")
+
+
+def test_report_lists_and_gates(spark):
+    cols = "meeting_id string, vote_id int, motion_text string, topic_category string, outcome string, yes int, no int, abstain int, recusal int"
+    gold = [("a", 1, "repair the pier before winter", "parks", "passed", 9, 4, 0, 2), ("a", 2, "thank the staff", "other", "passed", 15, 0, 0, 0), ("b", 3, "move the stage", "parks", "failed", 6, 8, 1, 0)]
+    found = [("a", 7, "repair of the pier before the winter", "parks", "passed", 9, 4, 0, 1), ("a", 8, "buy a boat", "other", "passed", 1, 0, 0, 0), ("b", 9, "move the stage", None, "failed", 6, 8, 1, 0)]
+    g, f = spark.createDataFrame(gold, cols), spark.createDataFrame(found, cols)
+    a, b = evaluate.side(g, "votes", "vote_id", "gi"), evaluate.side(f, "votes", "vote_id", "ei")
+    m = evaluate.greedy(evaluate.candidates(a, b, ["meeting_id", "entity"]), ["meeting_id", "entity"])
+    cards = {r.meeting_id: r for r in evaluate.report(a, b, m).collect()}
+    assert (cards["a"].golden, cards["a"].extracted, cards["a"].matched, cards["a"].recall) == (2, 2, 1, 0.5)
+    assert cards["a"].missed == ["thank the staff"] and cards["a"].spurious == ["buy a boat"] and cards["a"].field_errors == ["votes[1].recusal: golden=2 extracted=1"]
+    assert cards["b"].field_accuracy == 5 / 6 and cards["b"].missed == []
+    total = evaluate.roll_up(evaluate.report(a, b, m)).collect()
+    tally = evaluate.tally_gate(g, f, m).first()
+    assert abs(total[0].recall - 2 / 3) < 1e-9 and not total[0].passed and (tally.total, tally.exact, tally.passed) == (2, 1, False)
+    assert evaluate.exit_code(total, tally) == 1 and evaluate.exit_code([], tally) == 2 and "FAILED: votes recall 67%; tallies 1 of 2" in evaluate.render(total, tally)
+    same = evaluate.greedy(evaluate.candidates(a, a.withColumnRenamed("gi", "ei"), ["meeting_id", "entity"]), ["meeting_id", "entity"])
+    assert evaluate.exit_code(evaluate.roll_up(evaluate.report(a, a.withColumnRenamed("gi", "ei"), same)).collect(), evaluate.tally_gate(g, g, same).first()) == 0
