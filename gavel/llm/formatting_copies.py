@@ -3,7 +3,7 @@
 Every (field label, normalised value) pair is hashed, the hashes of a record are added up (a commutative multiset
 hash, so interchangeable fields need no sorting), records are grouped by block and fingerprint, and inside a group the
 multisets of values are compared exactly. Two independent sums of 61 bits each make up the fingerprint; records that
-share it by accident are split off and grouped by their exact values.
+share it by accident are split off and held against each other's values; no values are sorted anywhere.
 
 Scale: the scan feeds a map-side-combined aggregation on 16 bytes a record; only groups of two and more are joined
 back, and that join is one row to many, so a group with a third of all rows is split by the skew-join rule (the
@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: A Mersenne prime: sums of up to four residues stay below 2^63, and each step is reduced again.
 MOD = (1 << 61) - 1
 
@@ -55,9 +57,13 @@ def _members(df: DataFrame, id_col: str, block: Sequence[str], fields: dict[str,
         .filter("_first < _last")
         .drop("_last")
     )
-    met = base.join(first, key).withColumn("_same", _same(F.col("_v"), F.col("_fv")))
+    # only members of groups are kept from here on
+    met = cut(base.join(first, key).withColumn("_same", _same(F.col("_v"), F.col("_fv"))))
     good = met.filter("_same").select("_first", "_id").distinct()
-    odd = met.filter("NOT _same").withColumn("_x", F.to_json(F.array_sort("_v")))
+    # other records of the same fingerprint: each goes to the least of the group's writings that is the same multiset
+    odd = met.filter("NOT _same")
+    writings = odd.groupBy(*key).agg(F.collect_set("_v").alias("_all"))
+    odd = odd.join(writings, key).withColumn("_x", F.array_min(F.filter("_all", lambda w: _same(w, F.col("_v")))))
     rest = odd.join(odd.groupBy(*key, "_x").agg(F.min("_id").alias("_least")), [*key, "_x"]).select(F.col("_least").alias("_first"), "_id").distinct()
     return good.unionByName(rest).select(F.col("_id").alias("id"), F.col("_first").alias("first_id"))
 

@@ -28,6 +28,14 @@ def test_found_equals_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_records_that_share_a_fingerprint_by_accident(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(fc, "_sum_of_hashes", lambda pairs, salt: F.size(pairs).cast("bigint"))
+    rows = [(i, "m", a, b, c, "") for i, (a, b, c) in enumerate([("a", "b", "p"), ("B", "A", "p"), ("c", None, "p"), ("", "C.", "p"), ("a", "b", "q"), ("d", "d", "p"), ("b", "a", "Q")])]
+    assert {tuple(r) for r in fc.found(spark.createDataFrame(rows, SCHEMA), "id", ["g"], FIELDS).collect()} == brute(rows)
+
+
 def test_swapped_fields_are_one_but_not_place(spark):
     rows = [(1, "m", "A", "B", "C", ""), (2, "m", "b.", "a", "c", ""), (3, "m", "c", "b", "a", ""), (4, "n", "A", "B", "C", "")]
     assert {tuple(r) for r in fc.found(spark.createDataFrame(rows, SCHEMA), "id", ["g"], FIELDS).collect()} == {(1, 2)}
