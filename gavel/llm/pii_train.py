@@ -5,7 +5,7 @@ trades (deliveries, surgeries, schools, landlords, courts, clubs, travel, help d
 Spanish and Polish, clauses put together word by word, and loose words with details strewn in, so that a detail is told
 by its own form and not by the wording around it; ordinary words come from a public tokenizer's vocabulary, read by path. Details come in every form in which they are written, beside things
 that only look like them: dates, times, sums, shares, scores, ages, case and order numbers, firms, schools, places,
-streets without a house number, crossings. Every seventh frame is kept out of training; `held_out` measures on those.
+streets without a house number, crossings. `KEPT_OUT` has frames that training never sees; `held_out` measures on those.
 """
 
 from __future__ import annotations
@@ -203,7 +203,6 @@ Zgłosił się {name}, pesel w aktach, {id}.
 {name} - {word}. {Word} {word}
 {Word} {word}
 {Word} {word} {word}
-{Word} {Word}
 {email}
 {phone}
 {addr}
@@ -211,7 +210,14 @@ Zgłosił się {name}, pesel w aktach, {id}.
 {name}
 {name}
 {name}
+{name}
+{name}
+{name}
+{name}
 {name} / {id}
+{name} / {phone}
+{name}, {n}
+{name}, of {addr}
 {name} - {phone}
 {name} [{phone}]
 {name}, {n}
@@ -506,8 +512,32 @@ def sentence(frame: str) -> list[tuple[str, str]]:
     return out
 
 
-KEPT_OUT = FRAMES[3::7]
-TRAINING = [f for f in FRAMES if f not in set(KEPT_OUT)]
+#: Frames that training never sees.
+KEPT_OUT = """The piano tuner {name} comes to {addr} every spring.
+Returned mail: {email} is unknown, try {email} instead.
+Vet record: rabbit of {name}, weighed {n} g on {date}.
+Our guide, {name}, waited by {cross} until {time}.
+To book a boat write to {email} or ring {phone} after {time}.
+{name} lost {id} on the ferry and asked the purser for help.
+The choir of {site} thanks {name} and {name} for the cake.
+Storm damage at {addr}: two windows, {money}.
+Chess club: {name} - {name} {score}; {name} did not play.
+{biz} moved from {street} to {addr}.
+I bought my bike from {name}, {phone}, for {money}.
+Ms. {last0} teaches at {site}; her room is {n}.
+The plumber sent by {biz} never rang the bell at {addr}.
+Please forward this to {name} ({email}) and to the {org}.
+In the photo of {year}: {name}, {name} and an unknown sailor.
+Ship to: {name}, {addr}
+Score sheet {case}: judges {name}, {name}.
+A tourist asked {name} for the way to {cross}.
+{pct} of the seats were sold, wrote {name} in {year}.
+Reference for {name}: honest, punctual, {n} years with {biz}.
+Baggage tag {case}, owner {name}, hotel near {site}.
+She dictated her number, {phone}, and {id}.
+La profesora {name} vive cerca de {site}; correo {email}.
+Lekarz {name} przyjmuje przy {addr}, telefon {phone}.""".split("\n")
+TRAINING = FRAMES
 
 
 def sample(frames: list[str] | None = None) -> tuple[str, list[int]]:
