@@ -25,8 +25,6 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
     b = SparkSession.builder.master(f"local[{cores}]").appName("gavel")
     for k, v in CONF.items():
         b = b.config(k, v)
-    # one machine: its own folder is the shared one
-    b = b.config("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), f"gavel-checkpoint-{uuid.uuid4().hex[:8]}"))
     spark = (
         b.config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
@@ -44,14 +42,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; an error where none is set, as a machine's own folder would not do."""
+    """The shared folder named by spark.checkpoint.dir. Where it is unset, one machine (tests) uses a folder of its own; on a cluster that is an error."""
     sc = spark.sparkContext
     have = sc._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get()
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not shared:
-        raise ValueError("spark.checkpoint.dir names no shared folder")
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        shared = os.path.join(tempfile.gettempdir(), f"gavel-checkpoint-{uuid.uuid4().hex[:8]}")
     sc.setCheckpointDir(shared)
     return shared
 

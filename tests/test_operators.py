@@ -260,3 +260,20 @@ def test_report_lists_and_gates(spark):
     assert evaluate.exit_code(total, tally) == 1 and evaluate.exit_code([], tally) == 2 and "FAILED: votes recall 67%; tallies 1 of 2" in evaluate.render(total, tally)
     same = evaluate.greedy(evaluate.candidates(a, a.withColumnRenamed("gi", "ei"), ["meeting_id", "entity"]), ["meeting_id", "entity"])
     assert evaluate.exit_code(evaluate.roll_up(evaluate.report(a, a.withColumnRenamed("gi", "ei"), same)).collect(), evaluate.tally_gate(g, g, same).first()) == 0
+
+
+def test_checkpoint_folder_where_none_is_set():
+    """One machine may use a folder of its own; a cluster must name a shared one."""
+    from types import SimpleNamespace as S
+
+    from gavel.session import checkpoint_dir
+
+    def session(master, told):
+        sc = S(master=master, _jsc=S(sc=lambda: S(getCheckpointDir=lambda: S(isDefined=lambda: False))), getConf=lambda: S(get=lambda k, d: None), setCheckpointDir=told.append)
+        return S(sparkContext=sc, conf=S(get=lambda k, d: None))
+
+    told = []
+    assert checkpoint_dir(session("local[2]", told)) == told[0]
+    for master in ("yarn", "spark://x:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(session(master, told))
