@@ -75,7 +75,15 @@ def header_dates(spark: SparkSession, d: str) -> DataFrame:
     return t.filter(x != "").select("doc_id", x.alias("typed"))
 
 
-@query()
+_MONTHS = "|".join(N.LONG_MONTHS)
+_AT = "least(" + ", ".join(f"CASE WHEN instr(h, '{w}') > 0 THEN instr(h, '{w}') ELSE 9999 END" for w in N.TITLES) + ")"
+_WORD, _NUM = f"'({_MONTHS})[^a-z0-9/]+([0-9]{{1,2}})[^a-z0-9/]+([0-9]{{4}})(?:[^0-9]|$)'", "'(?:^|[^0-9])([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})(?:[^0-9]|$)'"
+_DAY = "coalesce(try_strptime(regexp_extract({t}, " + _WORD + ", 3) || '-' || regexp_extract({t}, " + _WORD + ", 1) || '-' || regexp_extract({t}, " + _WORD + ", 2), '%Y-%B-%d'), try_strptime(regexp_extract({t}, " + _NUM + ", 3) || '-' || regexp_extract({t}, " + _NUM + ", 1) || '-' || regexp_extract({t}, " + _NUM + ", 2), '%Y-%m-%d'))"
+_TYPE = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(l, '{w}')" for w in ws) + f" THEN '{label}'" for label, ws in N.PAGE_TYPES) + " END"
+
+
+@query(f"""WITH x AS (SELECT doc_id, lower(left({_FLAT}, 2000)) AS h, lower(left({_FLAT}, 1200)) AS l FROM documents WHERE text IS NOT NULL), y AS (SELECT *, CASE WHEN {_AT} < 9999 THEN substr(h, {_AT}) ELSE h END AS t FROM x)
+  SELECT doc_id, CAST(coalesce({_DAY.replace("{t}", "t")}, {_DAY.replace("{t}", "h")}) AS DATE) AS day, {_TYPE} AS type FROM y""")
 def first_pages(spark: SparkSession, d: str) -> DataFrame:
     """Date and type that a page's header states."""
     t = table(spark, d, "documents").filter("text IS NOT NULL")
