@@ -111,9 +111,15 @@ w AS (SELECT *, min(license_id) OVER g AS first_id, count(*) OVER g AS copies FR
 """
 
 
+_TYPED = """SELECT license_id, 'board_action' AS field, CAST(0 AS BIGINT) AS pos, board_action AS value FROM licenses UNION ALL SELECT license_id, 'committee_recommendation', CAST(0 AS BIGINT), committee_recommendation FROM licenses
+UNION ALL SELECT license_id, 'features', CAST(unnest(generate_series(1, len(features))) AS BIGINT), unnest(features) FROM licenses"""
+
+
 def oracle_sql() -> dict[str, str]:
+    found = canonical.oracle("license_id", "licenses", "canon_values", ["board_action", "committee_recommendation"], ["features"])
     return {
-        "p2_found": canonical.oracle("license_id", "licenses", "canon_values", ["board_action", "committee_recommendation"], ["features"]),
+        "p2_found": found,
+        "p2_unmatched": f"SELECT u.field, u.value, count(*) AS n FROM ({found}) f JOIN ({_TYPED}) u ON u.license_id = f.license_id AND u.field = f.field AND u.pos = f.pos WHERE f.canon_id = 0 GROUP BY u.field, u.value",
         "p4_found": _P4 + "SELECT first_id, license_id AS copy_id FROM w WHERE license_id <> first_id",
         "p4_collapsed": _P4 + "SELECT license_id, meeting_id, applicant_name, dba, address, CAST(copies AS BIGINT) AS copies FROM w WHERE license_id = first_id",
     }
