@@ -277,3 +277,16 @@ def test_checkpoint_folder_where_none_is_set():
     for master in ("yarn", "spark://x:7077", "local-cluster[3,2,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             checkpoint_dir(session(master, told))
+
+
+def test_rows_behind_the_watermark_are_left_out(spark, tmp_path):
+    """Three runs: the first moves the watermark on, a row of a closed window comes too late in the second, the third closes the rest."""
+    from gavel.streaming import ledger as L
+
+    schema = "at timestamp, kind string, value double"
+    for rows in ([("2024-01-01 10:00:00", "a", 1.0), ("2024-01-01 12:30:00", "a", 2.0)], [("2024-01-01 10:05:00", "a", 50.0), ("2024-01-01 12:40:00", "a", 3.0)], [("2024-01-02 00:00:00", "z", 0.0)]):
+        spark.createDataFrame(rows, "at string, kind string, value double").selectExpr("CAST(at AS timestamp) AS at", "kind", "value").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        s = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        L.run_once(L.windowed(s, "at", ["kind"]), str(tmp_path / "out"), str(tmp_path / "state"))
+    got = sorted((str(r.window.start), r.n, r.total) for r in spark.read.parquet(str(tmp_path / "out")).collect() if r.kind == "a")
+    assert got == [("2024-01-01 10:00:00", 1, 1.0), ("2024-01-01 12:00:00", 2, 5.0)]
