@@ -136,3 +136,20 @@ def test_dictionaries_are_whole_or_an_error(spark):
     assert len(places.localities(p, 2)) == 2
     with pytest.raises(ValueError, match="max_localities"):
         places.localities(p, 1)
+
+
+def test_slips_do_not_count_as_localities(spark):
+    """Slips stand in two values or more each and are many; only what is none counts towards the bound. A slip of a slip is decided by what is kept."""
+    n = {"brooklyn": 160, "albany": 40, "broklyn": 20, "broklny": 2, "brokln": 2, "albnay": 2, "albani": 2, "abany": 3, "albanyy": 5, "alb": 2, "streeet": 9, "q" * 45: 16, "q" * 44: 2, "utica": 1}
+    v = spark.createDataFrame([(f"{i} Oak Street, {w.title()}, NY",) for w, k in n.items() for i in range(k)], "value string")
+    kept: dict[str, int] = {}
+    for w, k in sorted(n.items(), key=lambda x: (-x[1], x[0])):  # one after the other, most frequent first
+        if k > 1 and not places._kind(w) and not any(c >= 8 * k and places._near(w, x, 2) for x, c in kept.items()):
+            kept[w] = k
+    assert set(kept) == {"brooklyn", "albany", "alb", "q" * 45}
+    assert places.localities(v, 4) == frozenset(kept)
+    with pytest.raises(ValueError, match="max_localities"):
+        places.localities(v, 3)
+    chain = {"aaaaaaaaaa": 128, "aaaaaaaabb": 16, "aaaaaabbbb": 2}
+    v = spark.createDataFrame([(f"{i} Oak Street, {w}, NY",) for w, k in chain.items() for i in range(k)], "value string")
+    assert places.localities(v) == {"aaaaaaaaaa", "aaaaaabbbb"}
