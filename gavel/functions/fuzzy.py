@@ -7,10 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def indel(a: str, b: str) -> float:
-    """100 * 2 * LCS / (length of both); 100 for two empty strings. The common subsequence is counted in bit-parallel integers."""
-    if not a or not b:
-        return 100.0 if a == b else 0.0
+def common(a: str, b: str) -> int:
+    """Length of the longest common subsequence, counted in bit-parallel integers."""
     masks: dict[str, int] = {}
     for i, c in enumerate(a):
         masks[c] = masks.get(c, 0) | 1 << i
@@ -19,7 +17,14 @@ def indel(a: str, b: str) -> float:
     for c in b:
         u = s & masks.get(c, 0)
         s = (s + u | s - u) & full
-    return 200.0 * (len(a) - bin(s).count("1")) / (len(a) + len(b))
+    return len(a) - bin(s).count("1")
+
+
+def indel(a: str, b: str) -> float:
+    """100 * 2 * LCS / (length of both); 100 for two empty strings."""
+    if not a or not b:
+        return 100.0 if a == b else 0.0
+    return 200.0 * common(a, b) / (len(a) + len(b))
 
 
 def token_sort(a: str, b: str) -> float:
@@ -28,17 +33,21 @@ def token_sort(a: str, b: str) -> float:
 
 def token_set(a: str, b: str) -> float:
     """100 where one side's words lie in the other's; else the best of the joined common and remaining words."""
-    x, y = set(a.split()), set(b.split())
+    return word_sets(set(a.split()), set(b.split()))
+
+
+def word_sets(x: set[str], y: set[str]) -> float:
+    """`token_set` of two sets of words. The common words, joined, begin both sides, so only the remaining ones are compared."""
     if not x or not y:
         return 0.0
     both, left, right = (" ".join(sorted(s)) for s in (x & y, x - y, y - x))
-    if both and (not left or not right):
+    if not both:
+        return indel(left, right)
+    if not left or not right:
         return 100.0
-    one, two = f"{both} {left}".strip(), f"{both} {right}".strip()
-    scores = [indel(one, two)]
-    if both:
-        scores += [indel(both, one), indel(both, two)]
-    return max(scores)
+    n = len(both)
+    one, two = n + 1 + len(left), n + 1 + len(right)
+    return max(200.0 * (n + 1 + common(left, right)) / (one + two), 200.0 * n / (n + one), 200.0 * n / (n + two))
 
 
 def _udf(score):

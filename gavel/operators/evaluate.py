@@ -2,22 +2,182 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.columns import match_key, normalize_key
-from ..functions.fuzzy import token_set_ratio, token_sort_ratio
+from ..functions.fuzzy import token_sort_ratio, word_sets
+
+#: Records of either side of a group that are held against each other in one go, about; larger groups are cut into such blocks.
+BLOCK = 1000
+
+
+class _Side:
+    """Words, lengths and counts of characters of a block's keys."""
+
+    def __init__(self, keys: list[str]):
+        self.words = [set(k.split()) for k in keys]
+        self.text = [" ".join(sorted(w)) for w in self.words]
+        self.size = np.array([len(t) for t in self.text], dtype=np.int64)
+        self.code = np.frombuffer("".join(self.text).encode("utf-32-le"), dtype="<u4").astype(np.int64) & 127
+        self.row = np.repeat(np.arange(len(keys)), self.size)
+        self.at = np.arange(len(self.code)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        self.count = np.bincount(self.row * 128 + self.code, minlength=len(keys) * 128).reshape(-1, 128)
+
+
+def _shared_words(a: list[set[str]], b: list[set[str]]) -> np.ndarray:
+    """Length of the common words of each pair, a blank after each."""
+    there: dict[str, tuple[list[int], list[int]]] = {}
+    for j, ws in enumerate(b):
+        for w in ws:
+            there.setdefault(w, ([], []))[1].append(j)
+    for i, ws in enumerate(a):
+        for w in ws:
+            if w in there:
+                there[w][0].append(i)
+    at, size, many = [], [], []
+    for w, (i, j) in there.items():
+        if len(i) * len(j) > 64:
+            many.append((i, j, len(w) + 1))
+        elif i:
+            at += [x * len(b) + y for x in i for y in j]
+            size += [len(w) + 1] * (len(i) * len(j))
+    out = np.bincount(np.array(at, dtype=np.int64), np.array(size, dtype=np.int64), len(a) * len(b)).astype(np.int32).reshape(len(a), len(b))
+    for i, j, n in many:
+        out[np.ix_(i, j)] += n
+    return out
+
+
+def _shared_characters(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Characters that each pair has in common, in whatever order; a row of x and y counts the characters of one key."""
+    if len(x) * len(y) <= 4096:
+        return np.minimum(x[:, None], y[None]).sum(-1, dtype=np.int64)
+    out = np.zeros((len(x), len(y)), dtype=x.dtype)
+    for lo in range(0, len(x), 128):
+        part = out[lo : lo + 128]
+        for k in np.flatnonzero(x.any(0) & y.any(0)):
+            part += np.minimum(x[lo : lo + 128, k, None], y[None, :, k])
+    return out
+
+
+def _subsequences(a: _Side, b: _Side, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Longest common subsequences of the sorted words of the pairs (i, j), bit-parallel over all pairs at once."""
+    size = max(1, int(a.size[i].max()))
+    parts, codes = -(-size // 64), np.unique(b.code)
+    place = np.full(128, len(codes))
+    place[codes] = np.arange(len(codes))
+    wide = len(codes) + 1  # the last stands for what the other side has not, and for the end
+    text = np.full((len(b.text), int(b.size.max())), len(codes), dtype=np.int64)
+    text[b.row, b.at] = place[b.code]
+    fit = (place[a.code] < len(codes)) & (a.at < size)
+    masks = np.zeros((parts, len(a.text) * wide), dtype=np.uint64)
+    np.bitwise_or.at(masks, (a.at[fit] // 64, a.row[fit] * wide + place[a.code[fit]]), np.uint64(1) << (a.at[fit] % 64).astype(np.uint64))
+    out = np.zeros(len(i), dtype=np.int64)
+    for lo in range(0, len(i), 16_384):
+        p, q = i[lo : lo + 16_384], j[lo : lo + 16_384]
+        s = [np.full(len(p), ~np.uint64(0)) for _ in range(parts)]
+        base, chars = p * wide, np.ascontiguousarray(text[q, : int(b.size[q].max())].T)
+        for c in chars:
+            at, carry = base + c, None
+            for k in range(parts):
+                m = masks[k].take(at)
+                u = s[k] & m
+                t = s[k] + u
+                over = t < u
+                if carry is not None:
+                    t += carry
+                    over |= t < carry
+                carry = over.astype(np.uint64)
+                s[k] = t | s[k] & ~m
+        for k in range(parts):
+            live = np.clip(a.size[p] - 64 * k, 0, 64)
+            full = np.where(live == 64, ~np.uint64(0), (np.uint64(1) << (live % 64).astype(np.uint64)) - np.uint64(1))
+            out[lo : lo + 16_384] += np.bitwise_count(~s[k] & full)
+    return out
+
+
+def block_scores(left: list[str], right: list[str], ends: list[tuple[int, int]], least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, score) of the pairs of keys whose token-set score is at least `least`. `ends` says where each group ends on either side; pairs are those of one group.
+
+    All pairs are looked at, but most are ruled out by bounds that no score exceeds. A score is that of the common words
+    against one side, known from their length, or that of both sides' words. The latter is bounded by the characters in
+    common, then by the common words together with the common subsequence of all sorted words, of which the remaining
+    words are a part on either side, then with that of the remaining words alone. What is left is scored.
+    """
+    a, b, most = _Side(left), _Side(right), least - 1e-9
+    used = np.flatnonzero(a.count.any(0) & b.count.any(0))
+    kind = np.uint8 if max(a.size.max(), b.size.max()) < 256 else np.int32
+    x, y = a.count[:, used].astype(kind), b.count[:, used].astype(kind)
+    found, lo, to = [], 0, 0
+    for hi, end in ends:
+        words = _shared_words(a.words[lo:hi], b.words[to:end])
+        m, n = a.size[lo:hi, None], b.size[None, to:end]
+        sure = (words > 0) & (200.0 * (words - 1) >= most * (words - 1 + np.minimum(m, n)))
+        i, j = np.nonzero(sure | (200.0 * _shared_characters(x[lo:hi], y[to:end]) >= most * (m + n)))
+        found.append((i + lo, j + to, words[i, j], sure[i, j]))
+        lo, to = hi, end
+    i, j, words, sure = map(np.concatenate, zip(*found))
+    # of long keys the subsequence costs as much as the score
+    sure |= (a.size[i] > 256) | (b.size[j] > 256)
+    p, q, words = i[~sure], j[~sure], words[~sure]
+    i, j = i[sure], j[sure]
+    if len(p):
+        near = 200.0 * (words + _subsequences(a, b, p, q)) >= most * (a.size[p] + b.size[q])
+        p, q, words = p[near], q[near], words[near]
+    if len(p):
+        pairs = list(zip(p.tolist(), q.tolist()))
+        c, d = _Side([" ".join(a.words[m] - b.words[n]) for m, n in pairs]), _Side([" ".join(b.words[n] - a.words[m]) for m, n in pairs])
+        each = np.arange(len(pairs))
+        near = 200.0 * (words + _subsequences(c, d, each, each)) >= most * (a.size[p] + b.size[q])
+        i, j = np.concatenate([i, p[near]]), np.concatenate([j, q[near]])
+    score = np.array([word_sets(a.words[m], b.words[n]) for m, n in zip(i.tolist(), j.tolist())], dtype=np.float64)
+    keep = score >= least
+    return i[keep], j[keep], score[keep]
+
+
+def _blocks(df: DataFrame, keys: list[str], number: str, text: str) -> DataFrame:
+    """(keys, _k, numbers, texts): the records of each group in lists of about BLOCK."""
+    n = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_n"))
+    k = F.pmod(F.xxhash64(number, text), F.col("_n")).alias(f"{text}k")
+    g = df.join(n, keys).select(*keys, k, number, text).groupBy(*keys, f"{text}k").agg(F.collect_list(F.struct(number, text)).alias("_r"))
+    return g.select(*keys, f"{text}k", F.col(f"_r.{number}").alias(number), F.col(f"_r.{text}").alias(text))
 
 
 def candidates(gold: DataFrame, found: DataFrame, keys: list[str], match_key: str = "key", least: float = 75.0) -> DataFrame:
     """(keys, gi, ei, score) of pairs that score at least `least`; gold has gi, found has ei, both the match key.
 
-    Pairs meet inside one group of keys (a meeting's records of one kind, a bounded set); groups with empty keys on either side are dropped.
+    Pairs meet inside one group of keys; groups with empty keys on either side are dropped. Large groups are cut into
+    blocks, and each two blocks of a group are one row that any task may take.
     """
     a = gold.filter(F.col(match_key) != "").select(*keys, "gi", F.col(match_key).alias("_a"))
     b = found.filter(F.col(match_key) != "").select(*keys, "ei", F.col(match_key).alias("_b"))
-    return a.join(b, keys).withColumn("score", token_set_ratio(F.col("_a"), F.col("_b"))).filter(F.col("score") >= least).drop("_a", "_b")
+    pairs = _blocks(a, keys, "gi", "_a").join(_blocks(b, keys, "ei", "_b"), keys)
+    # a number of partitions is kept, where otherwise few bytes with much work would be put together
+    tasks = int(gold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(tasks, *keys, "_ak", "_bk").select(*keys, "gi", "_a", "ei", "_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            gi, ei = t["gi"].flatten(), t["ei"].flatten()
+            left, right = t["_a"].flatten().to_pylist(), t["_b"].flatten().to_pylist()
+            m, n = (np.concatenate([[0], np.cumsum(t[c].value_lengths().to_numpy())]).astype(np.int64) for c in ("_a", "_b"))
+            lo = 0
+            while lo < t.num_rows:  # so many groups at once as make up a block
+                hi = max(lo + 1, int(np.searchsorted(np.maximum(m - m[lo], n - n[lo]), BLOCK, side="right")) - 1)
+                i, j, score = block_scores(left[m[lo] : m[hi]], right[n[lo] : n[hi]], list(zip((m[lo + 1 : hi + 1] - m[lo]).tolist(), (n[lo + 1 : hi + 1] - n[lo]).tolist())), least)
+                i, j = i + m[lo], j + n[lo]
+                row = pa.array(np.searchsorted(m, i, side="right") - 1)
+                yield pa.RecordBatch.from_arrays([*[t[k].take(row) for k in keys], gi.take(pa.array(i)), ei.take(pa.array(j)), pa.array(score)], names=[*keys, "gi", "ei", "score"])
+                lo = hi
+
+    out = StructType([*[a.schema[k] for k in keys], a.schema["gi"], b.schema["ei"], StructField("score", DoubleType())])
+    return pairs.mapInArrow(run, out)
 
 
 def greedy(pairs: DataFrame, keys: list[str]) -> DataFrame:

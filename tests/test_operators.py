@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,63 @@ def test_fuzzy_against_plain_subsequence():
         assert abs(Z.indel(a, b) - 200 * lcs(a, b) / (len(a) + len(b))) < 1e-9
 
 
+def _plain_token_set(a, b):
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    both, left, right = (" ".join(sorted(s)) for s in (x & y, x - y, y - x))
+    if both and (not left or not right):
+        return 100.0
+    one, two = f"{both} {left}".strip(), f"{both} {right}".strip()
+    return max([Z.indel(one, two)] + ([Z.indel(both, one), Z.indel(both, two)] if both else []))
+
+
+def _random_keys(rnd, n):
+    word = lambda: "".join(rnd.choice("abcé") for _ in range(rnd.randrange(1, 30))) if rnd.random() < 0.5 else rnd.choice("harbor light annex street qx a ab 12 00157".split())
+    return [" ".join(word() for _ in range(rnd.randrange(9))) or " " for _ in range(n)] + ["x" * 400 + " y", "x" * 390 + " z z"]
+
+
+def test_block_scores_against_all_pairs():
+    """The bounds rule out no pair, and what they leave is scored as before: few and many pairs, long keys, keys without words, several groups."""
+    rnd = random.Random(2)
+    for n, m in ((1, 1), (7, 9), (80, 70)):
+        left, right, ends, want = [], [], [], []
+        for _ in range(3):
+            a, b = _random_keys(rnd, n), _random_keys(rnd, m)
+            want += [(i + len(left), j + len(right), _plain_token_set(x, y)) for i, x in enumerate(a) for j, y in enumerate(b)]
+            left, right = left + a, right + b
+            ends.append((len(left), len(right)))
+        for least in (0.0, 40.0, 75.0, 100.0):
+            got = list(zip(*(x.tolist() for x in evaluate.block_scores(left, right, ends, least))))
+            assert sorted(got) == [x for x in want if x[2] >= least]
+
+
+def test_large_group_is_cut_into_blocks(spark, monkeypatch):
+    """One group's pairs are more than one row, so that several tasks share them; ids of any type and null ids go through."""
+    rnd = random.Random(3)
+    a = [("m", f"g{i}" if i else None, k) for i, k in enumerate(_random_keys(rnd, 40))] + [("n", "x", "one two"), (None, "y", "one two"), ("o", "z", "")]
+    b = [("m", i, k) for i, k in enumerate(_random_keys(rnd, 50))] + [("n", 1, "two one"), (None, 2, "one two"), ("o", 3, "")]
+    g, f = spark.createDataFrame(a, "k string, gi string, key string"), spark.createDataFrame(b, "k string, ei bigint, key string")
+    want = sorted((k, i or "", j, s) for k, i, x in a for l, j, y in b if k and k == l and x and y and (s := _plain_token_set(x, y)) >= 75)
+    monkeypatch.setattr(evaluate, "BLOCK", 7)
+    assert evaluate._blocks(g.filter("key <> ''"), ["k"], "gi", "key").filter("k = 'm'").count() > 3
+    c = evaluate.candidates(g, f, ["k"])
+    assert c.dtypes == [("k", "string"), ("gi", "string"), ("ei", "bigint"), ("score", "double")]
+    assert sorted((r.k, r.gi or "", r.ei, r.score) for r in c.collect()) == want
+
+
+def test_greedy_match_of_a_large_meeting_ends_in_time(spark):
+    """Four and a half million pairs of one meeting, of which 1,500 match: scored one by one they take minutes."""
+    rnd = random.Random(4)
+    word = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    keys = [f"{word(9)} {word(8)} kitchen partners llc {rnd.randrange(1000)} {word(11)} street {word(9)} qx" for _ in range(3000)]
+    g = spark.createDataFrame([("m", i, k) for i, k in enumerate(keys)], "k string, gi int, key string")
+    f = spark.createDataFrame([("m", i, k) for i, k in enumerate(keys[:1500])], "k string, ei int, key string")
+    began = time.time()
+    got = evaluate.greedy(evaluate.candidates(g, f, ["k"]), ["k"]).collect()
+    assert {(r.gi, r.ei) for r in got} == {(i, i) for i in range(1500)} and time.time() - began < 40
+
+
 def test_greedy_ties_take_the_larger_index(spark):
     p = spark.createDataFrame([("m", 0, 0, 90.0), ("m", 0, 1, 90.0), ("m", 1, 1, 80.0)], "k string, gi int, ei int, score double")
     assert {(r.gi, r.ei) for r in evaluate.greedy(p, ["k"]).collect()} == {(0, 1)}
