@@ -200,6 +200,18 @@ def test_scorecard_and_gate(spark):
     assert evaluate.missed(gold, match, ["m", "e"]).count() == 2 and evaluate.spurious(found, match, ["m", "e"]).count() == 2
 
 
+def test_scorecard_of_a_large_meeting_ends_in_time(spark):
+    """Four and a half million pairs in one meeting, and a small one beside it: every record counts."""
+    rnd = random.Random(6)
+    word = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    keys = [f"{word(9)} {word(8)} kitchen partners llc {rnd.randrange(1000)} {word(11)} street {word(9)} qx" for _ in range(3000)]
+    g = spark.createDataFrame([("m", i, k) for i, k in enumerate(keys)] + [("n", 0, "harbor light annex"), ("n", 1, "")], "k string, gi int, key string")
+    f = spark.createDataFrame([("m", i, k) for i, k in enumerate([*keys[:1200], *(word(60) for _ in range(300))])] + [("n", 0, "harbor lights annex")], "k string, ei int, key string")
+    began = time.time()
+    c = {r.k: (r.golden, r.extracted, r.matched, r.precision, r.recall) for r in evaluate.scorecard(g, f, evaluate.greedy(evaluate.candidates(g, f, ["k"]), ["k"]), ["k"]).collect()}
+    assert c == {"m": (3000, 1500, 1200, 0.8, 0.4), "n": (2, 1, 1, 1.0, 0.5)} and time.time() - began < 40
+
+
 def test_fisher_and_t():
     odds, p = statistics.fisher_exact(8, 2, 1, 5)
     assert odds == 20.0 and abs(p - 0.03496503496503495) < 1e-9
