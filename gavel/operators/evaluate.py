@@ -13,6 +13,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.columns import match_key, normalize_key
 from ..functions.fuzzy import token_sort_ratio, word_sets
+from ..session import cut
 
 #: Records of either side of a group that are held against each other in one go, about; larger groups are cut into such blocks.
 BLOCK = 1000
@@ -269,6 +270,7 @@ def field_errors(gold: DataFrame, found: DataFrame, matches: DataFrame) -> DataF
 def report(gold: DataFrame, found: DataFrame, matches: DataFrame) -> DataFrame:
     """The scorecard of every meeting and entity with field accuracy and the lists of missed, spurious and wrong; where both sides are empty there is no row."""
     keys = ["meeting_id", "entity"]
+    matches = cut(matches)  # needed four times
     cards = scorecard(gold, found, matches, keys)
     told = field_errors(gold, found, matches)
     wrong = F.when(~F.col("correct"), F.format_string("%s[%s].%s: golden=%s extracted=%s", "entity", F.col("gi").cast("string"), "name", F.coalesce("golden", F.lit("null")), F.coalesce("extracted", F.lit("null"))))
