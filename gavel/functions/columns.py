@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 def normalize_key(c: Column) -> Column:
     """'' for null; lower case; everything but letters, digits and blanks to a blank; blanks collapsed."""
-    s = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9 ]", " ")
-    return F.trim(F.regexp_replace(s, " +", " "))
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", " "))
 
 
 def match_key(*cs: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,52 +14,94 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.columns import match_key, normalize_key
 from ..functions.fuzzy import token_sort_ratio, word_sets
-from ..session import cut
+from ..session import cut, small_enough
 
 #: Records of either side of a group that are held against each other in one go, about; larger groups are cut into such blocks.
 BLOCK = 1000
 
 
+#: Pairs of records that a task gives out in one go.
+PAIRS = 1 << 19
+#: Longer keys are scored without a look at their ceiling, which would cost as much.
+LONG = 256
+_ONES = np.array([(1 << n) - 1 for n in range(65)], dtype=np.uint64)
+
+
 class _Side:
     """Words, lengths and counts of characters of a block's keys."""
 
     def __init__(self, keys: list[str]):
-        self.words = [set(k.split()) for k in keys]
-        self.text = [" ".join(sorted(w)) for w in self.words]
-        self.size = np.array([len(t) for t in self.text], dtype=np.int64)
+        self.words = list(map(set, map(str.split, keys)))
+        self.lists = list(map(sorted, self.words))
+        self.text = list(map(" ".join, self.lists))
+        self.size = np.array(list(map(len, self.text)), dtype=np.int64)
         self.code = np.frombuffer("".join(self.text).encode("utf-32-le"), dtype="<u4").astype(np.int64) & 127
         self.row = np.repeat(np.arange(len(keys)), self.size)
         self.at = np.arange(len(self.code)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
         self.count = np.bincount(self.row * 128 + self.code, minlength=len(keys) * 128).reshape(-1, 128)
 
-
-def _shared_words(a: list[set[str]], b: list[set[str]]) -> np.ndarray:
-    """Length of the common words of each pair, a blank after each."""
-    there: dict[str, tuple[list[int], list[int]]] = {}
-    for j, ws in enumerate(b):
-        for w in ws:
-            there.setdefault(w, ([], []))[1].append(j)
-    for i, ws in enumerate(a):
-        for w in ws:
-            if w in there:
-                there[w][0].append(i)
-    at, size, many = [], [], []
-    for w, (i, j) in there.items():
-        if len(i) * len(j) > 64:
-            many.append((i, j, len(w) + 1))
-        elif i:
-            at += [x * len(b) + y for x in i for y in j]
-            size += [len(w) + 1] * (len(i) * len(j))
-    out = np.bincount(np.array(at, dtype=np.int64), np.array(size, dtype=np.int64), len(a) * len(b)).astype(np.int32).reshape(len(a), len(b))
-    for i, j, n in many:
-        out[np.ix_(i, j)] += n
+    def number(self, numbers: defaultdict[str, int], none: int) -> None:
+        """The words in one list (word, its length with a blank, row). Of keys that are not long, by place of the word: its number (`none` beyond the last), its length with a blank and where it lies, in bits from below (bits) and from above (heads), 64 characters a part."""
+        many, rows = np.array(list(map(len, self.lists)), dtype=np.int64), len(self.lists)
+        flat = list(chain.from_iterable(self.lists))
+        self.word = np.array(list(map(numbers.__getitem__, flat)), dtype=np.int32)
+        self.blank = np.array(list(map(len, flat)), dtype=np.int64) + 1
+        self.of = np.repeat(np.arange(rows), many)
+        short = (self.size <= LONG)[self.of]
+        row, place = self.of[short], (np.arange(len(flat)) - np.repeat(np.cumsum(many) - many, many))[short]
+        most = int(place.max(initial=-1)) + 1
+        self.ids = np.full((most, rows), none, dtype=np.int32)
+        self.ids[place, row] = self.word[short]
+        self.length = np.zeros((most, rows), dtype=np.int64)
+        self.length[place, row] = self.blank[short]
+        start = np.cumsum(self.length, axis=0) - self.length
+        self.bits, self.heads = [], []
+        for k in range(-(-int(self.size[self.size <= LONG].max(initial=1)) // 64)):
+            lo, hi = np.clip(start - 64 * k, 0, 64), np.clip(start + self.length - 64 * k, 0, 64)
+            self.bits.append(_ONES[hi] ^ _ONES[lo])
+            self.heads.append(_ONES[64 - lo] ^ _ONES[64 - hi])
+
+    def spell(self, codes: np.ndarray) -> None:
+        """Of keys that are not long: the characters at each place, and for each character where it stands, in bits."""
+        to = np.full(128, len(codes))  # what the other side has not, and the end
+        to[codes] = np.arange(len(codes))
+        self.wide, rows = len(codes) + 1, len(self.text)
+        short = (self.size <= LONG)[self.row]
+        row, at, code = self.row[short], self.at[short], to[self.code[short]]
+        self.chars = np.full((int(at.max(initial=0)) + 1, rows), len(codes), dtype=np.int64)
+        self.chars[at, row] = code
+        fit = code < len(codes)
+        self.masks = np.zeros((len(self.bits), rows * self.wide), dtype=np.uint64)
+        np.bitwise_or.at(self.masks, (at[fit] // 64, row[fit] * self.wide + code[fit]), np.uint64(1) << (at[fit] % 64).astype(np.uint64))
+
+
+def _shared_words(a: _Side, b: _Side, lo: int, hi: int, to: int, end: int) -> np.ndarray:
+    """Length of the common words of each pair of rows lo:hi and to:end, a blank after each."""
+    i, j = (slice(*np.searchsorted(x.of, (p, q))) for x, p, q in ((a, lo, hi), (b, to, end)))
+    word, row, n = a.word[i], a.of[i] - lo, a.blank[i]
+    order = np.argsort(b.word[j], kind="stable")
+    there, at = b.word[j][order], (b.of[j] - to)[order]
+    first = np.searchsorted(there, word)
+    times = np.searchsorted(there, word, side="right") - first
+    often = times * np.bincount(word, minlength=1)[word] > 64
+    # words of few pairs one by one, those of many in a product of matrices
+    few = np.flatnonzero(~often)
+    last = np.cumsum(times[few])
+    k = np.repeat(few, times[few])
+    pair = row[k] * (end - to) + at[np.arange(len(k)) - np.repeat(last - times[few], times[few]) + first[k]]
+    out = np.bincount(pair, n[k], (hi - lo) * (end - to)).astype(np.float32).reshape(hi - lo, end - to)
+    if often.any():
+        names = np.unique(word[often])
+        x, y = np.zeros((hi - lo, len(names)), dtype=np.float32), np.zeros((len(names), end - to), dtype=np.float32)
+        x[row[often], np.searchsorted(names, word[often])] = n[often]
+        k = np.isin(there, names)
+        y[np.searchsorted(names, there[k]), at[k]] = 1
+        out += x @ y
     return out
 
 
 def _shared_characters(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Characters that each pair has in common, in whatever order; a row of x and y counts the characters of one key."""
-    if len(x) * len(y) <= 4096:
-        return np.minimum(x[:, None], y[None]).sum(-1, dtype=np.int64)
     out = np.zeros((len(x), len(y)), dtype=x.dtype)
     for lo in range(0, len(x), 128):
         part = out[lo : lo + 128]
@@ -67,87 +110,175 @@ def _shared_characters(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def _common(a: _Side, b: _Side, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Of the pairs (i, j): length of the common words, a blank after each, and for each place of a word on either side whether it is common."""
+    right = [x.take(j) for x in b.ids]
+    left, back, words = [], [np.zeros(len(j), dtype=bool) for _ in right], np.zeros(len(i), dtype=np.int64)
+    for x, n in zip(a.ids, a.length):
+        x, here = x.take(i), np.zeros(len(i), dtype=bool)
+        for y, there in zip(right, back):
+            hit = x == y
+            here |= hit
+            there |= hit
+        left.append(here)
+        words += n.take(i) * here
+    return words, left, back
+
+
+def _rest(bits: np.ndarray, rows: np.ndarray, common: list[np.ndarray]) -> np.ndarray:
+    """Where the words that are not common lie."""
+    out = np.zeros(len(rows), dtype=np.uint64)
+    for x, c in zip(bits, common):
+        out |= x.take(rows) * ~c
+    return out
+
+
 def _subsequences(a: _Side, b: _Side, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Longest common subsequences of the sorted words of the pairs (i, j), bit-parallel over all pairs at once."""
-    size = max(1, int(a.size[i].max()))
-    parts, codes = -(-size // 64), np.unique(b.code)
-    place = np.full(128, len(codes))
-    place[codes] = np.arange(len(codes))
-    wide = len(codes) + 1  # the last stands for what the other side has not, and for the end
-    text = np.full((len(b.text), int(b.size.max())), len(codes), dtype=np.int64)
-    text[b.row, b.at] = place[b.code]
-    fit = (place[a.code] < len(codes)) & (a.at < size)
-    masks = np.zeros((parts, len(a.text) * wide), dtype=np.uint64)
-    np.bitwise_or.at(masks, (a.at[fit] // 64, a.row[fit] * wide + place[a.code[fit]]), np.uint64(1) << (a.at[fit] % 64).astype(np.uint64))
-    out = np.zeros(len(i), dtype=np.int64)
-    for lo in range(0, len(i), 16_384):
-        p, q = i[lo : lo + 16_384], j[lo : lo + 16_384]
-        s = [np.full(len(p), ~np.uint64(0)) for _ in range(parts)]
-        base, chars = p * wide, np.ascontiguousarray(text[q, : int(b.size[q].max())].T)
-        for c in chars:
-            at, carry = base + c, None
-            for k in range(parts):
-                m = masks[k].take(at)
-                u = s[k] & m
-                t = s[k] + u
+    """Of the pairs (i, j): length of the common words, a blank after each, and of the longest common subsequence of the others, bit-parallel over all pairs at once. Exact, or one more for a blank at the end."""
+    words, left, back = _common(a, b, i, j)
+    parts, steps = max(1, -(-int(a.size[i].max()) // 64)), int(b.size[j].max())
+    live = [_rest(a.bits[k], i, left) for k in range(parts)]
+    base, s = i * a.wide, [np.full(len(i), ~np.uint64(0)) for _ in range(parts)]
+    at, m, u, t, on = (np.empty(len(i), dtype=x) for x in (np.int64, np.uint64, np.uint64, np.uint64, np.int64))
+    for c in range(steps):
+        if c % 64 == 0:
+            ahead = _rest(b.heads[c // 64], j, back).view(np.int64)
+        np.right_shift(ahead, 63, out=on)  # all bits or none
+        np.left_shift(ahead, 1, out=ahead)
+        np.take(b.chars[c], j, out=at, mode="clip")
+        np.add(at, base, out=at)
+        carry = None
+        for k in range(parts):
+            np.take(a.masks[k], at, out=m, mode="clip")
+            np.bitwise_and(m, live[k], out=m)
+            np.bitwise_and(m, on.view(np.uint64), out=m)
+            np.bitwise_and(s[k], m, out=u)
+            np.add(s[k], u, out=t)
+            np.subtract(s[k], u, out=m)
+            if parts > 1:
                 over = t < u
                 if carry is not None:
                     t += carry
                     over |= t < carry
                 carry = over.astype(np.uint64)
-                s[k] = t | s[k] & ~m
-        for k in range(parts):
-            live = np.clip(a.size[p] - 64 * k, 0, 64)
-            full = np.where(live == 64, ~np.uint64(0), (np.uint64(1) << (live % 64).astype(np.uint64)) - np.uint64(1))
-            out[lo : lo + 16_384] += np.bitwise_count(~s[k] & full)
+            np.bitwise_or(t, m, out=s[k])
+    return words + sum(np.bitwise_count(~x).astype(np.int64) for x in s)
+
+
+def _ceilings(a: _Side, b: _Side, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """`_subsequences` of the pairs, of which neither key is long: pairs of like lengths together, one side's characters in a word of 64 bits where that is possible."""
+    out = np.zeros(len(i), dtype=np.int64)
+    m, n = a.size[i], b.size[j]
+    kept = np.where(np.maximum(m, n) <= 64, m >= n, m <= n)
+    for x, y, p, q, here in ((a, b, i, j, kept), (b, a, j, i, ~kept)):
+        pick = np.flatnonzero(here)
+        pick = pick[np.argsort((-(-x.size[p[pick]] // 64) * (LONG + 1) + y.size[q[pick]]).astype(np.int16), kind="stable")]
+        for lo in range(0, len(pick), 16384):
+            at = pick[lo : lo + 16384]
+            out[at] = _subsequences(x, y, p[at], q[at])
     return out
 
 
+def _few(a: _Side, b: _Side, x: np.ndarray, y: np.ndarray, ends: list[tuple[int, int, int, int]], half: float, part: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """`_many` of small groups (lo, hi, to, end), the pairs of all groups in one list."""
+    lo, hi, to, end = np.array(ends, dtype=np.int64).T
+    n = (hi - lo) * (end - to)
+    last = np.cumsum(n)
+    for first in range(0, int(last[-1]), 65_536):
+        at = np.arange(first, min(first + 65_536, int(last[-1])))
+        g = np.searchsorted(last, at, side="right")
+        i, j = np.divmod(at - (last - n)[g], (end - to)[g])
+        i, j = i + lo[g], j + to[g]
+        words = _common(a, b, i, j)[0]
+        both = np.minimum(x[i], y[j]).sum(-1, dtype=np.int64)
+        sure = words - 1 >= part * np.minimum(a.size[i], b.size[j]) - 1e-6
+        keep = sure | (both >= half * (a.size[i] + b.size[j]) - 1e-6)
+        yield i[keep], j[keep], sure[keep]
+
+
+def _many(a: _Side, b: _Side, x: np.ndarray, y: np.ndarray, group: tuple[int, int, int, int], half: float, part: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, sure) of the pairs of a group that the length of the common words (then they are sure) or the characters in common do not rule out."""
+    lo, hi, to, end = group
+    words = _shared_words(a, b, lo, hi, to, end)
+    m, n = a.size[lo:hi, None], b.size[None, to:end]
+    kind = np.float32 if x.dtype == np.uint8 else np.float64  # a bound may be too low, not too high
+    m1, n1, m2, n2 = ((z - 1e-3).astype(kind) for z in (part * m, part * n, half * m, half * n))
+    words -= 1
+    sure = (words >= m1) | (words >= n1)
+    i, j = np.nonzero(sure | (_shared_characters(x[lo:hi], y[to:end]) - m2 >= n2))
+    return i + lo, j + to, sure[i, j]
+
+
 def block_scores(left: list[str], right: list[str], ends: list[tuple[int, int]], least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, score) of the pairs of keys whose token-set score is at least `least`. `ends` says where each group ends on either side; pairs are those of one group.
 
     All pairs are looked at, but most are ruled out by bounds that no score exceeds. A score is that of the common words
     against one side, known from their length, or that of both sides' words. The latter is bounded by the characters in
-    common, then by the common words together with the common subsequence of all sorted words, of which the remaining
-    words are a part on either side, then with that of the remaining words alone. What is left is scored.
+    common, then by the common words together with the common subsequence of the remaining ones. What is left is scored.
     """
     a, b, most = _Side(left), _Side(right), least - 1e-9
+    half, part = most / 200, most / (200 - most)
     used = np.flatnonzero(a.count.any(0) & b.count.any(0))
     kind = np.uint8 if max(a.size.max(), b.size.max()) < 256 else np.int32
     x, y = a.count[:, used].astype(kind), b.count[:, used].astype(kind)
-    found, lo, to = [], 0, 0
+    numbers: defaultdict[str, int] = defaultdict(count().__next__)
+    a.number(numbers, -1)
+    b.number(numbers, -2)
+    found, few, lo, to = [], [], 0, 0
     for hi, end in ends:
-        words = _shared_words(a.words[lo:hi], b.words[to:end])
-        m, n = a.size[lo:hi, None], b.size[None, to:end]
-        sure = (words > 0) & (200.0 * (words - 1) >= most * (words - 1 + np.minimum(m, n)))
-        i, j = np.nonzero(sure | (200.0 * _shared_characters(x[lo:hi], y[to:end]) >= most * (m + n)))
-        found.append((i + lo, j + to, words[i, j], sure[i, j]))
+        if (hi - lo) * (end - to) > 16_384 or max(a.size[lo:hi].max(initial=0), b.size[to:end].max(initial=0)) > LONG:
+            found.append(_many(a, b, x, y, (lo, hi, to, end), half, part))
+        elif hi > lo and end > to:
+            few.append((lo, hi, to, end))
         lo, to = hi, end
-    i, j, words, sure = map(np.concatenate, zip(*found))
-    # of long keys the subsequence costs as much as the score
-    sure |= (a.size[i] > 256) | (b.size[j] > 256)
-    p, q, words = i[~sure], j[~sure], words[~sure]
+    if few:
+        found += _few(a, b, x, y, few, half, part)
+    i, j, sure = map(np.concatenate, zip(*found)) if found else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool))
+    sure |= (a.size[i] > LONG) | (b.size[j] > LONG)
+    p, q = i[~sure], j[~sure]
     i, j = i[sure], j[sure]
     if len(p):
-        near = 200.0 * (words + _subsequences(a, b, p, q)) >= most * (a.size[p] + b.size[q])
-        p, q, words = p[near], q[near], words[near]
-    if len(p):
-        pairs = list(zip(p.tolist(), q.tolist()))
-        c, d = _Side([" ".join(a.words[m] - b.words[n]) for m, n in pairs]), _Side([" ".join(b.words[n] - a.words[m]) for m, n in pairs])
-        each = np.arange(len(pairs))
-        near = 200.0 * (words + _subsequences(c, d, each, each)) >= most * (a.size[p] + b.size[q])
+        a.spell(used)
+        b.spell(used)
+        near = _ceilings(a, b, p, q) >= half * (a.size[p] + b.size[q]) - 1e-6
         i, j = np.concatenate([i, p[near]]), np.concatenate([j, q[near]])
     score = np.array([word_sets(a.words[m], b.words[n]) for m, n in zip(i.tolist(), j.tolist())], dtype=np.float64)
     keep = score >= least
     return i[keep], j[keep], score[keep]
 
 
+def _distinct(keys: list[str], ends: list[int]) -> tuple[list[str], list[int], np.ndarray, np.ndarray]:
+    """Each key once in its group: the keys, where the groups end, and the places of all keys in the order of these, with where those of each end."""
+    once, stops, of, lo = [], [], [], 0
+    for hi in ends:
+        seen: dict[str, int] = {}
+        n = len(once)
+        of += [n + seen.setdefault(k, len(seen)) for k in keys[lo:hi]]
+        once += seen
+        stops.append(len(once))
+        lo = hi
+    at = np.array(of, dtype=np.int64)
+    return once, stops, np.argsort(at, kind="stable"), np.cumsum(np.bincount(at, minlength=len(once)))
+
+
+def _repeated(i: np.ndarray, j: np.ndarray, score: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The pairs of distinct keys for all places where the keys stand, so many at once; a and b have what `_distinct` says of the places."""
+    m, n = (np.diff(stops, prepend=0)[k] for (_, stops), k in ((a, i), (b, j)))
+    last = np.cumsum(m * n)
+    for lo in range(0, int(last[-1]) if len(i) else 0, PAIRS):
+        at = np.arange(lo, min(lo + (PAIRS), int(last[-1])))
+        g = np.searchsorted(last, at, side="right")
+        p, q = np.divmod(at - (last - m * n)[g], n[g])
+        yield a[0][(a[1][i] - m)[g] + p], b[0][(b[1][j] - n)[g] + q], score[g]
+
+
 def _blocks(df: DataFrame, keys: list[str], number: str, text: str) -> DataFrame:
-    """(keys, _k, numbers, texts): the records of each group in lists of about BLOCK."""
+    """(keys, _k, numbers, texts): the records of each group that have a text in lists of about BLOCK, the same texts in one list."""
     n = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_n"))
-    k = F.pmod(F.xxhash64(number, text), F.col("_n")).alias(f"{text}k")
-    g = df.join(n, keys).select(*keys, k, number, text).groupBy(*keys, f"{text}k").agg(F.collect_list(F.struct(number, text)).alias("_r"))
-    return g.select(*keys, f"{text}k", F.col(f"_r.{number}").alias(number), F.col(f"_r.{text}").alias(text))
+    k = F.pmod(F.xxhash64(text), F.col("_n")).alias(f"{text}k")
+    # the texts are left out here, not by a filter, which would compute them again, as would the count above
+    g = df.join(n, keys).select(*keys, k, number, text).groupBy(*keys, f"{text}k").agg(F.collect_list(F.when(F.col(text) != "", F.struct(number, text))).alias("_r"))
+    return g.filter(F.size("_r") > 0).select(*keys, f"{text}k", F.col(f"_r.{number}").alias(number), F.col(f"_r.{text}").alias(text))
 
 
 def candidates(gold: DataFrame, found: DataFrame, keys: list[str], match_key: str = "key", least: float = 75.0) -> DataFrame:
@@ -156,8 +287,8 @@ def candidates(gold: DataFrame, found: DataFrame, keys: list[str], match_key: st
     Pairs meet inside one group of keys; groups with empty keys on either side are dropped. Large groups are cut into
     blocks, and each two blocks of a group are one row that any task may take.
     """
-    a = gold.filter(F.col(match_key) != "").select(*keys, "gi", F.col(match_key).alias("_a"))
-    b = found.filter(F.col(match_key) != "").select(*keys, "ei", F.col(match_key).alias("_b"))
+    a = gold.select(*keys, "gi", F.col(match_key).alias("_a"))
+    b = found.select(*keys, "ei", F.col(match_key).alias("_b"))
     pairs = _blocks(a, keys, "gi", "_a").join(_blocks(b, keys, "ei", "_b"), keys)
     # a number of partitions is kept, where otherwise few bytes with much work would be put together
     tasks = int(gold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -169,12 +300,14 @@ def candidates(gold: DataFrame, found: DataFrame, keys: list[str], match_key: st
             left, right = t["_a"].flatten().to_pylist(), t["_b"].flatten().to_pylist()
             m, n = (np.concatenate([[0], np.cumsum(t[c].value_lengths().to_numpy())]).astype(np.int64) for c in ("_a", "_b"))
             lo = 0
-            while lo < t.num_rows:  # so many groups at once as make up a block
-                hi = max(lo + 1, int(np.searchsorted(np.maximum(m - m[lo], n - n[lo]), BLOCK, side="right")) - 1)
-                i, j, score = block_scores(left[m[lo] : m[hi]], right[n[lo] : n[hi]], list(zip((m[lo + 1 : hi + 1] - m[lo]).tolist(), (n[lo + 1 : hi + 1] - n[lo]).tolist())), least)
-                i, j = i + m[lo], j + n[lo]
-                row = pa.array(np.searchsorted(m, i, side="right") - 1)
-                yield pa.RecordBatch.from_arrays([*[t[k].take(row) for k in keys], gi.take(pa.array(i)), ei.take(pa.array(j)), pa.array(score)], names=[*keys, "gi", "ei", "score"])
+            while lo < t.num_rows:  # so many groups at once as make up a few blocks
+                hi = max(lo + 1, int(np.searchsorted(np.maximum(m - m[lo], n - n[lo]), 4 * BLOCK, side="right")) - 1)
+                one, stops, *x = _distinct(left[m[lo] : m[hi]], (m[lo + 1 : hi + 1] - m[lo]).tolist())
+                two, halts, *y = _distinct(right[n[lo] : n[hi]], (n[lo + 1 : hi + 1] - n[lo]).tolist())
+                for i, j, score in _repeated(*block_scores(one, two, list(zip(stops, halts)), least), x, y):
+                    i, j = i + m[lo], j + n[lo]
+                    row = pa.array(np.searchsorted(m, i, side="right") - 1)
+                    yield pa.RecordBatch.from_arrays([*[t[k].take(row) for k in keys], gi.take(pa.array(i)), ei.take(pa.array(j)), pa.array(score)], names=[*keys, "gi", "ei", "score"])
                 lo = hi
 
     out = StructType([*[a.schema[k] for k in keys], a.schema["gi"], b.schema["ei"], StructField("score", DoubleType())])
@@ -184,16 +317,23 @@ def candidates(gold: DataFrame, found: DataFrame, keys: list[str], match_key: st
 def greedy(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """One-to-one matches, best score first; equal scores prefer the larger gi, then the larger ei."""
 
-    def pick(p: pd.DataFrame) -> pd.DataFrame:
-        g, e, rows = set(), set(), []
-        for r in p.sort_values(["score", "gi", "ei"], ascending=False).itertuples(index=False):
-            if r.gi not in g and r.ei not in e:
-                g.add(r.gi)
-                e.add(r.ei)
-                rows.append(r)
-        return pd.DataFrame(rows, columns=p.columns)
-
-    return pairs.groupBy(*keys).applyInPandas(pick, pairs.schema)
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, g, e = None, set(), set()
+        for t in batches:
+            rows = []
+            for k, (*now, gi, ei) in enumerate(zip(*[t[c].to_pylist() for c in (*keys, "gi", "ei")])):
+                if now != group:
+                    group, g, e = now, set(), set()
+                if gi not in g and ei not in e:
+                    g.add(gi)
+                    e.add(ei)
+                    rows.append(k)
+            yield t.take(pa.array(rows, type=pa.int64()))
+
+    # a number of partitions is kept here too; a group's rows come sorted, and only the numbers taken are held
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    best = [F.col(c).desc() for c in ("score", "gi", "ei")]
+    return pairs.repartition(tasks, *keys).sortWithinPartitions(*keys, *best).mapInArrow(pick, pairs.schema)
 
 
 def field_correct(gold: Column, found: Column, text: bool, least: float = 85.0) -> Column:
@@ -215,8 +355,11 @@ def tallies_exact(gold: list[Column], found: list[Column]) -> Column:
 def scorecard(gold: DataFrame, found: DataFrame, matches: DataFrame, keys: list[str]) -> DataFrame:
     """Golden, extracted and matched records with precision and recall; an empty denominator gives 1."""
     n = lambda df, c: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(c))
-    j = n(gold, "golden").join(n(found, "extracted"), keys, "full").join(n(matches, "matched"), keys, "left").na.fill(0, ["golden", "extracted", "matched"])
-    one = F.lit(1.0)
+    return _rates(n(gold, "golden").join(n(found, "extracted"), keys, "full").join(n(matches, "matched"), keys, "left"))
+
+
+def _rates(j: DataFrame) -> DataFrame:
+    j, one = j.na.fill(0, ["golden", "extracted", "matched"]), F.lit(1.0)
     return j.withColumn("precision", F.coalesce(F.try_divide(F.col("matched").cast("double"), F.col("extracted")), one)).withColumn("recall", F.coalesce(F.try_divide(F.col("matched").cast("double"), F.col("golden")), one))
 
 
@@ -271,13 +414,20 @@ def report(gold: DataFrame, found: DataFrame, matches: DataFrame) -> DataFrame:
     """The scorecard of every meeting and entity with field accuracy and the lists of missed, spurious and wrong; where both sides are empty there is no row."""
     keys = ["meeting_id", "entity"]
     matches = cut(matches)  # needed four times
-    cards = scorecard(gold, found, matches, keys)
+    if small_enough(matches, 50_000):
+        matches = F.broadcast(matches)
     told = field_errors(gold, found, matches)
     wrong = F.when(~F.col("correct"), F.format_string("%s[%s].%s: golden=%s extracted=%s", "entity", F.col("gi").cast("string"), "name", F.coalesce("golden", F.lit("null")), F.coalesce("extracted", F.lit("null"))))
     fields = told.groupBy(*keys).agg(F.count_if("correct").alias("_c"), F.count(F.lit(1)).alias("_t"), F.sort_array(F.collect_list(wrong)).alias("field_errors"))
-    names = lambda df, c: df.groupBy(*keys).agg(F.sort_array(F.collect_list("summary")).alias(c))
     none = F.array().cast("array<string>")
-    j = cards.join(fields, keys, "left").join(names(missed(gold, matches, keys), "missed"), keys, "left").join(names(spurious(found, matches, keys), "spurious"), keys, "left")
+
+    def counted(df: DataFrame, number: str, n: str, alone: str) -> DataFrame:
+        """All records of one side and the summaries of those without a match, from one reading."""
+        there = df.join(matches.select(*keys, number, F.lit(True).alias("_in")), [*keys, number], "left")
+        return there.groupBy(*keys).agg(F.count(F.lit(1)).alias(n), F.sort_array(F.collect_list(F.when(F.col("_in").isNull(), F.col("summary")))).alias(alone))
+
+    cards = counted(gold, "gi", "golden", "missed").join(counted(found, "ei", "extracted", "spurious"), keys, "full")
+    j = _rates(cards.join(matches.groupBy(*keys).agg(F.count(F.lit(1)).alias("matched")), keys, "left")).join(fields, keys, "left")
     accuracy = F.coalesce(F.try_divide(F.col("_c").cast("double"), F.col("_t")), F.lit(1.0))
     return j.select(*keys, "golden", "extracted", "matched", "precision", "recall", accuracy.alias("field_accuracy"), *[F.coalesce(c, none).alias(c) for c in ("missed", "spurious", "field_errors")])
 

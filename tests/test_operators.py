@@ -171,6 +171,51 @@ def test_large_group_is_cut_into_blocks(spark, monkeypatch):
     assert sorted((r.k, r.gi or "", r.ei, r.score) for r in c.collect()) == want
 
 
+def test_block_scores_of_short_keys_against_all_pairs():
+    """Groups of a few pairs are taken together, those of many one by one; keys under and over 64 characters, words common on either side."""
+    rnd = random.Random(8)
+    key = lambda n: " ".join(rnd.choice(["harbor", "light", "street", "qx", "".join(rnd.choice("abcé") for _ in range(rnd.randrange(1, 12)))]) for _ in range(rnd.randrange(n)))
+    left, right, ends, want = [], [], [], []
+    for m, n in ((3, 5), (0, 4), (150, 140), (1, 1), (60, 70)):
+        a, b = [key(rnd.choice([4, 9, 30])) for _ in range(m)], [key(rnd.choice([4, 9, 30])) for _ in range(n)]
+        want += [(i + len(left), j + len(right), _plain_token_set(x, y)) for i, x in enumerate(a) for j, y in enumerate(b)]
+        left, right = left + a, right + b
+        ends.append((len(left), len(right)))
+    for least in (0.0, 55.0, 75.0, 100.0):
+        got = list(zip(*(x.tolist() for x in evaluate.block_scores(left, right, ends, least))))
+        assert sorted(got) == [x for x in want if x[2] >= least]
+
+
+def test_repeated_keys_are_scored_once(monkeypatch):
+    """A group's key that stands in several records is held against the others once, and its score goes to all of them."""
+    left, right = ["one two", "three four", "one two", "one two"], ["two one", "one two", "two one", "three four"]
+    one, stops, *x = evaluate._distinct(left, [3, 4])
+    two, halts, *y = evaluate._distinct(right, [3, 4])
+    assert (one, stops, two, halts) == (["one two", "three four", "one two"], [2, 3], ["two one", "one two", "three four"], [2, 3])
+    monkeypatch.setattr(evaluate, "PAIRS", 2)
+    parts = list(evaluate._repeated(*evaluate.block_scores(one, two, list(zip(stops, halts)), 75.0), x, y))
+    assert max(len(i) for i, _, _ in parts) == 2
+    got = sorted((i, j, s) for p in parts for i, j, s in zip(*(c.tolist() for c in p)))
+    assert got == [(i, j, 100.0) for i in (0, 2) for j in range(3)]
+
+
+def test_keys_of_candidates_are_computed_once(spark):
+    """Neither the count that cuts the blocks nor the empty keys left out compute a record's key again; empty and null keys have no pairs."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def key(x):
+        calls.add(1)
+        return x
+
+    a = [("m", i, f"harbor light {i}") for i in range(40)] + [("m", 40, ""), ("m", 41, None), ("n", 42, "")]
+    g = spark.createDataFrame(a, "k string, gi int, x string").withColumn("key", key("x"))
+    f = spark.createDataFrame(a[:30] + a[40:], "k string, ei int, x string").withColumn("key", key("x"))
+    pairs = {(r.k, r.gi, r.ei) for r in evaluate.candidates(g, f, ["k"]).collect()}
+    assert {("m", i, i) for i in range(30)} <= pairs and not {gi for _, gi, _ in pairs} & {40, 41, 42}
+    assert calls.value == 43 + 33
+
+
 def _firms(rnd, n):
     word = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
     return [f"{word(9)} {word(8)} kitchen partners llc {rnd.randrange(1000)} {word(11)} street {word(9)} qx" for _ in range(n)]
@@ -349,6 +394,26 @@ def test_report_matches_once(spark):
     assert (r.golden, r.matched, r.missed, r.spurious, r.field_accuracy, rows.value) == (3, 2, ["buy a boat"], ["buy a boat"], 1.0, 2)
 
 
+def test_report_reads_each_side_twice(spark):
+    """Once for the compared fields, once for the count and the list of those without a match; a meeting on one side only and an unknown one are told too."""
+    cols = "meeting_id string, vote_id int, motion_text string, topic_category string, outcome string, yes int, no int, abstain int, recusal int"
+    row = lambda m, i, x: (m, i, x, "parks", "passed", 9, 4, 0, 2)
+    t = spark.createDataFrame([row("a", 1, "repair the pier"), row("a", 2, "thank the staff"), row("b", 3, "buy a boat"), row(None, 4, "move the stage")], cols)
+    rows = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for x in batches:
+            rows.add(len(x))
+            yield x
+
+    gold = evaluate.side(t.mapInPandas(told, t.schema), "votes", "vote_id", "gi")
+    found = evaluate.side(t.filter("vote_id < 3"), "votes", "vote_id", "ei")
+    m = spark.createDataFrame([("a", "votes", 1, 1, 100.0)], "meeting_id string, entity string, gi int, ei int, score double")
+    got = {r.meeting_id: (r.golden, r.extracted, r.matched, r.missed, r.spurious, r.field_accuracy) for r in evaluate.report(gold, found, m).collect()}
+    assert got == {"a": (2, 2, 1, ["thank the staff"], ["thank the staff"], 1.0), "b": (1, 0, 0, ["buy a boat"], [], 1.0), None: (1, 0, 0, ["move the stage"], [], 1.0)}
+    assert rows.value <= 8
+
+
 def test_checkpoint_folder_where_none_is_set():
     """One machine may use a folder of its own; a cluster must name a shared one."""
     from types import SimpleNamespace as S
